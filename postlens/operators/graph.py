@@ -1,8 +1,9 @@
 """The reply graph: edges, degrees, PageRank, amplification risk and communities.
 
 Nodes and edges are DataFrames. The iterative jobs keep edges partitioned by source in reliable
-storage, so a round shuffles only node-sized data and map-side combined sums. Out-links of a hub
-are split over salts; a hub's in-links are combined before the shuffle.
+storage, so a round shuffles only map-side combined sums. Every round ends in a checkpoint of
+node-sized data: the next plan starts from files, and a lost executor costs one round at most.
+Out-links of a hub are split over salts; a hub's in-links are combined before the shuffle.
 """
 
 from pyspark.sql import DataFrame
@@ -143,7 +144,6 @@ def pagerank(
     damping: float = 0.85,
     max_iter: int = 100,
     tol: float = 1e-5,
-    checkpoint_every: int = 5,
     min_hot_rows: int = MIN_ROWS,
 ) -> DataFrame:
     """Weighted PageRank: author_id, rank, converged, iterations.
@@ -153,12 +153,10 @@ def pagerank(
     nodes * tol, or after max_iter rounds (tol 0 always does all rounds).
     """
     with fixed_partitioning(nodes.sparkSession) as partitions:
-        return _pagerank(
-            nodes, edges, damping, max_iter, tol, checkpoint_every, min_hot_rows, partitions
-        )
+        return _pagerank(nodes, edges, damping, max_iter, tol, min_hot_rows, partitions)
 
 
-def _pagerank(nodes, edges, damping, max_iter, tol, checkpoint_every, min_hot_rows, partitions):
+def _pagerank(nodes, edges, damping, max_iter, tol, min_hot_rows, partitions):
     split, hot = split_by_source(edges, partitions, min_hot_rows)
     out_weight = edges.groupBy("src").agg(F.sum("weight").alias("out_weight"))
     base = cut_lineage(
@@ -171,7 +169,6 @@ def _pagerank(nodes, edges, damping, max_iter, tol, checkpoint_every, min_hot_ro
     ).first()
     ranks = base.withColumn("rank", F.lit(1.0) / F.lit(float(max(total, 1))))
     dangling = sinks / max(total, 1)
-    held = None
     converged = total == 0
     rounds = 0
     while rounds < max_iter and not converged:
@@ -183,34 +180,27 @@ def _pagerank(nodes, edges, damping, max_iter, tol, checkpoint_every, min_hot_ro
             .agg(F.sum(F.col("r") * F.col("weight")).alias("got"))
         )
         spread = (1.0 - damping) / total + damping * dangling / total
-        step = ranks.join(received, "src", "left").select(
-            "src",
-            "out_weight",
-            (F.lit(damping) * F.coalesce("got", F.lit(0.0)) + F.lit(spread)).alias("next"),
-            F.col("rank").alias("before"),
+        step = cut_lineage(
+            ranks.join(received, "src", "left").select(
+                "src",
+                "out_weight",
+                (F.lit(damping) * F.coalesce("got", F.lit(0.0)) + F.lit(spread)).alias("next"),
+                F.col("rank").alias("before"),
+            )
         )
-        step = cut_lineage(step) if rounds % checkpoint_every == 0 else step.persist()
         # One row comes back: what the next round and the stop test need.
         dangling, change = step.agg(
             F.coalesce(F.sum(F.when(F.col("out_weight").isNull(), F.col("next"))), F.lit(0.0)),
             F.sum(F.abs(F.col("next") - F.col("before"))),
         ).first()
         converged = change < total * tol
-        if held is not None:
-            held.unpersist()
-        held = step
         ranks = step.select("src", "out_weight", F.col("next").alias("rank"))
-    final = cut_lineage(
-        ranks.select(
-            F.col("src").alias("author_id"),
-            "rank",
-            F.lit(converged).alias("converged"),
-            F.lit(rounds).alias("iterations"),
-        )
+    return ranks.select(
+        F.col("src").alias("author_id"),
+        "rank",
+        F.lit(converged).alias("converged"),
+        F.lit(rounds).alias("iterations"),
     )
-    if held is not None:
-        held.unpersist()
-    return final
 
 
 def amplification_risk(rank, negative, total):
@@ -268,7 +258,6 @@ def communities(
     nodes: DataFrame,
     edges: DataFrame,
     rounds: int = 10,
-    checkpoint_every: int = 5,
     min_hot_rows: int = MIN_ROWS,
 ) -> DataFrame:
     """author_id and community_id by label propagation on the undirected graph.
@@ -277,18 +266,17 @@ def communities(
     smallest one on a tie; all authors change at once. It stops early when no label changes.
     """
     with fixed_partitioning(nodes.sparkSession) as partitions:
-        return _communities(nodes, edges, rounds, checkpoint_every, min_hot_rows, partitions)
+        return _communities(nodes, edges, rounds, min_hot_rows, partitions)
 
 
-def _communities(nodes, edges, rounds, checkpoint_every, min_hot_rows, partitions):
+def _communities(nodes, edges, rounds, min_hot_rows, partitions):
     split, hot = split_by_source(undirected(edges), partitions, min_hot_rows)
     labels = cut_lineage(
         nodes.select(
             F.col("author_id").alias("src"), F.col("author_id").alias("label")
         ).repartition(partitions, "src")
     )
-    held = None
-    for i in range(1, rounds + 1):
+    for _ in range(rounds):
         votes = (
             split.join(hot.repeat(labels), hot.join_columns)
             .select(F.col("dst").alias("src"), "label")
@@ -300,21 +288,12 @@ def _communities(nodes, edges, rounds, checkpoint_every, min_hot_rows, partition
         chosen = votes.groupBy("src").agg(
             F.min(F.struct((-F.col("votes")).alias("v"), "label")).getField("label").alias("label")
         )
-        step = labels.withColumnRenamed("label", "before").join(chosen, "src")
-        step = cut_lineage(step) if i % checkpoint_every == 0 else step.persist()
+        step = cut_lineage(labels.withColumnRenamed("label", "before").join(chosen, "src"))
         changed = step.agg(F.count_if(F.col("label") != F.col("before"))).first()[0]
-        if held is not None:
-            held.unpersist()
-        held = step
         labels = step.select("src", "label")
         if not changed:
             break
-    final = cut_lineage(
-        labels.select(F.col("src").alias("author_id"), F.col("label").alias("community_id"))
-    )
-    if held is not None:
-        held.unpersist()
-    return final
+    return labels.select(F.col("src").alias("author_id"), F.col("label").alias("community_id"))
 
 
 def modularity(edges: DataFrame, members: DataFrame) -> DataFrame:
