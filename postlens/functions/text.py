@@ -22,8 +22,9 @@ NOT_SPACE = r"[^\s\x1C-\x1F]"
 EDGE = rf"(?:(?<!{WORD})(?={WORD})|(?<={WORD})(?!{WORD}))"
 
 # The patterns of the cleaning rules.
-URL = rf"(?iU)https?://{NOT_SPACE}+|www\.{NOT_SPACE}+"
-EMAIL = rf"(?U){EDGE}[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Z|a-z]{{2,}}{EDGE}"
+URL = rf"(?U)[hH][tT][tT][pP][sSſ]?://{NOT_SPACE}+|[wW][wW][wW]\.{NOT_SPACE}+"
+# The possessive ++ changes no match, as @ is not in the class before it.
+EMAIL = rf"(?U){EDGE}[A-Za-z0-9._%+-]++@[A-Za-z0-9.-]+\.[A-Z|a-z]{{2,}}{EDGE}"
 MENTION = r"@[\p{L}\p{N}_.-]+"
 HASHTAG = rf"#({WORD}+)"
 REPEATS = r"([^\n])\1{3,}"

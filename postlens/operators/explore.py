@@ -64,9 +64,11 @@ def spam_reason_breakdown(graded: DataFrame) -> DataFrame:
 
 
 def emoji_rows(posts: DataFrame, text: str, *keep: str) -> DataFrame:
-    """One row per emoji in a text."""
-    found = F.regexp_extract_all(F.col(text), F.lit(emoji.java_class()), F.lit(0))
-    return posts.select(*keep, F.explode(found).alias("emoji"))
+    """One row per emoji in a text. ASCII texts, as long in bytes as in characters, hold none."""
+    beyond_ascii = F.octet_length(text) > F.char_length(text)
+    signs = F.regexp_replace(F.col(text), r"[\x00-\x7F]+", "")
+    found = F.regexp_extract_all(signs, F.lit(emoji.java_class()), F.lit(0))
+    return posts.filter(beyond_ascii).select(*keep, F.explode(found).alias("emoji"))
 
 
 def named(counted: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ Both training and scoring are row-local Spark ML stages; the model is languages
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import NaiveBayes
-from pyspark.ml.feature import HashingTF, IndexToString, NGram, StringIndexer, VectorAssembler
+from pyspark.ml.feature import HashingTF, IndexToString, StringIndexer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,40 +14,33 @@ from postlens.functions.text import clean_text, word_count
 MIN_WORDS = 3
 
 
-def _characters(df: DataFrame, text: str) -> DataFrame:
+def _with_grams(df: DataFrame, text: str) -> DataFrame:
+    """All overlapping pairs and triples of characters, the ends of the text included."""
     padded = F.concat(F.lit(" "), F.lower(F.col(text)), F.lit(" "))
-    return df.withColumn("_chars", F.filter(F.split(padded, ""), lambda c: c != ""))
+    grams = [F.regexp_extract_all(padded, F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1)) for n in (2, 3)]
+    return df.withColumn("_grams", F.concat(*grams))
 
 
 def train_language_model(
-    labelled: DataFrame, text: str = "clean_text", language: str = "language", features: int = 8192
+    labelled: DataFrame, text: str = "clean_text", language: str = "language", features: int = 16384
 ) -> PipelineModel:
-    grams = [
-        stage
-        for n in (2, 3)
-        for stage in (
-            NGram(n=n, inputCol="_chars", outputCol=f"_grams{n}"),
-            HashingTF(numFeatures=features, inputCol=f"_grams{n}", outputCol=f"_tf{n}"),
-        )
-    ]
     indexer = StringIndexer(inputCol=language, outputCol="_label", stringOrderType="alphabetAsc")
     fitted = indexer.fit(labelled)
     pipeline = Pipeline(
         stages=[
-            *grams,
-            VectorAssembler(inputCols=["_tf2", "_tf3"], outputCol="_features"),
+            HashingTF(numFeatures=features, inputCol="_grams", outputCol="_features"),
             NaiveBayes(featuresCol="_features", labelCol="_label", predictionCol="_language_ix"),
             IndexToString(
                 inputCol="_language_ix", outputCol="_detected", labels=list(fitted.labels)
             ),
         ]
     )
-    return pipeline.fit(_characters(fitted.transform(labelled), text))
+    return pipeline.fit(_with_grams(fitted.transform(labelled), text))
 
 
 def detect_language(df: DataFrame, model: PipelineModel, text: str = "clean_text") -> DataFrame:
     """Add `language`; texts under three words count as English, empty ones too."""
-    scored = model.transform(_characters(df, text))
+    scored = model.transform(_with_grams(df, text))
     short = word_count(F.col(text)) < MIN_WORDS
     language = F.when(short, F.lit("en")).otherwise(F.coalesce("_detected", F.lit("unknown")))
     return scored.withColumn("language", language).select(*df.columns, "language")

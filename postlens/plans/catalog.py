@@ -21,7 +21,7 @@ from postlens.operators import (
 )
 from postlens.plans import report
 from postlens.schemas import BLUESKY_COMMIT, POST_KEY, REDDIT_ITEM
-from postlens.session import fresh_path
+from postlens.session import cut_lineage, fresh_path
 from postlens.sources import posts as sources
 from postlens.sources import validate
 from postlens.sources.adapters import AS_OF, LAST_DAY, SOURCE_COLUMNS, Tables, platform_of
@@ -468,12 +468,12 @@ def clean_event_posts(t):
 @query
 def clean_pages(t):
     """Page source cleaned like a post: entities, links and symbols all occur in it."""
-    return t.source("pages").select("page_id", clean_text(F.col("html")).alias("clean_text"))
+    return t.texts("pages").select("page_id", clean_text(F.col("html")).alias("clean_text"))
 
 
 @query
 def unescape_pages(t):
-    return t.source("pages").select("page_id", html_unescape("html").alias("html"))
+    return t.texts("pages").select("page_id", html_unescape("html").alias("html"))
 
 
 def graded_documents(t):
@@ -530,7 +530,10 @@ def hourly_velocity(t):
 def language_detection(t):
     """Trained on the training split, counted on the whole table by split."""
     cleaned = language.with_clean_text(t.document_posts()).withColumnRenamed("lang", "truth")
-    split = models.split_curated(cleaned, "post_id")
+    # Training and counting read the cleaned texts three times.
+    split = cut_lineage(
+        models.split_curated(cleaned, "post_id").select("post_id", "truth", "clean_text", "split")
+    )
     model = language.train_language_model(split.filter("split = 'train'"), language="truth")
     found = language.detect_language(split, model)
     return found.groupBy("split", "truth", F.col("language").alias("detected")).agg(
@@ -996,7 +999,7 @@ def promotion_gate(t):
 
 def labelled_documents(t):
     return (
-        t.source("documents")
+        t.texts("documents")
         .join(t.source("labels"), "doc_id")
         .select(
             F.col("doc_id").cast("string").alias("post_id"),
@@ -1052,6 +1055,8 @@ class StreamTables(Tables):
     def source(self, name):
         return stream_of(self, name)
 
+    texts = source
+
 
 @query
 def stream_windows(t):

@@ -580,10 +580,10 @@ SELECT post_id, {clean_sql(emoji_names('raw_text'))} AS clean_text FROM raw_post
 
 
 def unescape_sql(text: str) -> str:
-    """The four entities that occur in the pages; the ampersand last."""
-    for entity, char in (("&copy;", "©"), ("&middot;", "·"), ("&quot;", '"'), ("&amp;", "&")):
+    """The four entities that occur in the pages; the ampersand last, also without semicolon."""
+    for entity, char in (("&copy;", "©"), ("&middot;", "·"), ("&quot;", '"')):
         text = f"replace({text}, '{entity}', '{char}')"
-    return text
+    return f"regexp_replace({text}, '&amp;?', '&', 'g')"
 
 
 add("unescape_pages", f"SELECT page_id, {unescape_sql('html')} AS html FROM pages")

@@ -76,3 +76,12 @@ def fixed_partitioning(spark: SparkSession):
         yield int(spark.conf.get("spark.sql.shuffle.partitions"))
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", before)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """A task per core for a table that fewer tasks read (one row group, few topic partitions).
+
+    Tables with enough splits stay as they are, so large data is not shuffled for it.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postlens.schemas import ASPECTS, LABELS
+from postlens.session import spread
 
 SOURCE_COLUMNS = {
     "events": "event_id bigint, ts timestamp, user_id bigint, event_type string, value double, "
@@ -54,6 +55,10 @@ class Tables:
     def source(self, name: str) -> DataFrame:
         return source_table(self.spark, self.sf_dir, name)
 
+    def texts(self, name: str) -> DataFrame:
+        """A table of long texts, with enough tasks for work on its words."""
+        return spread(self.source(name))
+
     def raw_posts(self) -> DataFrame:
         """Bronze: replies point a few posts back; some engagement maps lack `replies`."""
         k = F.get_json_object("props", "$.k").cast("bigint")
@@ -127,7 +132,7 @@ class Tables:
     def document_posts(self) -> DataFrame:
         """Posts with long real texts; label and score follow doc_id."""
         score = F.col("doc_id") % 3 - 1
-        return self.source("documents").select(
+        return self.texts("documents").select(
             F.col("doc_id").cast("string").alias("post_id"),
             platform_of(F.col("doc_id")).alias("platform"),
             "text",
@@ -140,7 +145,7 @@ class Tables:
         """Chat turns as posts that answer the turn before."""
         key = F.concat_ws("-", "conv_id", "turn")
         parent = F.concat_ws("-", "conv_id", F.col("turn") - 1)
-        return self.source("conversations").select(
+        return self.texts("conversations").select(
             key.alias("post_id"),
             platform_of(F.col("conv_id")).alias("platform"),
             F.concat_ws("_", "role", "conv_id").alias("author_id"),

@@ -12,6 +12,7 @@ from postlens.operators.keyed import RESCORED, as_messages, explode_aspects, sea
 from postlens.operators.language import detect_language, with_clean_text
 from postlens.operators.models import Scorer, document_sentiment
 from postlens.schemas import ASPECT_KEY, POST_KEY, SUPPORTED_LANGUAGES
+from postlens.session import spread
 from postlens.sources.sinks import KeyedTable, insert_ignore_into, upsert_into
 from postlens.sources.validate import validate_and_dead_letter
 
@@ -102,7 +103,7 @@ def store_batch(
 
     A failure fails the batch, which is then replayed from the checkpointed offsets.
     """
-    posts, dead = validate_and_dead_letter(messages)
+    posts, dead = validate_and_dead_letter(spread(messages))
     enriched = enricher.enrich(posts).persist()
     insert_ignore_into(tables.bronze, enriched.select(*BRONZE))
     upsert_into(tables.silver, enriched.select(*SILVER), update=RESCORED, order=["processed_at"])
