@@ -19,6 +19,10 @@ def percent(part: Column, whole: Column, digits: int) -> Column:
     return rounded(100 * part / F.nullif(whole, F.lit(0)), digits)
 
 
+def row_count() -> Column:
+    return F.count(F.lit(1))
+
+
 def count_label(label: str) -> Column:
     return F.count_if(F.col("sentiment_label") == label)
 
@@ -30,7 +34,7 @@ def label_counts(negative: str, neutral: str, positive: str) -> list[Column]:
 
 def net_sentiment(digits: int = 2) -> Column:
     """Aggregate: (positive - negative) / all * 100."""
-    return percent(count_label("positive") - count_label("negative"), F.count(F.lit(1)), digits)
+    return percent(count_label("positive") - count_label("negative"), row_count(), digits)
 
 
 def mean_score(digits: int = 4) -> Column:

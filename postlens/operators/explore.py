@@ -5,16 +5,14 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from postlens.functions import emoji
-from postlens.functions.numeric import percent, rounded
+from postlens.functions.numeric import percent, rounded, row_count
 from postlens.functions.text import HASHTAG, raw_word_count
 from postlens.operators.filters import has_keyword
 
-ROWS = F.count(F.lit(1))
-
 
 def share_of_voice(posts: DataFrame) -> DataFrame:
     """Posts per platform and percentage of all; the window sees one row per platform."""
-    counted = posts.groupBy("platform").agg(ROWS.alias("posts"))
+    counted = posts.groupBy("platform").agg(row_count().alias("posts"))
     return counted.withColumn(
         "share_pct", percent(F.col("posts"), F.sum("posts").over(W.partitionBy()), 1)
     )
@@ -36,7 +34,7 @@ def text_length_stats(posts: DataFrame, text: str = "text") -> DataFrame:
         for label, q in (("q1", 0.25), ("median", 0.5), ("q3", 0.75)):
             stats.append(rounded(F.percentile(name, q), 4).alias(f"{name}_{label}"))
         stats.append(F.max(name).cast("bigint").alias(f"{name}_max"))
-    return lengths.groupBy("platform").agg(ROWS.alias("posts"), *stats)
+    return lengths.groupBy("platform").agg(row_count().alias("posts"), *stats)
 
 
 def length_histogram(lengths: DataFrame, column: str, bins: int = 20, cap: int = 128) -> DataFrame:
@@ -44,10 +42,10 @@ def length_histogram(lengths: DataFrame, column: str, bins: int = 20, cap: int =
     low, high = lengths.agg(F.min(column)).scalar(), lengths.agg(F.max(column)).scalar()
     width = F.greatest(F.lit(1.0), (high - low) / F.lit(float(bins)))
     slot = F.least(F.lit(bins - 1), F.floor((F.col(column) - low) / width)).cast("bigint")
-    over = lengths.agg(percent(F.count_if(F.col(column) > cap), ROWS, 4)).scalar()
+    over = lengths.agg(percent(F.count_if(F.col(column) > cap), row_count(), 4)).scalar()
     return (
         lengths.groupBy(slot.alias("bin"))
-        .agg(ROWS.alias("texts"), F.min(column).cast("bigint").alias("shortest"),
+        .agg(row_count().alias("texts"), F.min(column).cast("bigint").alias("shortest"),
              F.max(column).cast("bigint").alias("longest"))
         .withColumn("over_cap_pct", over)
     )
@@ -60,7 +58,7 @@ def sequence_length_stats(posts: DataFrame, text: str = "text", bins=20, cap=128
 
 
 def spam_reason_breakdown(graded: DataFrame) -> DataFrame:
-    return graded.filter("is_spam").groupBy("spam_reason").agg(ROWS.alias("posts"))
+    return graded.filter("is_spam").groupBy("spam_reason").agg(row_count().alias("posts"))
 
 
 def emoji_rows(posts: DataFrame, text: str, *keep: str) -> DataFrame:
@@ -80,7 +78,7 @@ def named(counted: DataFrame) -> DataFrame:
 
 def emoji_frequency(posts: DataFrame, text: str = "raw_text", k: int = 10) -> DataFrame:
     """The k most used emoji with their names."""
-    counted = emoji_rows(posts, text).groupBy("emoji").agg(ROWS.alias("uses"))
+    counted = emoji_rows(posts, text).groupBy("emoji").agg(row_count().alias("uses"))
     return named(counted).orderBy(F.desc("uses"), "emoji").limit(k)
 
 
@@ -90,7 +88,7 @@ def emoji_polarity(posts: DataFrame, text: str = "clean_text") -> DataFrame:
         emoji_rows(posts, text, "sentiment_label", "sentiment_score")
         .groupBy("emoji")
         .agg(
-            ROWS.alias("uses"),
+            row_count().alias("uses"),
             *[
                 F.count_if(F.col("sentiment_label") == label).alias(f"{label}_uses")
                 for label in ("positive", "neutral", "negative")
@@ -129,14 +127,14 @@ def hashtag_cooccurrence(
         .select("brand_term", F.explode("t").alias("tag"))
         .filter(F.col("tag") != F.col("brand_term"))
         .groupBy("brand_term", "tag")
-        .agg(ROWS.alias("posts"))
+        .agg(row_count().alias("posts"))
     )
 
 
 def hourly_velocity(posts: DataFrame) -> DataFrame:
     """Posts per hour; hours without posts between the first and the last count 0."""
     counted = posts.groupBy(F.date_trunc("hour", "created_at").alias("hour")).agg(
-        ROWS.alias("n")
+        row_count().alias("n")
     )
     span = posts.agg(
         F.date_trunc("hour", F.min("created_at")).alias("a"),

@@ -133,8 +133,11 @@ def degrees(edges: DataFrame) -> DataFrame:
 
 def split_by_source(edges: DataFrame, partitions: int, min_rows: int) -> tuple[DataFrame, HotKeys]:
     """Edges in reliable storage, partitioned by source (and salt of hot sources)."""
-    hot = find_hot_keys(edges.select("src"), "src", min_rows)
-    salted = hot.spread(edges, ["dst"])
+    stored = cut_lineage(edges.repartition(partitions, "src"))
+    hot = find_hot_keys(stored.select("src"), "src", min_rows)
+    if hot.splits is None:
+        return stored, hot
+    salted = hot.spread(stored, ["dst"])
     return cut_lineage(salted.repartition(partitions, *hot.join_columns)), hot
 
 
@@ -158,7 +161,7 @@ def pagerank(
 
 def _pagerank(nodes, edges, damping, max_iter, tol, min_hot_rows, partitions):
     split, hot = split_by_source(edges, partitions, min_hot_rows)
-    out_weight = edges.groupBy("src").agg(F.sum("weight").alias("out_weight"))
+    out_weight = split.groupBy("src").agg(F.sum("weight").alias("out_weight"))
     base = cut_lineage(
         nodes.select(F.col("author_id").alias("src"))
         .repartition(partitions, "src")
@@ -233,11 +236,16 @@ def influence_scores(nodes: DataFrame, edges: DataFrame, **pagerank_options) ->
     )
 
 
+def reply_graph(raw: DataFrame, posts: DataFrame, lookback_days=7, as_of=None):
+    """(nodes, edges) of the look-back period, each worked out once."""
+    pairs = cut_lineage(reply_edges(raw, lookback_days, as_of))
+    nodes = cut_lineage(build_nodes(author_sentiment(posts, lookback_days, as_of), pairs))
+    return nodes, weighted_edges(pairs)
+
+
 def run_influence(raw: DataFrame, posts: DataFrame, lookback_days=7, as_of=None, **options):
-    """Edges and author statistics of the look-back period, scored. Empty in, empty out."""
-    edges = cut_lineage(reply_edges(raw, lookback_days, as_of))
-    nodes = cut_lineage(build_nodes(author_sentiment(posts, lookback_days, as_of), edges))
-    return influence_scores(nodes, weighted_edges(edges), **options)
+    """Scores of the look-back period's reply graph. Empty in, empty out."""
+    return influence_scores(*reply_graph(raw, posts, lookback_days, as_of), **options)
 
 
 def undirected(edges: DataFrame) -> DataFrame:

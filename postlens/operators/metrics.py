@@ -4,6 +4,8 @@ Every aggregate here combines on the map side, so a platform that holds most of
 costs no more than the others: what is shuffled is one partial row per task and group.
 """
 
+from functools import partial
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -15,19 +17,18 @@ from postlens.functions.numeric import (
     net_sentiment,
     percent,
     rounded,
+    row_count,
 )
 from postlens.operators.filters import between_days, lookback, not_spam, on_day
 from postlens.schemas import GRANULARITIES, POST_KEY
 
-ROWS = F.count(F.lit(1))
-
 
 def realtime_kpis(posts: DataFrame, as_of=None) -> DataFrame:
     return (
         not_spam(lookback(posts, "24 hours", as_of))
         .groupBy("platform")
         .agg(
-            ROWS.alias("total_posts_24h"),
+            row_count().alias("total_posts_24h"),
             *label_counts("negative_posts", "neutral_posts", "positive_posts"),
             mean_score().alias("avg_sentiment_score"),
             net_sentiment().alias("net_sentiment_score_nss"),
@@ -40,7 +41,7 @@ def hourly_nss(posts: DataFrame, as_of=None) -> DataFrame:
         not_spam(lookback(posts, "7 days", as_of))
         .groupBy(F.date_trunc("hour", "created_at").alias("hour_bucket"), "platform")
         .agg(
-            ROWS.alias("total_posts"),
+            row_count().alias("total_posts"),
             *label_counts("neg_count", "neu_count", "pos_count"),
             mean_score().alias("mean_sentiment"),
             net_sentiment().alias("net_sentiment_score"),
@@ -49,21 +50,29 @@ def hourly_nss(posts: DataFrame, as_of=None) -> DataFrame:
     )
 
 
-def with_posts(aspects: DataFrame, posts: DataFrame, *columns: str) -> DataFrame:
-    """Aspect rows beside the named columns of their posts."""
-    return aspects.join(posts.select(*POST_KEY, *columns), POST_KEY)
+def with_posts(aspects: DataFrame, posts: DataFrame, period=None) -> DataFrame:
+    """Aspect rows of the given posts."""
+    return same_period(aspects, period).join(posts.select(*POST_KEY), POST_KEY)
+
+
+def same_period(rows: DataFrame, period) -> DataFrame:
+    """Cut a table joined by post key to the period of the posts, so that its old days are not read.
+
+    A post has one created_at in all tables; a table without that column is read whole.
+    """
+    return period(rows) if period is not None and "created_at" in rows.columns else rows
 
 
 def aspect_summary(aspects: DataFrame, posts: DataFrame, as_of=None) -> DataFrame:
-    recent = not_spam(lookback(posts, "24 hours", as_of))
+    period = last("24 hours", as_of)
     return (
-        with_posts(aspects, recent)
+        with_posts(aspects, not_spam(period(posts)), period)
         .groupBy("aspect")
         .agg(
-            ROWS.alias("mention_count"),
+            row_count().alias("mention_count"),
             mean_score().alias("avg_score"),
             *[
-                percent(count_label(label), ROWS, 1).alias(f"pct_{label}")
+                percent(count_label(label), row_count(), 1).alias(f"pct_{label}")
                 for label in ("positive", "neutral", "negative")
             ],
         )
@@ -73,14 +82,15 @@ def aspect_summary(aspects: DataFrame, posts: DataFrame, as_of=None) -> DataFram
 
 def aspect_pain_points(aspects: DataFrame, posts: DataFrame, as_of=None) -> DataFrame:
     """Worst aspect first. Spam counts here."""
+    period = last("48 hours", as_of)
     return (
-        with_posts(aspects, lookback(posts, "48 hours", as_of))
+        with_posts(aspects, period(posts), period)
         .groupBy("aspect")
         .agg(
-            ROWS.alias("total_mentions"),
+            row_count().alias("total_mentions"),
             mean_score().alias("aspect_sentiment_score"),
-            percent(count_label("negative"), ROWS, 2).alias("negative_pct"),
-            percent(count_label("positive"), ROWS, 2).alias("positive_pct"),
+            percent(count_label("negative"), row_count(), 2).alias("negative_pct"),
+            percent(count_label("positive"), row_count(), 2).alias("positive_pct"),
             net_sentiment().alias("aspect_nss"),
         )
         .orderBy("aspect_sentiment_score", "aspect")
@@ -96,20 +106,29 @@ def aspect_scores(aspects: DataFrame) -> DataFrame:
     )
 
 
-def with_engagement(posts: DataFrame, raw: DataFrame) -> DataFrame:
-    """Scored posts beside the engagement map of their raw copy."""
-    return posts.join(raw.select(*POST_KEY, "engagement"), POST_KEY)
+def with_engagement(posts: DataFrame, raw: DataFrame, period) -> DataFrame:
+    """Posts of a period (a filter function) beside the engagement map of their raw copy."""
+    engagement = same_period(raw, period).select(*POST_KEY, "engagement")
+    return period(posts).join(engagement, POST_KEY)
+
+
+def last(interval: str, as_of):
+    return partial(lookback, interval=interval, as_of=as_of)
+
+
+def days(first, until=None):
+    return partial(between_days, first=first, last=until or first)
 
 
 def cross_platform(posts: DataFrame, raw: DataFrame, as_of=None, approximate=False) -> DataFrame:
     """Authors, volume, mood and engagement per platform. Spam counts here."""
     authors = F.approx_count_distinct if approximate else F.count_distinct
     return (
-        with_engagement(lookback(posts, "24 hours", as_of), raw)
+        with_engagement(posts, raw, last("24 hours", as_of))
         .groupBy("platform")
         .agg(
             authors("author_id").alias("unique_active_users"),
-            ROWS.alias("total_posts"),
+            row_count().alias("total_posts"),
             mean_score().alias("avg_sentiment"),
             net_sentiment().alias("nss"),
             *[
@@ -126,7 +145,7 @@ def rollup(posts: DataFrame, granularity: str) -> DataFrame:
     return (
         spam_free.groupBy(F.window("created_at", GRANULARITIES[granularity]).alias("w"), "platform")
         .agg(
-            ROWS.alias("total_volume"),
+            row_count().alias("total_volume"),
             *label_counts("negative_count", "neutral_count", "positive_count"),
             mean_score().alias("mean_sentiment"),
             rounded(F.coalesce(F.stddev_samp("sentiment_score"), F.lit(0.0)), 4).alias(
@@ -160,7 +179,7 @@ def window_stats(posts: DataFrame, width: str = "15 minutes") -> DataFrame:
         not_spam(posts)
         .groupBy(F.window("created_at", width).alias("w"), "platform")
         .agg(
-            ROWS.alias("post_count"),
+            row_count().alias("post_count"),
             F.avg("sentiment_score").alias("avg_sentiment"),
             F.stddev_samp("sentiment_score").alias("stddev_sentiment"),
         )
@@ -214,7 +233,7 @@ def recent_window(
         recent = recent.filter(F.col("platform") == platform)
     return (
         recent.agg(
-            ROWS.alias("post_count"),
+            row_count().alias("post_count"),
             F.coalesce(F.avg("sentiment_score"), F.lit(0.0)).alias("mean_sentiment"),
             F.coalesce(F.stddev_samp("sentiment_score"), F.lit(0.0)).alias("std_sentiment"),
             F.min("created_at").alias("window_start"),
@@ -231,9 +250,9 @@ def ingestion_health(posts: DataFrame, as_of=None, low_confidence: float = 0.60)
         lookback(posts, "7 days", as_of)
         .groupBy(F.date_trunc("day", "created_at").alias("date_day"), "platform")
         .agg(
-            ROWS.alias("total_evaluated"),
+            row_count().alias("total_evaluated"),
             spam.alias("spam_rejected"),
-            percent(spam, ROWS, 2).alias("spam_rejection_pct"),
+            percent(spam, row_count(), 2).alias("spam_rejection_pct"),
             F.count_if(F.col("confidence") < low_confidence).alias("low_confidence_count"),
         )
         .orderBy(F.desc("date_day"), "platform")
@@ -247,7 +266,7 @@ def nss_24h(posts: DataFrame, as_of=None) -> DataFrame:
 
 def post_count(posts: DataFrame, as_of=None, keep_spam: bool = False) -> DataFrame:
     recent = lookback(posts, "24 hours", as_of)
-    return (recent if keep_spam else not_spam(recent)).agg(ROWS.alias("total_posts"))
+    return (recent if keep_spam else not_spam(recent)).agg(row_count().alias("total_posts"))
 
 
 def spam_rate(posts: DataFrame, as_of=None, digits: int = 1) -> DataFrame:
@@ -257,7 +276,7 @@ def spam_rate(posts: DataFrame, as_of=None, digits: int = 1) -> DataFrame:
 
 def spam_share(posts: DataFrame, digits: int = 2) -> DataFrame:
     """Share of spam in all rows given."""
-    return posts.agg(percent(F.count_if("is_spam"), ROWS, digits).alias("spam_rejection_pct"))
+    return posts.agg(percent(F.count_if("is_spam"), row_count(), digits).alias("spam_rejection_pct"))
 
 
 def hourly_mean_vs_baseline(posts: DataFrame, as_of=None, baseline: float = 0.35) -> DataFrame:
@@ -276,7 +295,7 @@ def hourly_mean_vs_baseline(posts: DataFrame, as_of=None, baseline: float = 0.35
 
 def polarity_share(posts: DataFrame, as_of=None) -> DataFrame:
     recent = not_spam(lookback(posts, "24 hours", as_of))
-    return recent.groupBy("sentiment_label").agg(ROWS.alias("volume"))
+    return recent.groupBy("sentiment_label").agg(row_count().alias("volume"))
 
 
 def author_sentiment(posts: DataFrame, lookback_days: int = 7, as_of=None) -> DataFrame:
@@ -284,7 +303,7 @@ def author_sentiment(posts: DataFrame, lookback_days: int = 7, as_of=None) -> Da
         not_spam(lookback(posts, f"{lookback_days} days", as_of))
         .groupBy("author_id", "author_handle", "platform")
         .agg(
-            ROWS.alias("total_posts"),
+            row_count().alias("total_posts"),
             count_label("negative").alias("negative_posts"),
             count_label("positive").alias("positive_posts"),
             F.avg("sentiment_score").alias("mean_sentiment"),
@@ -292,10 +311,10 @@ def author_sentiment(posts: DataFrame, lookback_days: int = 7, as_of=None) -> Da
     )
 
 
-def daily_totals(posts: DataFrame, first, last=None) -> DataFrame:
-    """Label totals of one day, or of the days first..last for a weekly report."""
-    return not_spam(between_days(posts, first, last or first)).agg(
-        ROWS.alias("total_volume"),
+def daily_totals(posts: DataFrame, first, until=None) -> DataFrame:
+    """Label totals of one day, or of the days first..until for a weekly report."""
+    return not_spam(days(first, until)(posts)).agg(
+        row_count().alias("total_volume"),
         *label_counts("negative_volume", "neutral_volume", "positive_volume"),
         F.coalesce(net_sentiment(1), F.lit(0.0)).alias("nss"),
     )
@@ -309,13 +328,13 @@ def interactions(engagement: Column) -> Column:
     return total
 
 
-def platform_report(posts: DataFrame, raw: DataFrame, first, last=None) -> DataFrame:
+def platform_report(posts: DataFrame, raw: DataFrame, first, until=None) -> DataFrame:
     """Volume, share, mood and interactions per post of each platform in the report period."""
     counted = (
-        with_engagement(not_spam(between_days(posts, first, last or first)), raw)
+        with_engagement(not_spam(posts), raw, days(first, until))
         .groupBy("platform")
         .agg(
-            ROWS.alias("volume"),
+            row_count().alias("volume"),
             net_sentiment(1).alias("nss"),
             mean_score(2).alias("avg_score"),
             rounded(F.avg(interactions(F.col("engagement"))), 1).alias("avg_engagement"),
@@ -329,9 +348,8 @@ def platform_report(posts: DataFrame, raw: DataFrame, first, last=None) -> DataF
 
 def platform_dynamics(posts: DataFrame, raw: DataFrame, hours: int = 24, as_of=None) -> DataFrame:
     """Score variance and interactions per hour of each platform."""
-    recent = not_spam(lookback(posts, f"{hours} hours", as_of))
     return (
-        with_engagement(recent, raw)
+        with_engagement(not_spam(posts), raw, last(f"{hours} hours", as_of))
         .groupBy("platform")
         .agg(
             rounded(F.var_samp("sentiment_score"), 4).alias("sentiment_variance"),

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from postlens.functions.numeric import percent, rounded
 from postlens.operators.filters import lookback
-from postlens.operators.metrics import with_engagement
+from postlens.operators.metrics import last, with_engagement
 
 
 def latest(df: DataFrame, column: str) -> DataFrame:
@@ -15,14 +15,14 @@ def latest(df: DataFrame, column: str) -> DataFrame:
 
 def viral_negative_posts(posts: DataFrame, raw: DataFrame, as_of=None, k: int = 15) -> DataFrame:
     """Negative posts of the last day by likes + 2 reposts + 3 replies. Spam counts here."""
-    negative = lookback(posts, "24 hours", as_of).filter(F.col("sentiment_label") == "negative")
+    negative = posts.filter(F.col("sentiment_label") == "negative")
     kinds = {
         kind: F.coalesce(F.col("engagement")[kind], F.lit(0).cast("bigint"))
         for kind in ("likes", "reposts", "replies")
     }
     impact = kinds["likes"] + 2 * kinds["reposts"] + 3 * kinds["replies"]
     return (
-        with_engagement(negative, raw)
+        with_engagement(negative, raw, last("24 hours", as_of))
         .select(
             "post_id",
             "platform",

@@ -245,7 +245,8 @@ def embedding_topics(
 def ctfidf(docs: DataFrame, topic: str, text: str, stop_words: list[str] | None = None) -> DataFrame:
     """topic, term, weight: uses in the topic * ln(1 + mean words per topic / uses in all)."""
     stop_words = english_stop_words() if stop_words is None else stop_words
-    uses = (
+    # Counts are needed three times, the texts should be read once.
+    uses = cut_lineage(
         docs.select(topic, F.explode(content_tokens(F.col(text), stop_words)).alias("term"))
         .groupBy(topic, "term")
         .agg(F.count(F.lit(1)).alias("uses"))

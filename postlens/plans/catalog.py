@@ -322,15 +322,8 @@ def influence_table(t):
     return scores.withColumn("calculated_at", F.lit(AS_OF).cast("timestamp"))
 
 
-def week_edges(t):
-    return graph.weighted_edges(graph.reply_edges(t.raw_posts(), 7, AS_OF))
-
-
-def week_nodes(t):
-    return graph.build_nodes(
-        metrics.author_sentiment(t.sentiment_posts(), 7, AS_OF),
-        graph.reply_edges(t.raw_posts(), 7, AS_OF),
-    )
+def week_graph(t):
+    return graph.reply_graph(t.raw_posts(), t.sentiment_posts(), 7, AS_OF)
 
 
 @query
@@ -356,17 +349,17 @@ def mention_edges(t):
 
 @query
 def graph_nodes(t):
-    return week_nodes(t)
+    return week_graph(t)[0]
 
 
 @query
 def degrees(t):
-    return graph.degrees(week_edges(t))
+    return graph.degrees(week_graph(t)[1])
 
 
 @query
 def pagerank(t):
-    ranked = graph.pagerank(week_nodes(t), week_edges(t), max_iter=RANK_ROUNDS, tol=0.0)
+    ranked = graph.pagerank(*week_graph(t), max_iter=RANK_ROUNDS, tol=0.0)
     return ranked.select("author_id", rounded(F.col("rank"), 8).alias("rank"), "iterations")
 
 
@@ -419,31 +412,30 @@ def amplifier_count(t):
     return report.amplifier_count(influence_table(t), 5.0)
 
 
-def community_table(t):
-    return graph.communities(week_nodes(t), week_edges(t), LABEL_ROUNDS)
-
-
 @query
 def communities(t):
-    return community_table(t)
+    return graph.communities(*week_graph(t), LABEL_ROUNDS)
 
 
 @query
 def community_summary(t):
-    return graph.community_summary(community_table(t), week_nodes(t))
+    nodes, edges = week_graph(t)
+    return graph.community_summary(graph.communities(nodes, edges, LABEL_ROUNDS), nodes)
 
 
 @query
 def community_members(t):
     """Node rows of the community of the alphabetically first author."""
-    members = community_table(t)
+    nodes, edges = week_graph(t)
+    members = graph.communities(nodes, edges, LABEL_ROUNDS)
     first = members.agg(F.min_by("community_id", "author_id")).scalar()
-    return graph.members_of(week_nodes(t), members, first)
+    return graph.members_of(nodes, members, first)
 
 
 @query
 def modularity(t):
-    return graph.modularity(week_edges(t), community_table(t))
+    nodes, edges = week_graph(t)
+    return graph.modularity(edges, graph.communities(nodes, edges, LABEL_ROUNDS))
 
 
 # --- text ----------------------------------------------------------------------------------

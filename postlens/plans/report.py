@@ -3,13 +3,11 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postlens.functions.numeric import percent
+from postlens.functions.numeric import count_label, mean_score, percent, row_count
 from postlens.operators.filters import HIGH_RISK, between_days, not_spam, sentiment_band
 from postlens.operators.metrics import (
-    ROWS,
-    count_label,
     daily_totals,
-    mean_score,
+    days,
     platform_report,
     with_posts,
 )
@@ -18,17 +16,17 @@ from postlens.operators.rankings import latest, riskiest
 
 def aspect_section(aspects: DataFrame, posts: DataFrame, first, last=None) -> DataFrame:
     """Score, shares and mentions per aspect in the report period, with a band for each."""
-    period = not_spam(between_days(posts, first, last or first))
+    period = days(first, last)
     return (
-        with_posts(aspects, period)
+        with_posts(aspects, not_spam(period(posts)), period)
         .groupBy("aspect")
         .agg(
             mean_score(2).alias("score"),
             *[
-                percent(count_label(label), ROWS, 1).alias(f"{label}_pct")
+                percent(count_label(label), row_count(), 1).alias(f"{label}_pct")
                 for label in ("positive", "neutral", "negative")
             ],
-            ROWS.alias("mention_count"),
+            row_count().alias("mention_count"),
         )
         .withColumn("band", sentiment_band(F.col("score"), "aspect"))
     )
@@ -89,7 +87,7 @@ def amplifier_section(scores: DataFrame, k: int = 10) -> DataFrame:
 
 def incident_count(alerts: DataFrame, first, last=None) -> DataFrame:
     return between_days(alerts, first, last or first, "detected_at").agg(
-        ROWS.alias("crisis_count")
+        row_count().alias("crisis_count")
     )
 
 

@@ -1,0 +1,164 @@
+"""Cleaning and spam rules against a plain-Python restatement."""
+
+import html
+import re
+import unicodedata
+
+import pytest
+from pyspark.sql import functions as F
+
+from postlens.functions import emoji
+from postlens.functions.spam import SPAM_PHRASES, SpamLimits, grade
+from postlens.functions.text import clean_text, raw_word_count, tokens, word_count
+
+URL = re.compile(r"https?://\S+|www\.\S+", re.IGNORECASE)
+STEPS = [
+    (URL, ""),
+    (re.compile(r"\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Z|a-z]{2,}\b"), ""),
+    (re.compile(r"@[\w_.-]+"), "@user"),
+    (re.compile(r"#(\w+)"), r"\1"),
+    (re.compile(r"(.)\1{3,}"), r"\1\1"),
+    (re.compile(r"[^\w\s.,!?'\"-]"), " "),
+    (re.compile(r"\s+"), " "),
+]
+
+
+def cleaned(text):
+    if not text:
+        return ""
+    text = unicodedata.normalize("NFKC", html.unescape(text))
+    text = emoji.demojize(text).replace("_", " ")
+    for pattern, replacement in STEPS:
+        text = pattern.sub(replacement, text)
+    return text.strip()
+
+
+def reason(raw, clean):
+    if len(clean.split()) < 2:
+        return "TOO_SHORT"
+    if len(raw) > 3000:
+        return "EXCESSIVE_LENGTH"
+    if len(URL.findall(raw)) >= 3:
+        return "EXCESSIVE_LINKS"
+    letters = [c for c in raw if c.isalpha()]
+    if len(letters) > 20 and sum(c.isupper() for c in letters) / len(letters) > 0.75:
+        return "SHOUTING_RATIO"
+    if len(raw) > 20 and max(raw.count(c) for c in set(raw)) / len(raw) > 0.45:
+        return "CHARACTER_FLOODING"
+    for phrase in SPAM_PHRASES:
+        if phrase in raw.lower():
+            return f"SPAM_KEYWORD:{phrase}"
+    return None
+
+
+TEXTS = [
+    None,
+    "",
+    "   ",
+    "one",
+    "two words",
+    "&lt;b&gt; Tom &amp;amp; Jerry &#39;quoted&#39; &copy; 2024 &eacute; &amp no semicolon",
+    "ﬁne ① ² ½ Ⅳ ｆｕｌｌ ™ ㎏",
+    "so good 🚀🚀 angry 😡 love ❤️ thumbs 👍🏽 flag 🇺🇸 key 1️⃣ coder 👨‍💻 ✨",
+    "snake_case https://a.b/c_d?e=f_g tail www.x_y.org @some_user.name-x #under_score",
+    "HTTPS://UPPER.example/X Www.Mixed.example/y httpx://no http:// x",
+    "mail a.b_c%d+e-f@ex-ample.co.uk, x@y.z, é@host.org, under_a@b.com and end@host.museum.",
+    "bad@host.c|m |pipe@host.a|b",
+    "#ApexCloud is #1 #é_x # alone ##double",
+    "nooo noooo " + "o" * 20 + " !!!!! \n\n\n\n\n ....",
+    "tabs\tand\nnew\r\nlines\x0b\x0c\x1c\x1d\x85\xa0   end",
+    "$100 €200 £300 (50%) [x] {y} <z> ~`^|\\/*=:;",
+    "it's \"quoted\" semi-colon; dash - ok.",
+    "é combining नमस्ते हिन्दी العربية 日本語 кириллица",
+    "A" * 20 + " b",
+    "A" * 21 + " b",
+    "ABCDEFGHIJKLMNO abcde",
+    "ABCDEFGHIJKLMNOP abcde",
+    "FREE CRYPTO AIRDROP AIRDROP CLICK HERE TO CLAIM 1000 BTC NOW!!!",
+    "get free crypto and an airdrop today",
+    "passive income, click here to claim",
+    "aaaaaaaaaa bcdefghijkl",
+    "aaaaaaaaaaa bcdefghijkl",
+    "x " * 1500,
+    "x " * 1500 + "y",
+    "see http://a.b and http://c.d",
+    "see http://a.b and http://c.d or www.e.f",
+    "earn $ now my friend",
+    *[f"please {p.upper()} this is it" for p in SPAM_PHRASES],
+]
+
+
+@pytest.fixture(scope="module")
+def posts(spark):
+    rows = list(enumerate(TEXTS))
+    return spark.createDataFrame(rows, "n int, text string").withColumn(
+        "clean_text", clean_text(F.col("text"))
+    )
+
+
+def test_cleaning_equals_plain_python(posts):
+    found = {row.n: row.clean_text for row in posts.collect()}
+    assert found == {n: cleaned(t) for n, t in enumerate(TEXTS)}
+
+
+def test_cleaning_equals_plain_python_on_tables(spark):
+    for name in ("documents", "conversations"):
+        table = spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet")
+        rows = table.select("text", clean_text(F.col("text")).alias("c")).collect()
+        assert [r.c for r in rows] == [cleaned(r.text) for r in rows]
+
+
+def test_underscores_go_before_links_and_mentions(spark):
+    row = spark.range(1).select(clean_text(F.lit("@a_b see http://x.y/c_d ok")).alias("c")).first()
+    assert row.c == "user b see d ok"
+
+
+def test_emoji_can_stay(spark):
+    row = spark.range(1).select(clean_text(F.lit("a_b 🚀 c"), replace_emoji=False).alias("c")).first()
+    assert row.c == "a_b c"
+
+
+def test_emoji_names():
+    assert emoji.demojize("🚀") == " rocket "
+    assert emoji.demojize("👍🏽") == " thumbs_up_medium_skin_tone "
+    assert len(emoji.name_table()) == len({c for c, _ in emoji.name_table()})
+
+
+def test_spam_rules_equal_plain_python(posts):
+    graded = grade(posts.filter("text is not null").withColumn("language", F.lit("en")))
+    found = {row.n: row.spam_reason for row in graded.collect()}
+    expected = {n: reason(t, cleaned(t)) for n, t in enumerate(TEXTS) if t is not None}
+    assert found == expected
+    flags = {row.n: row.is_spam for row in graded.collect()}
+    assert flags == {n: r is not None for n, r in expected.items()}
+
+
+def test_language_overrides_spam_reason(spark):
+    rows = [("free crypto for all", "de"), ("free crypto for all", "unknown"), ("fine post", "en")]
+    df = spark.createDataFrame(rows, "text string, language string").withColumn(
+        "clean_text", F.col("text")
+    )
+    found = [r.spam_reason for r in grade(df).collect()]
+    assert found == ["UNSUPPORTED_LANGUAGE:de", "SPAM_KEYWORD:free crypto", None]
+    assert grade(df, supported=["de", "en"]).filter("language = 'de'").first().spam_reason == (
+        "SPAM_KEYWORD:free crypto"
+    )
+
+
+def test_limits_are_parameters(spark):
+    df = spark.createDataFrame([("short post", "en")], "text string, language string").withColumn(
+        "clean_text", F.col("text")
+    )
+    assert grade(df, limits=SpamLimits(min_words=3)).first().spam_reason == "TOO_SHORT"
+
+
+def test_words_and_tokens(spark):
+    df = spark.createDataFrame([("",), ("Ab c d_e é1 x",), (" lead  and\ttabs ",)], "t string")
+    rows = df.select(
+        word_count(F.trim("t")).alias("clean"),
+        raw_word_count(F.col("t")).alias("raw"),
+        tokens(F.col("t")).alias("tokens"),
+    ).collect()
+    assert [r.raw for r in rows] == [0, 5, 3]
+    assert rows[0].clean == 0
+    assert rows[1].tokens == ["ab", "d_e", "é1"]
