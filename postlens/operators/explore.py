@@ -8,6 +8,7 @@ from postlens.functions import emoji
 from postlens.functions.numeric import percent, rounded, row_count
 from postlens.functions.text import HASHTAG, raw_word_count
 from postlens.operators.filters import has_keyword
+from postlens.session import cut_lineage
 
 
 def share_of_voice(posts: DataFrame) -> DataFrame:
@@ -37,26 +38,39 @@ def text_length_stats(posts: DataFrame, text: str = "text") -> DataFrame:
     return lengths.groupBy("platform").agg(row_count().alias("posts"), *stats)
 
 
-def length_histogram(lengths: DataFrame, column: str, bins: int = 20, cap: int = 128) -> DataFrame:
-    """Equal-width bins between the smallest and largest value, and the share above cap."""
-    low, high = lengths.agg(F.min(column)).scalar(), lengths.agg(F.max(column)).scalar()
+def length_density(posts: DataFrame, text: str = "text", width: int = 25) -> DataFrame:
+    """Share of each platform's texts per band of word counts; the window sees one row per band."""
+    band = (F.floor(raw_word_count(F.col(text)) / width) * width).cast("bigint")
+    counted = posts.groupBy("platform", band.alias("words_from")).agg(row_count().alias("texts"))
+    whole = F.sum("texts").over(W.partitionBy("platform"))
+    return counted.withColumn("share_pct", percent(F.col("texts"), whole, 4))
+
+
+def sequence_length_stats(
+    posts: DataFrame, text: str = "text", bins: int = 20, cap: int = 128
+) -> DataFrame:
+    """Word counts (not model tokens) in equal-width bins, and the share of texts above cap.
+
+    The texts are read once: range, bins and share all come from the table of distinct lengths.
+    """
+    counted = cut_lineage(
+        posts.groupBy(raw_word_count(F.col(text)).alias("words")).agg(row_count().alias("n"))
+    )
+    low, high = counted.agg(F.min("words")).scalar(), counted.agg(F.max("words")).scalar()
+    over = F.sum(F.when(F.col("words") > cap, F.col("n")).otherwise(0))
     width = F.greatest(F.lit(1.0), (high - low) / F.lit(float(bins)))
-    slot = F.least(F.lit(bins - 1), F.floor((F.col(column) - low) / width)).cast("bigint")
-    over = lengths.agg(percent(F.count_if(F.col(column) > cap), row_count(), 4)).scalar()
+    slot = F.least(F.lit(bins - 1), F.floor((F.col("words") - low) / width)).cast("bigint")
     return (
-        lengths.groupBy(slot.alias("bin"))
-        .agg(row_count().alias("texts"), F.min(column).cast("bigint").alias("shortest"),
-             F.max(column).cast("bigint").alias("longest"))
-        .withColumn("over_cap_pct", over)
+        counted.groupBy(slot.alias("bin"))
+        .agg(
+            F.sum("n").alias("texts"),
+            F.min("words").cast("bigint").alias("shortest"),
+            F.max("words").cast("bigint").alias("longest"),
+        )
+        .withColumn("over_cap_pct", counted.agg(percent(over, F.sum("n"), 4)).scalar())
     )
 
 
-def sequence_length_stats(posts: DataFrame, text: str = "text", bins=20, cap=128) -> DataFrame:
-    """Histogram of word counts (words, not model tokens)."""
-    lengths = posts.select(raw_word_count(F.col(text)).alias("words"))
-    return length_histogram(lengths, "words", bins, cap)
-
-
 def spam_reason_breakdown(graded: DataFrame) -> DataFrame:
     return graded.filter("is_spam").groupBy("spam_reason").agg(row_count().alias("posts"))
 
@@ -136,10 +150,7 @@ def hourly_velocity(posts: DataFrame) -> DataFrame:
     counted = posts.groupBy(F.date_trunc("hour", "created_at").alias("hour")).agg(
         row_count().alias("n")
     )
-    span = posts.agg(
-        F.date_trunc("hour", F.min("created_at")).alias("a"),
-        F.date_trunc("hour", F.max("created_at")).alias("b"),
-    )
+    span = counted.agg(F.min("hour").alias("a"), F.max("hour").alias("b"))
     hours = span.filter(F.col("a").isNotNull()).select(
         F.explode(F.sequence("a", "b", F.expr("interval 1 hour"))).alias("hour")
     )

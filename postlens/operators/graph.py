@@ -306,12 +306,12 @@ def _communities(nodes, edges, rounds, min_hot_rows, partitions):
 
 def modularity(edges: DataFrame, members: DataFrame) -> DataFrame:
     """One row: communities and the modularity of the undirected, unweighted graph."""
-    ends = undirected(edges)
+    ends = cut_lineage(undirected(edges))
     a = members.select(F.col("author_id").alias("src"), F.col("community_id").alias("c"))
     b = members.select(F.col("author_id").alias("dst"), F.col("community_id").alias("d"))
+    with_source = salted_join(ends, a, "src", ["dst"])
     per_community = (
-        ends.join(a, "src")
-        .join(b, "dst")
+        salted_join(with_source, b, "dst", ["src"])
         .groupBy("c")
         .agg(
             F.count_if(F.col("c") == F.col("d")).alias("inside"),

@@ -77,13 +77,14 @@ def upsert(
 RESCORED = ["sentiment_score", "sentiment_label", "confidence"]
 
 
-def explode_aspects(enriched: DataFrame) -> DataFrame:
-    """Long form of the aspects map: one row per post and aspect."""
+def explode_aspects(enriched: DataFrame, *keep: str) -> DataFrame:
+    """Long form of the aspects map: one row per post and aspect, beside the kept columns."""
     return enriched.select(
-        "post_id", "platform", F.explode("aspects").alias("aspect", "result")
+        "post_id", "platform", *keep, F.explode("aspects").alias("aspect", "result")
     ).select(
         "post_id",
         "platform",
+        *keep,
         "aspect",
         F.col("result.label").alias("sentiment_label"),
         F.col("result.score").alias("sentiment_score"),

@@ -24,6 +24,7 @@ from postlens.schemas import BLUESKY_COMMIT, POST_KEY, REDDIT_ITEM
 from postlens.session import cut_lineage, fresh_path
 from postlens.sources import posts as sources
 from postlens.sources import validate
+from postlens.sources.sinks import PARTITIONS
 from postlens.sources.adapters import AS_OF, LAST_DAY, SOURCE_COLUMNS, Tables, platform_of
 from postlens.streaming import alerts as alert_streams
 from postlens.streaming import windows as window_streams
@@ -35,6 +36,7 @@ QUERIES = {}
 CHART = changepoint.ChartSettings(cooldown_minutes=720)
 CHART_WIDTH = "6 hours"
 WEEK = ("2024-01-24", LAST_DAY)
+CRISIS_DAY = "2024-01-16"
 RANK_ROUNDS = 10
 LABEL_ROUNDS = 5
 STOP_WORDS = ["the", "of", "and", "to", "in", "der", "die", "und", "de", "la", "le", "el"]
@@ -493,6 +495,11 @@ def text_length_stats(t):
     return explore.text_length_stats(t.document_posts())
 
 
+@query
+def length_density(t):
+    return explore.length_density(t.document_posts())
+
+
 @query
 def sequence_length_stats(t):
     return explore.sequence_length_stats(t.document_posts())
@@ -1099,7 +1106,7 @@ def stream_alerts(t):
     stored = table.read(t.spark)
     if stored is None:
         return alert_table(t).limit(0).drop("alert_payload")
-    return stored.drop("alert_payload", "day")
+    return stored.drop("alert_payload", *PARTITIONS)
 
 
 @query
@@ -1126,22 +1133,20 @@ def enrich_stream(t):
 # --- report --------------------------------------------------------------------------------
 
 
-def report_row(t):
-    return report.daily_report(
+def report_lines(t, first, last):
+    """The report row with its key figures and the heads of its sections."""
+    row = report.daily_report(
         t.sentiment_posts(),
         t.raw_posts(),
         t.aspects(),
         alert_table(t),
         influence_table(t),
         cluster_table(t),
-        *WEEK,
+        first,
+        last,
     )
-
-
-@query
-def weekly_report(t):
-    """The report row with its key figures and the heads of its sections."""
-    return report_row(t).select(
+    volumes = F.transform("platform_metrics", lambda p: F.concat_ws(":", p.platform, p.volume))
+    return row.select(
         "brand_name",
         "report_date",
         "report_end",
@@ -1153,10 +1158,19 @@ def weekly_report(t):
         "kpis.neutral_volume",
         "kpis.crisis_count",
         F.array_join(F.col("aspect_metrics.aspect"), ",").alias("aspects"),
-        F.array_join(F.transform("platform_metrics", lambda p: F.concat_ws(":", p.platform, p.volume)), ",").alias(
-            "platform_volumes"
-        ),
+        F.array_join(volumes, ",").alias("platform_volumes"),
         F.array_join(F.col("trending_topics.topic_label"), ",").alias("topics"),
         F.size("crisis_alerts").alias("alerts_listed"),
         F.array_join(F.col("top_amplifiers.author_handle"), ",").alias("amplifiers"),
     )
+
+
+@query
+def daily_report(t):
+    """A day inside the drop in mood."""
+    return report_lines(t, CRISIS_DAY, CRISIS_DAY)
+
+
+@query
+def weekly_report(t):
+    return report_lines(t, *WEEK)

@@ -15,6 +15,7 @@ from postlens.operators.quality import (
 from postlens.plans.catalog import (
     BRAND_TERMS,
     CHART,
+    CRISIS_DAY,
     KEYWORDS,
     LABEL_ROUNDS,
     NEW_IDS,
@@ -629,6 +630,10 @@ def quartiles(name: str) -> str:
 
 add("text_length_stats", DOCS, LENGTHS, f"""
 SELECT platform, count(*) AS posts, {quartiles('chars')}, {quartiles('words')} FROM lengths GROUP BY ALL""")
+add("length_density", DOCS, LENGTHS, f"""
+SELECT platform, (words // 25) * 25 AS words_from, count(*) AS texts,
+  {pct('count(*)', 'sum(count(*)) OVER (PARTITION BY platform)', 4)} AS share_pct
+FROM lengths GROUP BY platform, words // 25""")
 add("sequence_length_stats", DOCS, LENGTHS, f"""span AS (
   SELECT min(words) AS low, greatest(1::DOUBLE, (max(words) - min(words)) / 20::DOUBLE) AS width,
     {pct('count(*) FILTER (WHERE words > 128)', 'count(*)', 4)} AS over_cap_pct FROM lengths)""", """
@@ -889,15 +894,21 @@ GROUP BY table_name, platform, times""")
 
 # --- report --------------------------------------------------------------------------------
 
-PERIOD = in_days(*WEEK)
-add("weekly_report", *RANKED, windows_sql(), ALERTS, ASPECT_ROWS, DOCS, TOKENS, TOP_TERMS, KEYWORD_LISTS, TOPICS,
-    platforms_sql(PERIOD), aspects_sql(PERIOD), f"totals AS ({totals_sql(PERIOD)})", f"""
-SELECT 'ApexCloud' AS brand_name, DATE '{WEEK[0]}' AS report_date, DATE '{WEEK[1]}' AS report_end, nss,
+
+def add_report(name: str, first: str, last: str) -> None:
+    period = in_days(first, last)
+    add(name, *RANKED, windows_sql(), ALERTS, ASPECT_ROWS, DOCS, TOKENS, TOP_TERMS, KEYWORD_LISTS, TOPICS,
+        platforms_sql(period), aspects_sql(period), f"totals AS ({totals_sql(period)})", f"""
+SELECT 'ApexCloud' AS brand_name, DATE '{first}' AS report_date, DATE '{last}' AS report_end, nss,
   {band_case('nss', 0, 20)} AS nss_band, total_volume, positive_volume, negative_volume, neutral_volume,
-  (SELECT count(*) FROM alerts WHERE {in_days(*WEEK, 'detected_at')}) AS crisis_count,
+  (SELECT count(*) FROM alerts WHERE {in_days(first, last, 'detected_at')}) AS crisis_count,
   (SELECT string_agg(aspect, ',' ORDER BY score DESC, aspect) FROM aspect_part) AS aspects,
   (SELECT string_agg(platform || ':' || volume, ',' ORDER BY platform) FROM platforms) AS platform_volumes,
   (SELECT string_agg(topic_label, ',' ORDER BY post_count DESC, topic_id) FROM topic_rows JOIN keyword_lists USING (lang)) AS topics,
-  (SELECT count(*) FROM alerts WHERE {in_days(*WEEK, 'detected_at')})::INTEGER AS alerts_listed,
+  (SELECT count(*) FROM alerts WHERE {in_days(first, last, 'detected_at')})::INTEGER AS alerts_listed,
   (SELECT string_agg(author_handle, ',' ORDER BY amplification_risk_score DESC) FROM (SELECT * FROM scores {BY_RISK} LIMIT 10)) AS amplifiers
 FROM totals""")
+
+
+add_report("daily_report", CRISIS_DAY, CRISIS_DAY)
+add_report("weekly_report", *WEEK)

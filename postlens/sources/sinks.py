@@ -1,8 +1,9 @@
 """Keyed tables on plain Parquet, safe to write twice.
 
-A table is a folder partitioned by the day of its time column (and platform). A write touches only
-the days that the batch holds. Inserts append; an upsert rewrites the touched days from a copy
-that is finished in the shared folder before the old files go (dynamic partition overwrite).
+A table is a folder partitioned by the day of its time column and by a hash bucket of the key. A
+write reads only the partitions that hold the batch's keys. Inserts append; an upsert rewrites the
+touched partitions from a copy that is finished in the shared folder before the old files go
+(dynamic partition overwrite).
 """
 
 from dataclasses import dataclass
@@ -15,18 +16,22 @@ from postlens.operators.keyed import as_messages, new_rows, one_per_key, upsert
 from postlens.session import cut_lineage
 
 DAY = "day"
+BUCKET = "key_bucket"
+PARTITIONS = [DAY, BUCKET]
 
 
 @dataclass(frozen=True)
 class KeyedTable:
     """path: folder. keys: unique key. time: column whose day partitions the table.
 
-    Rows of one key must fall on one day: a post keeps its created_at.
+    Rows of one key must fall on one day: a post keeps its created_at. With many posts a day and
+    small batches, more buckets mean that a batch touches a smaller part of the day.
     """
 
     path: str
     keys: list[str]
     time: str = "created_at"
+    buckets: int = 1
 
     def read(self, spark: SparkSession) -> DataFrame | None:
         try:
@@ -36,28 +41,36 @@ class KeyedTable:
                 return None
             raise
 
-    def with_day(self, df: DataFrame) -> DataFrame:
-        return df.withColumn(DAY, F.to_date(self.time))
+    def placed(self, df: DataFrame) -> DataFrame:
+        """df with the partition columns."""
+        bucket = F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
+        return df.withColumn(DAY, F.to_date(self.time)).withColumn(BUCKET, bucket)
 
     def touched(self, spark: SparkSession, batch: DataFrame) -> DataFrame | None:
-        """The stored rows of the batch's days. Partition pruning skips all other files.
+        """The stored rows of the batch's partitions. Partition pruning skips all other files.
 
-        The list of days is as long as the batch's time span, one value per day.
+        What comes back to the driver is one (day, bucket) row per partition of the batch.
         """
         stored = self.read(spark)
         if stored is None:
             return None
-        days = [row[0] for row in batch.select(DAY).distinct().collect()]
-        return stored.filter(F.col(DAY).isin(days)) if days else stored.limit(0)
+        found = batch.select(*PARTITIONS).distinct().collect()
+        buckets_of: dict = {}
+        for row in found:
+            buckets_of.setdefault(row[BUCKET], []).append(row[DAY])
+        wanted = F.lit(False)
+        for bucket, days in buckets_of.items():
+            wanted = wanted | ((F.col(BUCKET) == bucket) & F.col(DAY).isin(days))
+        return stored.filter(wanted)
 
 
 def _append(table: KeyedTable, df: DataFrame) -> None:
-    df.write.mode("append").partitionBy(DAY).parquet(table.path)
+    df.write.mode("append").partitionBy(*PARTITIONS).parquet(table.path)
 
 
 def insert_ignore_into(table: KeyedTable, batch: DataFrame, order: list[str] | None = None) -> None:
     """Append the rows with new keys."""
-    dated = cut_lineage(table.with_day(batch))
+    dated = cut_lineage(table.placed(batch))
     stored = table.touched(batch.sparkSession, dated)
     if stored is None:
         fresh = one_per_key(dated, table.keys, order)
@@ -72,8 +85,8 @@ def upsert_into(
     update: list[str] | None = None,
     order: list[str] | None = None,
 ) -> None:
-    """Merge the batch into its days and swap those days in."""
-    dated = cut_lineage(table.with_day(batch))
+    """Merge the batch into its partitions and swap those in."""
+    dated = cut_lineage(table.placed(batch))
     stored = table.touched(batch.sparkSession, dated)
     if stored is None:
         _append(table, one_per_key(dated, table.keys, order, last=True))
@@ -81,15 +94,15 @@ def upsert_into(
     # The copy no longer reads the folder it is about to replace.
     merged = cut_lineage(upsert(stored, dated, table.keys, update, order))
     merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-        DAY
+        *PARTITIONS
     ).parquet(table.path)
 
 
 def replace_days(table: KeyedTable, df: DataFrame) -> None:
     """Write whole days anew, as a rerun of a daily job does."""
-    table.with_day(df).write.mode("overwrite").option(
+    table.placed(df).write.mode("overwrite").option(
         "partitionOverwriteMode", "dynamic"
-    ).partitionBy(DAY).parquet(table.path)
+    ).partitionBy(*PARTITIONS).parquet(table.path)
 
 
 def append_snapshot(path: str, df: DataFrame, taken_at=None) -> None:

@@ -21,21 +21,22 @@ TRIGGER = "2 seconds"
 
 @dataclass(frozen=True)
 class EnrichmentTables:
-    """Folders under one root."""
+    """Folders under one root; buckets split each day of the three keyed tables."""
 
     root: str
+    buckets: int = 1
 
     @property
     def bronze(self) -> KeyedTable:
-        return KeyedTable(f"{self.root}/raw_social_posts", POST_KEY)
+        return KeyedTable(f"{self.root}/raw_social_posts", POST_KEY, buckets=self.buckets)
 
     @property
     def silver(self) -> KeyedTable:
-        return KeyedTable(f"{self.root}/sentiment_posts", POST_KEY)
+        return KeyedTable(f"{self.root}/sentiment_posts", POST_KEY, buckets=self.buckets)
 
     @property
     def aspects(self) -> KeyedTable:
-        return KeyedTable(f"{self.root}/post_aspect_sentiment", ASPECT_KEY)
+        return KeyedTable(f"{self.root}/post_aspect_sentiment", ASPECT_KEY, buckets=self.buckets)
 
     def folder(self, name: str, batch_id: int) -> str:
         return f"{self.root}/{name}/batch={batch_id}"
@@ -107,10 +108,7 @@ def store_batch(
     enriched = enricher.enrich(posts).persist()
     insert_ignore_into(tables.bronze, enriched.select(*BRONZE))
     upsert_into(tables.silver, enriched.select(*SILVER), update=RESCORED, order=["processed_at"])
-    dated = explode_aspects(enriched).join(
-        enriched.select(*POST_KEY, "created_at").dropDuplicates(POST_KEY), POST_KEY
-    )
-    insert_ignore_into(tables.aspects, dated)
+    insert_ignore_into(tables.aspects, explode_aspects(enriched, "created_at"))
     search_documents(enriched).write.mode("overwrite").json(tables.folder("search", batch_id))
     as_messages(enriched).write.mode("overwrite").json(tables.folder("enriched", batch_id))
     dead.write.mode("overwrite").json(tables.folder("dead_letter", batch_id))

@@ -63,8 +63,9 @@ def test_one_per_key_limits_before_the_shuffle(spark):
     assert "WindowGroupLimit" in text and "Partial" in text
 
 
-def test_keyed_table_on_disk(spark, tmp_path):
-    table = KeyedTable(str(tmp_path / "t"), POST_KEY)
+@pytest.mark.parametrize("buckets", [1, 4])
+def test_keyed_table_on_disk(spark, tmp_path, buckets):
+    table = KeyedTable(str(tmp_path / "t"), POST_KEY, buckets=buckets)
     insert_ignore_into(table, rows(spark, ("a", 0, 1, 1), ("b", 1, 2, 2), ("b", 1, 2, 2)))
     again = rows(spark, ("a", 0, 9, 9), ("c", 1, 3, 3))
     insert_ignore_into(table, again)
