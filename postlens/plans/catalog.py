@@ -1010,7 +1010,8 @@ def labelled_documents(t):
 
 def trained_heads(t):
     split = models.split_curated(labelled_documents(t), "post_id")
-    return models.train_aspect_heads(split.filter("split = 'train'"), max_iter=10)
+    train = split.filter("split = 'train'")
+    return models.train_aspect_heads(train, features=1 << 14, max_iter=10)
 
 
 @query
