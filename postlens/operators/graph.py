@@ -155,8 +155,9 @@ def pagerank(
     authors without out-links is spread over all. It stops when the summed change is below
     nodes * tol, or after max_iter rounds (tol 0 always does all rounds).
     """
-    with fixed_partitioning(nodes.sparkSession) as partitions:
-        return _pagerank(nodes, edges, damping, max_iter, tol, min_hot_rows, partitions)
+    stored = cut_lineage(edges)
+    with fixed_partitioning(nodes.sparkSession, stored.count()) as partitions:
+        return _pagerank(nodes, stored, damping, max_iter, tol, min_hot_rows, partitions)
 
 
 def _pagerank(nodes, edges, damping, max_iter, tol, min_hot_rows, partitions):
@@ -273,12 +274,13 @@ def communities(
     Every round each author takes the label most frequent among itself and its neighbours, the
     smallest one on a tie; all authors change at once. It stops early when no label changes.
     """
-    with fixed_partitioning(nodes.sparkSession) as partitions:
-        return _communities(nodes, edges, rounds, min_hot_rows, partitions)
+    links = cut_lineage(undirected(edges))
+    with fixed_partitioning(nodes.sparkSession, links.count()) as partitions:
+        return _communities(nodes, links, rounds, min_hot_rows, partitions)
 
 
-def _communities(nodes, edges, rounds, min_hot_rows, partitions):
-    split, hot = split_by_source(undirected(edges), partitions, min_hot_rows)
+def _communities(nodes, links, rounds, min_hot_rows, partitions):
+    split, hot = split_by_source(links, partitions, min_hot_rows)
     labels = cut_lineage(
         nodes.select(
             F.col("author_id").alias("src"), F.col("author_id").alias("label")

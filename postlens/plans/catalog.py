@@ -40,7 +40,7 @@ CRISIS_DAY = "2024-01-16"
 RANK_ROUNDS = 10
 LABEL_ROUNDS = 5
 STOP_WORDS = ["the", "of", "and", "to", "in", "der", "die", "und", "de", "la", "le", "el"]
-KEYWORDS = ["outage", "heed", "apexcloud", "ention"]
+KEYWORDS = ["outage", "heed", "downtime", "ention"]
 BRAND_TERMS = ["report", "case"]
 
 

@@ -899,7 +899,7 @@ def add_report(name: str, first: str, last: str) -> None:
     period = in_days(first, last)
     add(name, *RANKED, windows_sql(), ALERTS, ASPECT_ROWS, DOCS, TOKENS, TOP_TERMS, KEYWORD_LISTS, TOPICS,
         platforms_sql(period), aspects_sql(period), f"totals AS ({totals_sql(period)})", f"""
-SELECT 'ApexCloud' AS brand_name, DATE '{first}' AS report_date, DATE '{last}' AS report_end, nss,
+SELECT 'brand' AS brand_name, DATE '{first}' AS report_date, DATE '{last}' AS report_end, nss,
   {band_case('nss', 0, 20)} AS nss_band, total_volume, positive_volume, negative_volume, neutral_volume,
   (SELECT count(*) FROM alerts WHERE {in_days(first, last, 'detected_at')}) AS crisis_count,
   (SELECT string_agg(aspect, ',' ORDER BY score DESC, aspect) FROM aspect_part) AS aspects,

@@ -122,7 +122,7 @@ def daily_report(
     clusters: DataFrame,
     first,
     last=None,
-    brand: str = "ApexCloud",
+    brand: str = "brand",
 ) -> DataFrame:
     """One row with all sections; last makes it a report over several days."""
     totals = daily_totals(posts, first, last)

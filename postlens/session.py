@@ -63,19 +63,31 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+ROWS_PER_PARTITION = 1_000_000
+
+
 @contextmanager
-def fixed_partitioning(spark: SparkSession):
+def fixed_partitioning(spark: SparkSession, rows: int):
     """Keep hash partitions as planned, so that checkpointed inputs of a loop stay co-located.
 
-    Adaptive planning would merge partitions between rounds and shuffle the inputs again.
-    Yields the number of shuffle partitions.
+    Adaptive planning would merge partitions between rounds and shuffle the inputs again; without
+    it the number of partitions follows from the number of rows, with a task per core at least.
+    Yields that number.
     """
-    before = spark.conf.get("spark.sql.adaptive.enabled")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    cores = spark.sparkContext.defaultParallelism
+    partitions = max(cores, -(-rows // ROWS_PER_PARTITION))
+    settings = {
+        "spark.sql.adaptive.enabled": "false",
+        "spark.sql.shuffle.partitions": str(partitions),
+    }
+    before = {name: spark.conf.get(name) for name in settings}
     try:
-        yield int(spark.conf.get("spark.sql.shuffle.partitions"))
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        yield partitions
     finally:
-        spark.conf.set("spark.sql.adaptive.enabled", before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
 
 
 def spread(df: DataFrame) -> DataFrame:

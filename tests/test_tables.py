@@ -293,7 +293,7 @@ def test_daily_job(spark, tmp_path):
     report = run_daily(*args, LAST_DAY, AS_OF, str(tmp_path)).first()
     day = t.sentiment_posts().filter("not is_spam").filter(F.to_date("created_at") == LAST_DAY)
     assert report.kpis.total_volume == day.count()
-    assert len(report.aspect_metrics) == 5 and report.brand_name == "ApexCloud"
+    assert len(report.aspect_metrics) == 5 and report.brand_name == "brand"
     assert metric_table(str(tmp_path)).read(spark).count() == len(report.platform_metrics)
     assert spark.read.parquet(influence_path(str(tmp_path))).count() > 0
     assert run_daily(*args, "2030-01-01", AS_OF, str(tmp_path)) is None

@@ -64,7 +64,7 @@ TEXTS = [
     "HTTPS://UPPER.example/X Www.Mixed.example/y httpx://no http:// x",
     "mail a.b_c%d+e-f@ex-ample.co.uk, x@y.z, é@host.org, under_a@b.com and end@host.museum.",
     "bad@host.c|m |pipe@host.a|b",
-    "#ApexCloud is #1 #é_x # alone ##double",
+    "#CloudBrand is #1 #é_x # alone ##double",
     "nooo noooo " + "o" * 20 + " !!!!! \n\n\n\n\n ....",
     "tabs\tand\nnew\r\nlines\x0b\x0c\x1c\x1d\x85\xa0   end",
     "$100 €200 £300 (50%) [x] {y} <z> ~`^|\\/*=:;",
