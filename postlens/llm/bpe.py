@@ -1,7 +1,6 @@
 """Byte-level BPE by backtracking over longest matches, and decoding through an offset table."""
 
 import json
-from array import array
 
 import ahocorasick
 import numpy as np
@@ -10,7 +9,7 @@ import regex
 from pyspark.sql import DataFrame
 
 from postlens.llm.common import BYTE_BPE, per_worker
-from postlens.llm.tokens import ChunkEncoder, byte_letters, file_text
+from postlens.llm.tokens import ChunkEncoder, byte_letters, file_text, packed
 
 # Fixed value: the pre-tokenizer pattern of the vocabulary file's ByteLevel step.
 PRE_TOKENS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -135,12 +134,9 @@ class TextEncoder:
         self.pattern = regex.compile(PRE_TOKENS)
         names = sorted(vocabulary.special, key=len, reverse=True)
         self.special = regex.compile("(" + "|".join(map(regex.escape, names)) + ")") if names else None
-        self.whole = ChunkEncoder(self.encode_chunks, keep_spaces=True)
+        self.whole = ChunkEncoder(self.encode, lambda chunk: self.encode(" " + chunk), keep_spaces=True)
 
-    def encode_chunks(self, chunks):
-        return [array("I", self.encode_chunk(chunk)).tobytes() for chunk in chunks]
-
-    def encode_chunk(self, chunk):
+    def encode(self, chunk):
         parts = self.special.split(chunk) if self.special else [chunk]
         ids = []
         for place, part in enumerate(parts):
@@ -149,7 +145,7 @@ class TextEncoder:
                 continue
             for token in self.pattern.findall(part):
                 ids += self.backtrack(token.encode("utf-8"))
-        return ids
+        return packed(ids)
 
     def __call__(self, text):
         return self.whole(text)

@@ -5,45 +5,56 @@ import os
 import re
 from array import array
 
-import numpy as np
-
 from postlens.llm.common import per_worker
 
 # A space beside other white space belongs to a longer run, which must stay whole.
 RUN_WITH_SPACE = re.compile(r"\s | \s")
 LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 SEGMENT_CHARS = 1 << 20
-CACHED_CHARS = 1 << 23
+CACHED_CHARS = 1 << 22
+MARKS = ".,;:!?"
+
+
+class Known(dict):
+    """Ids by chunk; a chunk not known is encoded and kept.
+
+    There are two generations of so many characters: when the young one is full it becomes the old one, and chunks met
+    again move back. So memory is bounded and frequent chunks stay.
+    """
+
+    def __init__(self, encode):
+        super().__init__()
+        self.encode, self.chars, self.old = encode, 0, {}
+
+    def __missing__(self, chunk):
+        ids = self.old.get(chunk)
+        if ids is None:
+            ids = self.encode(chunk)
+        if self.chars > CACHED_CHARS:
+            self.old, self.chars = dict(self), 0
+            self.clear()
+        self[chunk] = ids
+        self.chars += len(chunk)
+        return ids
 
 
 class ChunkEncoder:
     """Whole texts to ids, as little-endian unsigned 32-bit bytes.
 
     The pre-tokenizers used here never join what stands before a lone space with what follows it, so
-    ids of a text are those of its chunks in order. White space runs stay inside a chunk
-    when keep_spaces is set, and so does the space in front of a chunk.
+    ids of a text are those of its chunks in order. encode_tail gets a chunk that has a space in front of it, without
+    the space; encode_head gets the first one.
     """
 
-    def __init__(self, encode, keep_spaces):
-        self.encode, self.keep_spaces = encode, keep_spaces
-        self.known, self.chars = {}, 0
+    def __init__(self, encode_head, encode_tail, keep_spaces):
+        self.encode_head, self.keep_spaces = encode_head, keep_spaces
+        self.known = Known(encode_tail)
 
     def chunks(self, text):
-        """The chunks of a text, the first as it is, the others as if a space stood before them."""
         if not self.keep_spaces or not RUN_WITH_SPACE.search(text):
             return text.split(" ")
         return LONE_SPACE.split(text)
 
-    def learn(self, chunks):
-        if self.chars > CACHED_CHARS:
-            self.known, self.chars = {}, 0
-        known = self.known
-        new = [chunk for chunk in chunks if chunk not in known]
-        space = " " if self.keep_spaces else ""
-        for chunk, ids in zip(new, self.encode([space + chunk for chunk in new])):
-            known[chunk] = ids
-            self.chars += len(chunk)
-
     def segments(self, text):
         start = 0
         while len(text) - start > SEGMENT_CHARS:
@@ -59,9 +70,7 @@ class ChunkEncoder:
         for place, segment in enumerate(self.segments(text or "")):
             chunks = self.chunks(segment)
             if place == 0:
-                first = chunks.pop(0)
-                ids += self.encode([first])
-            self.learn(dict.fromkeys(chunks))
+                ids.append(self.encode_head(chunks.pop(0)))
             ids.append(b"".join(map(self.known.__getitem__, chunks)))
         return b"".join(ids)
 
@@ -83,60 +92,55 @@ def packed(ids):
 
 
 class LibraryChunks:
-    """Ids of many chunks by the library.
+    """Ids of chunks by the library.
 
-    A chunk of Latin-1 letters is one pre-token, so it goes to the library's model at once. The rest
-    is encoded by one call, a special token's text between chunks: the library cuts it out before
-    anything else, so what stands between two of them is encoded as if alone.
+    Latin-1 letters, with full stops, commas and the like after them, are one or two pre-tokens in any of the
+    pre-tokenizers used here, so the letters go to the library's model at once. Other chunks take the whole way.
     """
 
-    def __init__(self, spec):
+    def __init__(self, spec, keep_spaces):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(spec)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.model = self.tokenizer.model
-        shape = json.loads(spec)
-        steps = (shape["normalizer"] or {}).get("normalizers", [])
+        self.tokenize = self.tokenizer.model.tokenize
+        steps = (json.loads(spec)["normalizer"] or {}).get("normalizers", [])
         self.lowers = any(step["type"] == "Lowercase" for step in steps)
-        special = [t for t in shape["added_tokens"] if t["special"] and not (t["lstrip"] or t["rstrip"])]
-        self.border, self.border_id = (special[-1]["content"], special[-1]["id"]) if special else (None, None)
-        self.letters = str.maketrans({chr(byte): letter for byte, letter in byte_letters().items()})
-
-    def is_plain(self, chunk):
-        body = chunk[1:] if chunk[:1] == " " else chunk
-        return body.isalpha() and max(body) <= "\xff"
-
-    def plain(self, chunk):
-        text = chunk.lower() if self.lowers else chunk
-        if not text.isascii() or text[0] == " ":
+        self.space = " " if keep_spaces else ""
+        letters = byte_letters()
+        self.space_letter = letters[32] if keep_spaces else ""
+        self.letters = {byte: letter for byte, letter in letters.items()}
+        self.marks = {"": b""}
+
+    def whole(self, text):
+        return packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
+
+    def tail(self, chunk):
+        body = chunk.rstrip(MARKS)
+        if not body.isalpha() or max(body) > "\xff":
+            return self.whole(self.space + chunk)
+        marks = chunk[len(body) :]
+        text = body.lower() if self.lowers else body
+        if not text.isascii():
             text = text.encode("utf-8").decode("latin-1").translate(self.letters)
-        return packed([token.id for token in self.model.tokenize(text)])
-
-    def ids(self, text):
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
-
-    def others(self, chunks):
-        if self.border is None or len(chunks) < 2 or any(self.border in chunk for chunk in chunks):
-            return [packed(self.ids(chunk)) for chunk in chunks]
-        ids = np.array(self.ids(self.border.join(chunks)), dtype="<u4")
-        ends = [*np.flatnonzero(ids == self.border_id).tolist(), len(ids)]
-        data = ids.tobytes()
-        return [data[4 * begin : 4 * end] for begin, end in zip([0, *(end + 1 for end in ends)], ends)]
-
-    def __call__(self, chunks):
-        plain = [self.is_plain(chunk) for chunk in chunks]
-        others = iter(self.others([chunk for chunk, p in zip(chunks, plain) if not p]))
-        return [self.plain(chunk) if p else next(others) for chunk, p in zip(chunks, plain)]
+        ids = packed([token.id for token in self.tokenize(self.space_letter + text)])
+        if marks:
+            if marks not in self.marks:
+                self.marks[marks] = self.whole(marks)
+            ids += self.marks[marks]
+        return ids
 
 
 def library_encoder(spec: str, keep_spaces: bool) -> ChunkEncoder:
     """The worker's encoder for a tokenizer file's content."""
-    return per_worker(
-        ("library", hash(spec), keep_spaces), lambda: ChunkEncoder(LibraryChunks(spec), keep_spaces)
-    )
+
+    def make():
+        library = LibraryChunks(spec, keep_spaces)
+        return ChunkEncoder(library.whole, library.tail, keep_spaces)
+
+    return per_worker(("library", hash(spec), keep_spaces), make)
 
 
 def file_text(path: str) -> str:
