@@ -39,12 +39,12 @@ def subwords(text: str) -> np.ndarray:
     buckets, mixed = [], np.zeros(len(folded), dtype=np.uint64)
     for size in range(1, max(SUBWORDS) + 1):
         if len(folded) < size:
-            break
+            break  # the empty text
         mixed = (mixed[: len(folded) - size + 1] ^ folded[size - 1 :]) * MIX[size - 1]
         mixed ^= mixed >> np.uint64(31)
         if size in SUBWORDS:
             buckets.append((mixed * MIX[0]) >> np.uint64(64 - BUCKET_BITS))
-    return np.concatenate(buckets).astype(np.int64)
+    return np.concatenate([*buckets, np.empty(0, np.uint64)]).astype(np.int64)
 
 
 class LanguageModel:
