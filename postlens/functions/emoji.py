@@ -1,8 +1,8 @@
 """Emoji code points and their names.
 
 The names follow the rule "Unicode name, lower case, underscores"; RENAMED holds common ones whose
-short name in the public CLDR data differs from that rule. Sequences joined by U+200D get the
-names of their parts.
+short name in the public CLDR data differs from that rule. Sequences joined by U+200D follow the
+rules of `joined`; those that no rule covers get the names of their parts.
 """
 
 import re
@@ -27,53 +27,116 @@ A9 AE 203C 2049 2122 2139 2194-2199 21A9-21AA 231A-231B 2328 23CF 23E9-23F3 23F8
 
 # Short names that differ from the Unicode name.
 RENAMED = {
+    "©": "copyright",
+    "®": "registered",
+    "™": "trade_mark",
+    "ℹ": "information",
+    "↔": "left-right_arrow",
+    "↕": "up-down_arrow",
+    "↖": "up-left_arrow",
+    "↗": "up-right_arrow",
+    "↘": "down-right_arrow",
+    "↙": "down-left_arrow",
+    "↩": "right_arrow_curving_left",
+    "↪": "left_arrow_curving_right",
+    "⌛": "hourglass_done",
+    "⏏": "eject_button",
+    "⏩": "fast-forward_button",
+    "⏪": "fast_reverse_button",
+    "⏫": "fast_up_button",
+    "⏬": "fast_down_button",
+    "⏭": "next_track_button",
+    "⏮": "last_track_button",
+    "⏯": "play_or_pause_button",
+    "⏳": "hourglass_not_done",
+    "⏸": "pause_button",
+    "⏹": "stop_button",
+    "⏺": "record_button",
+    "▶": "play_button",
+    "◀": "reverse_button",
     "☀": "sun",
-    "☁": "cloud",
     "☎": "telephone",
     "☑": "check_box_with_check",
-    "☔": "umbrella_with_rain_drops",
-    "☕": "hot_beverage",
     "☝": "index_pointing_up",
-    "☠": "skull_and_crossbones",
+    "☢": "radioactive",
+    "☣": "biohazard",
     "☹": "frowning_face",
     "☺": "smiling_face",
+    "♠": "spade_suit",
+    "♣": "club_suit",
     "♥": "heart_suit",
+    "♦": "diamond_suit",
     "♻": "recycling_symbol",
-    "⚙": "gear",
+    "♾": "infinity",
+    "⚖": "balance_scale",
     "⚠": "warning",
     "⚡": "high_voltage",
-    "⛔": "no_entry",
+    "⛈": "cloud_with_lightning_and_rain",
+    "⛑": "rescue_worker’s_helmet",
+    "⛹": "person_bouncing_ball",
+    "✂": "scissors",
     "✅": "check_mark_button",
-    "✈": "airplane",
-    "✊": "raised_fist",
-    "✋": "raised_hand",
-    "✌": "victory_hand",
-    "✏": "pencil",
     "✔": "check_mark",
     "✖": "multiply",
-    "❌": "cross_mark",
+    "✡": "star_of_David",
+    "❎": "cross_mark_button",
     "❓": "red_question_mark",
     "❔": "white_question_mark",
     "❕": "white_exclamation_mark",
     "❗": "red_exclamation_mark",
+    "❣": "heart_exclamation",
     "❤": "red_heart",
     "➕": "plus",
     "➖": "minus",
+    "➗": "divide",
     "➡": "right_arrow",
+    "⤴": "right_arrow_curving_up",
+    "⤵": "right_arrow_curving_down",
     "⬅": "left_arrow",
     "⬆": "up_arrow",
     "⬇": "down_arrow",
     "⭐": "star",
-    "🌈": "rainbow",
+    "⭕": "hollow_red_circle",
+    "🅰": "A_button_(blood_type)",
+    "🅱": "B_button_(blood_type)",
+    "🅾": "O_button_(blood_type)",
+    "🅿": "P_button",
+    "🆎": "AB_button_(blood_type)",
+    "🆑": "CL_button",
+    "🆒": "COOL_button",
+    "🆓": "FREE_button",
+    "🆔": "ID_button",
+    "🆕": "NEW_button",
+    "🆖": "NG_button",
+    "🆗": "OK_button",
+    "🆘": "SOS_button",
+    "🆙": "UP!_button",
+    "🆚": "VS_button",
     "🌍": "globe_showing_Europe-Africa",
     "🌎": "globe_showing_Americas",
     "🌏": "globe_showing_Asia-Australia",
-    "🎂": "birthday_cake",
-    "🎉": "party_popper",
-    "🎊": "confetti_ball",
+    "🌚": "new_moon_face",
+    "🌝": "full_moon_face",
+    "🌦": "sun_behind_rain_cloud",
+    "🌪": "tornado",
+    "🌬": "wind_face",
+    "🌽": "ear_of_corn",
+    "🌾": "sheaf_of_rice",
+    "🍆": "eggplant",
     "🎁": "wrapped_gift",
-    "🏆": "trophy",
-    "👀": "eyes",
+    "🎇": "sparkler",
+    "🎯": "bullseye",
+    "🎶": "musical_notes",
+    "🏃": "person_running",
+    "🏄": "person_surfing",
+    "🏊": "person_swimming",
+    "🏋": "person_lifting_weights",
+    "🏌": "person_golfing",
+    "🏍": "motorcycle",
+    "🏠": "house",
+    "🏧": "ATM_sign",
+    "🏳": "white_flag",
+    "🏴": "black_flag",
     "👆": "backhand_index_pointing_up",
     "👇": "backhand_index_pointing_down",
     "👈": "backhand_index_pointing_left",
@@ -84,75 +147,190 @@ RENAMED = {
     "👍": "thumbs_up",
     "👎": "thumbs_down",
     "👏": "clapping_hands",
-    "💀": "skull",
-    "💔": "broken_heart",
-    "💖": "sparkling_heart",
-    "💙": "blue_heart",
-    "💚": "green_heart",
-    "💛": "yellow_heart",
-    "💜": "purple_heart",
+    "👐": "open_hands",
+    "👝": "clutch_bag",
+    "👟": "running_shoe",
+    "👯": "people_with_bunny_ears",
+    "👱": "person_blond_hair",
+    "👲": "person_with_skullcap",
+    "👳": "person_wearing_turban",
+    "👴": "old_man",
+    "👵": "old_woman",
+    "👹": "ogre",
+    "👺": "goblin",
+    "👽": "alien",
+    "👿": "angry_face_with_horns",
+    "💁": "person_tipping_hand",
+    "💂": "guard",
+    "💃": "woman_dancing",
+    "💆": "person_getting_massage",
+    "💇": "person_getting_haircut",
+    "💠": "diamond_with_a_dot",
     "💡": "light_bulb",
-    "💢": "anger_symbol",
-    "💣": "bomb",
+    "💤": "ZZZ",
     "💥": "collision",
     "💦": "sweat_droplets",
-    "💩": "pile_of_poo",
-    "💪": "flexed_biceps",
+    "💨": "dashing_away",
+    "💫": "dizzy",
     "💯": "hundred_points",
-    "💰": "money_bag",
-    "💸": "money_with_wings",
+    "💵": "dollar_banknote",
+    "💹": "chart_increasing_with_yen",
     "💻": "laptop",
+    "💽": "computer_disk",
+    "💿": "optical_disk",
     "📈": "chart_increasing",
     "📉": "chart_decreasing",
-    "📱": "mobile_phone",
     "📢": "loudspeaker",
     "📣": "megaphone",
+    "📧": "e-mail",
+    "📩": "envelope_with_arrow",
+    "📲": "mobile_phone_with_arrow",
+    "📶": "antenna_bars",
+    "🔁": "repeat_button",
+    "🔂": "repeat_single_button",
+    "🔃": "clockwise_vertical_arrows",
+    "🔄": "counterclockwise_arrows_button",
+    "🔅": "dim_button",
+    "🔆": "bright_button",
+    "🔇": "muted_speaker",
+    "🔈": "speaker_low_volume",
+    "🔉": "speaker_medium_volume",
+    "🔊": "speaker_high_volume",
+    "🔍": "magnifying_glass_tilted_left",
+    "🔎": "magnifying_glass_tilted_right",
+    "🔏": "locked_with_pen",
+    "🔐": "locked_with_key",
     "🔒": "locked",
     "🔓": "unlocked",
-    "🔧": "wrench",
-    "🔥": "fire",
-    "😀": "grinning_face",
+    "🔕": "bell_with_slash",
+    "🔗": "link",
+    "🔙": "BACK_arrow",
+    "🔚": "END_arrow",
+    "🔛": "ON!_arrow",
+    "🔜": "SOON_arrow",
+    "🔝": "TOP_arrow",
+    "🔞": "no_one_under_eighteen",
+    "🔟": "keycap_10",
+    "🔤": "input_latin_letters",
+    "🔪": "kitchen_knife",
+    "🔫": "water_pistol",
+    "🔯": "dotted_six-pointed_star",
+    "🔰": "Japanese_symbol_for_beginner",
+    "🔴": "red_circle",
+    "🔵": "blue_circle",
+    "🔺": "red_triangle_pointed_up",
+    "🔻": "red_triangle_pointed_down",
     "😁": "beaming_face_with_smiling_eyes",
     "😃": "grinning_face_with_big_eyes",
     "😄": "grinning_face_with_smiling_eyes",
     "😅": "grinning_face_with_sweat",
     "😆": "grinning_squinting_face",
-    "😉": "winking_face",
     "😋": "face_savoring_food",
     "😍": "smiling_face_with_heart-eyes",
-    "😑": "expressionless_face",
     "😓": "downcast_face_with_sweat",
-    "😖": "confounded_face",
     "😘": "face_blowing_a_kiss",
-    "😝": "squinting_face_with_tongue",
-    "😜": "winking_face_with_tongue",
     "😛": "face_with_tongue",
+    "😜": "winking_face_with_tongue",
+    "😝": "squinting_face_with_tongue",
     "😡": "enraged_face",
     "😤": "face_with_steam_from_nose",
     "😥": "sad_but_relieved_face",
-    "😨": "fearful_face",
-    "😫": "tired_face",
     "😰": "anxious_face_with_sweat",
-    "😱": "face_screaming_in_fear",
     "😵": "face_with_crossed-out_eyes",
-    "😷": "face_with_medical_mask",
-    "🙃": "upside-down_face",
-    "🙄": "face_with_rolling_eyes",
     "🙅": "person_gesturing_NO",
     "🙆": "person_gesturing_OK",
+    "🙇": "person_bowing",
+    "🙋": "person_raising_hand",
     "🙌": "raising_hands",
+    "🙎": "person_pouting",
     "🙏": "folded_hands",
+    "🚂": "locomotive",
+    "🚅": "bullet_train",
+    "🚙": "sport_utility_vehicle",
+    "🚣": "person_rowing_boat",
+    "🚧": "construction",
+    "🚨": "police_car_light",
     "🚫": "prohibited",
-    "🤔": "thinking_face",
+    "🚬": "cigarette",
+    "🚭": "no_smoking",
+    "🚴": "person_biking",
+    "🚵": "person_mountain_biking",
+    "🚶": "person_walking",
+    "🛀": "person_taking_bath",
+    "🛌": "person_in_bed",
+    "🛑": "stop_sign",
+    "🛒": "shopping_cart",
+    "🟠": "orange_circle",
+    "🟡": "yellow_circle",
+    "🟢": "green_circle",
+    "🟣": "purple_circle",
+    "🤖": "robot",
     "🤗": "smiling_face_with_open_hands",
-    "🤣": "rolling_on_the_floor_laughing",
+    "🤞": "crossed_fingers",
+    "🤟": "love-you_gesture",
+    "🤠": "cowboy_hat_face",
     "🤦": "person_facepalming",
+    "🤨": "face_with_raised_eyebrow",
+    "🤩": "star-struck",
+    "🤪": "zany_face",
+    "🤫": "shushing_face",
     "🤬": "face_with_symbols_on_mouth",
+    "🤭": "face_with_hand_over_mouth",
     "🤮": "face_vomiting",
     "🤯": "exploding_head",
     "🤷": "person_shrugging",
+    "🥰": "smiling_face_with_hearts",
     "🥳": "partying_face",
-    "🧠": "brain",
+    "🥴": "woozy_face",
+    "🥵": "hot_face",
+    "🥶": "cold_face",
+    "🥺": "pleading_face",
+    "🧑": "person",
+}
+
+# Sequences with a name of their own, without U+200D and U+FE0F.
+SEQUENCES = {
+    "❤🔥": "heart_on_fire",
+    "❤🩹": "mending_heart",
+    "🏳🌈": "rainbow_flag",
+    "🏳⚧": "transgender_flag",
+    "🏴☠": "pirate_flag",
+    "🐕🦺": "service_dog",
+    "🐈⬛": "black_cat",
+    "🐻❄": "polar_bear",
+    "👁🗨": "eye_in_speech_bubble",
+    "😮💨": "face_exhaling",
+    "😵💫": "face_with_spiral_eyes",
+    "😶🌫": "face_in_clouds",
+}
+# Parts of sequences of people.
+PEOPLE = {"👨": "man", "👩": "woman", "🧑": "person"}
+GENDERS = {"♂": "man", "♀": "woman"}
+FAMILY = {"👨": "man", "👩": "woman", "👦": "boy", "👧": "girl"}
+ROLES = {
+    "⚕": "health_worker",
+    "⚖": "judge",
+    "✈": "pilot",
+    "🌾": "farmer",
+    "🍳": "cook",
+    "🎓": "student",
+    "🎤": "singer",
+    "🎨": "artist",
+    "🏫": "teacher",
+    "🏭": "factory_worker",
+    "💻": "technologist",
+    "💼": "office_worker",
+    "🔧": "mechanic",
+    "🔬": "scientist",
+    "🚀": "astronaut",
+    "🚒": "firefighter",
+    "🦯": "with_white_cane",
+    "🦰": "red_hair",
+    "🦱": "curly_hair",
+    "🦲": "bald",
+    "🦳": "white_hair",
+    "🦼": "in_motorized_wheelchair",
+    "🦽": "in_manual_wheelchair",
 }
 
 # Skin tones, U+1F3FB to U+1F3FF.
@@ -193,17 +371,44 @@ def name_table() -> list[tuple[str, str]]:
 _FLAG = "([\U0001f1e6-\U0001f1ff])([\U0001f1e6-\U0001f1ff])"
 _KEYCAP = "([0-9#*])️?⃣"
 _TONE = "[\U0001f3fb-\U0001f3ff]"
-_PATTERN = re.compile(f"{_FLAG}|{_KEYCAP}|({python_class()})️?({_TONE})?")
+_UNIT = f"{python_class()}\ufe0f?{_TONE}?"
+_PATTERN = re.compile(f"{_FLAG}|{_KEYCAP}|({_UNIT}(?:\u200d{_UNIT})*)")
+
+
+def unit(text: str) -> tuple[str, str]:
+    """Base character of one part of a sequence, and its skin tone's name with an underscore in front."""
+    base, *rest = text.replace("\ufe0f", "")
+    return base, "".join(f"_{name_of(c)}" for c in rest)
+
+
+def joined(parts: list[str]) -> str | None:
+    """The one name of a sequence: fixed ones, a person with what they hold, a person with a gender sign."""
+    units = [unit(part) for part in parts]
+    bases, tone = "".join(base for base, _ in units), units[0][1]
+    if bases in SEQUENCES:
+        return SEQUENCES[bases]
+    first, second = bases[0], bases[1:]
+    if first in PEOPLE and second in ROLES:
+        return f"{PEOPLE[first]}_{ROLES[second]}{tone}"
+    if second in GENDERS:
+        return f"{GENDERS[second]}_{name_of(first).removeprefix('person_')}{tone}"
+    if set(bases) <= set(FAMILY):
+        return "_".join(["family", *(FAMILY[base] for base in bases)])
+    return None
 
 
 def _described(found: re.Match) -> str:
-    first, second, key, base, tone = found.groups()
+    first, second, key, sequence = found.groups()
     if first:
         letters = (chr(ord("a") + ord(c) - REGIONAL_A) for c in (first, second))
         return f" flag_{''.join(letters)} "
     if key:
         return f" keycap_{key} "
-    return f" {name_of(base)}{'_' + name_of(tone) if tone else ''} "
+    parts = sequence.split("\u200d")
+    name = joined(parts) if len(parts) > 1 else None
+    if name:
+        return f" {name} "
+    return "".join(f" {name_of(base)}{tone} " for base, tone in map(unit, parts))
 
 
 def demojize(text: str) -> str:

@@ -205,97 +205,3 @@ def for_all_platforms(posts: DataFrame) -> DataFrame:
     """Posts once under their platform and once under `all_platforms`."""
     both = F.array(F.col("platform"), F.lit(ALL_PLATFORMS))
     return posts.withColumn("platform", F.explode(both))
-
-
-def bootstrap_draws(windows: DataFrame, runs: int, length: int, baseline: float) -> DataFrame:
-    """run, step, x: window means drawn with replacement and shifted to the baseline mean.
-
-    The draw is a hash of (run, step), so that every run of the job draws the same.
-    """
-    history = windows.select(
-        # Window aggregates only: numbering them in one task is cheap.
-        (F.row_number().over(W.orderBy("platform", "window_start")) - 1).alias("ix"),
-        (F.col("avg_sentiment") - F.avg("avg_sentiment").over(W.partitionBy())).alias("noise"),
-    )
-    size = windows.agg(F.count(F.lit(1))).scalar()
-    spark = windows.sparkSession
-    steps = spark.range(runs).select(
-        F.col("id").alias("run"),
-        F.explode(F.sequence(F.lit(1), F.lit(length))).alias("step"),
-    )
-    digest = F.substring(F.md5(F.concat_ws("-", "run", "step")), 1, 8)
-    drawn = steps.withColumn("ix", F.pmod(F.conv(digest, 16, 10).cast("bigint"), size))
-    return drawn.join(history, "ix").select(
-        "run", "step", (F.lit(baseline) + F.col("noise")).alias("x")
-    )
-
-
-def gaussian_draws(spark: SparkSession, runs: int, length: int, baseline, sigma, seed=0):
-    """run, step, x from a normal distribution around the baseline."""
-    return spark.range(runs).select(
-        F.col("id").alias("run"),
-        F.explode(F.sequence(F.lit(1), F.lit(length))).alias("step"),
-    ).withColumn("x", F.lit(baseline) + sigma * F.randn(seed))
-
-
-def run_lengths(draws: DataFrame, h_grid: list[float], k: float, baseline: float, cap: int):
-    """Mean steps until the statistic passes each h, for draws of an undisturbed process.
-
-    The statistic does not depend on h, so one pass serves the whole grid.
-    """
-    charted = reflected_sum("_step", "run", "step")(
-        draws.withColumn("_step", F.lit(baseline - k) - F.col("x"))
-    )
-    per_run = charted.groupBy("run").agg(
-        *[
-            F.coalesce(F.min(F.when(F.col("cusum") > h + 1e-12, F.col("step"))), F.lit(cap)).alias(
-                f"h{i}"
-            )
-            for i, h in enumerate(h_grid)
-        ]
-    )
-    curve = F.array(
-        *[
-            F.struct(F.lit(h).alias("h"), F.col(f"h{i}").alias("steps"))
-            for i, h in enumerate(h_grid)
-        ]
-    )
-    return (
-        per_run.select(F.explode(curve).alias("point"))
-        .groupBy(F.col("point.h").alias("h"))
-        .agg(F.avg("point.steps").alias("arl"))
-    )
-
-
-def calibrate(
-    windows: DataFrame,
-    target_arl: int = 500,
-    runs: int = 2000,
-    shift: float = 1.0,
-    settings: ChartSettings = ChartSettings(),
-    h_multipliers=None,
-) -> DataFrame:
-    """Run length without a crisis per threshold, the one nearest the target marked.
-
-    Noise comes from the windows' own history. A run is cut at three times the target.
-    """
-    grid = h_multipliers or [3.0 + i * 3.0 / 9 for i in range(10)]
-    k = 0.5 * shift * settings.sigma
-    cap = 3 * target_arl
-    draws = bootstrap_draws(windows, runs, cap, settings.baseline)
-    curve = run_lengths(
-        draws, [m * settings.sigma for m in grid], k, settings.baseline, cap
-    ).select(
-        rounded(F.col("h") / settings.sigma, 2).alias("h_multiplier"),
-        rounded(F.col("arl"), 1).alias("arl"),
-    )
-    # Ten rows: the grid.
-    gap = F.abs(F.col("arl") - target_arl)
-    best = F.row_number().over(W.orderBy(gap, "h_multiplier")) == 1
-    return curve.select(
-        "h_multiplier",
-        "arl",
-        rounded(F.col("h_multiplier") * settings.sigma, 4).alias("h_absolute"),
-        F.lit(round(k, 4)).alias("k_absolute"),
-        best.alias("recommended"),
-    ).orderBy("h_multiplier")

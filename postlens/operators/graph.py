@@ -263,30 +263,32 @@ def undirected(edges: DataFrame) -> DataFrame:
     )
 
 
-def communities(
-    nodes: DataFrame,
-    edges: DataFrame,
-    rounds: int = 10,
-    min_hot_rows: int = MIN_ROWS,
-) -> DataFrame:
-    """author_id and community_id by label propagation on the undirected graph.
+def communities(nodes: DataFrame, edges: DataFrame, min_hot_rows: int = MIN_ROWS) -> DataFrame:
+    """author_id, community_id, converged, iterations by label propagation on the undirected graph.
 
     Every round each author takes the label most frequent among itself and its neighbours, the
-    smallest one on a tie; all authors change at once. It stops early when no label changes.
+    smallest one on a tie; all authors change at once. It ends when no label changes. Two groups of
+    authors may swap labels for ever: labels equal to those of two rounds before end it as well,
+    and converged is false then.
     """
     links = cut_lineage(undirected(edges))
     with fixed_partitioning(nodes.sparkSession, links.count()) as partitions:
-        return _communities(nodes, links, rounds, min_hot_rows, partitions)
+        return _communities(nodes, links, min_hot_rows, partitions)
 
 
-def _communities(nodes, links, rounds, min_hot_rows, partitions):
+def _communities(nodes, links, min_hot_rows, partitions):
     split, hot = split_by_source(links, partitions, min_hot_rows)
-    labels = cut_lineage(
+    state = cut_lineage(
         nodes.select(
-            F.col("author_id").alias("src"), F.col("author_id").alias("label")
+            F.col("author_id").alias("src"),
+            F.col("author_id").alias("label"),
+            F.lit(None).cast("string").alias("before"),
         ).repartition(partitions, "src")
     )
-    for _ in range(rounds):
+    rounds, changed, repeated = 0, 1, 0
+    while changed and not repeated:
+        rounds += 1
+        labels = state.select("src", "label")
         votes = (
             split.join(hot.repeat(labels), hot.join_columns)
             .select(F.col("dst").alias("src"), "label")
@@ -298,12 +300,20 @@ def _communities(nodes, links, rounds, min_hot_rows, partitions):
         chosen = votes.groupBy("src").agg(
             F.min(F.struct((-F.col("votes")).alias("v"), "label")).getField("label").alias("label")
         )
-        step = cut_lineage(labels.withColumnRenamed("label", "before").join(chosen, "src"))
-        changed = step.agg(F.count_if(F.col("label") != F.col("before"))).first()[0]
-        labels = step.select("src", "label")
-        if not changed:
-            break
-    return labels.select(F.col("src").alias("author_id"), F.col("label").alias("community_id"))
+        last = state.select("src", F.col("label").alias("one_back"), F.col("before").alias("two_back"))
+        step = cut_lineage(last.join(chosen, "src"))
+        changed, differs = step.agg(
+            F.count_if(F.col("label") != F.col("one_back")),
+            F.count_if(~F.col("label").eqNullSafe(F.col("two_back"))),
+        ).first()
+        repeated = not differs
+        state = step.select("src", "label", F.col("one_back").alias("before"))
+    return state.select(
+        F.col("src").alias("author_id"),
+        F.col("label").alias("community_id"),
+        F.lit(not changed).alias("converged"),
+        F.lit(rounds).alias("iterations"),
+    )
 
 
 def modularity(edges: DataFrame, members: DataFrame) -> DataFrame:

@@ -203,16 +203,15 @@ def discover_topics(
     key: str = "post_id",
     text: str = "clean_text",
     nr_topics: int = 10,
-    min_docs: int = 15,
     **options,
 ) -> tuple[DataFrame, list[list[str]]]:
-    """(key, topic_id per document; heaviest terms per topic). A corpus too small gives nothing."""
+    """(key, topic_id per document; heaviest terms per topic). Without a term there are no topics."""
     stop_words = options.pop("stop_words", None)
     max_features = options.pop("max_features", 1000)
     vectors, terms = tfidf(docs.select(key, text), text, stop_words, max_features=max_features)
     vectors = cut_lineage(vectors)
     count = vectors.count()
-    if count < min_docs or not terms:
+    if not count or not terms:
         return vectors.limit(0).select(key, F.lit(0).alias("topic_id")), []
     topics = min(nr_topics, max(2, count // 10))
     h = nmf(vectors, len(terms), topics, **options)
@@ -281,7 +280,10 @@ def keyword_lists(ranked: DataFrame, topic: str, kept: int = 8) -> DataFrame:
 
 
 def topic_label(keywords: Column) -> Column:
-    return F.initcap(F.array_join(F.slice(keywords, 1, 2), " & "))
+    """The first two keywords, every run of letters with a capital first: "k8s" becomes "K8S"."""
+    name = F.array_join(F.slice(keywords, 1, 2), " & ")
+    runs = F.regexp_extract_all(name, F.lit(r"\p{L}+|\P{L}+"), 0)
+    return F.array_join(F.transform(runs, F.initcap), "")
 
 
 def keyword_frame(spark, terms: list[list[str]], kept: int = 8) -> DataFrame:

@@ -37,8 +37,7 @@ CHART = changepoint.ChartSettings(cooldown_minutes=720)
 CHART_WIDTH = "6 hours"
 WEEK = ("2024-01-24", LAST_DAY)
 CRISIS_DAY = "2024-01-16"
-RANK_ROUNDS = 10
-LABEL_ROUNDS = 5
+TOPIC_LANGUAGES = ["en", "de", "fr", "es"]
 STOP_WORDS = ["the", "of", "and", "to", "in", "der", "die", "und", "de", "la", "le", "el"]
 KEYWORDS = ["outage", "heed", "downtime", "ention"]
 BRAND_TERMS = ["report", "case"]
@@ -309,17 +308,12 @@ def incident_count(t):
     return report.incident_count(alert_table(t), "2024-01-15", "2024-01-17")
 
 
-@query
-def calibrate_cusum(t):
-    return changepoint.calibrate(chart_windows(t), 500, 200, settings=CHART)
-
-
 # --- reply graph ---------------------------------------------------------------------------
 
 
 def influence_table(t):
     scores = graph.run_influence(
-        t.raw_posts(), t.sentiment_posts(), 7, AS_OF, max_iter=RANK_ROUNDS, tol=0.0
+        t.raw_posts(), t.sentiment_posts(), 7, AS_OF
     )
     return scores.withColumn("calculated_at", F.lit(AS_OF).cast("timestamp"))
 
@@ -361,8 +355,8 @@ def degrees(t):
 
 @query
 def pagerank(t):
-    ranked = graph.pagerank(*week_graph(t), max_iter=RANK_ROUNDS, tol=0.0)
-    return ranked.select("author_id", rounded(F.col("rank"), 8).alias("rank"), "iterations")
+    ranked = graph.pagerank(*week_graph(t))
+    return ranked.withColumn("rank", rounded(F.col("rank"), 8))
 
 
 @query
@@ -416,20 +410,20 @@ def amplifier_count(t):
 
 @query
 def communities(t):
-    return graph.communities(*week_graph(t), LABEL_ROUNDS)
+    return graph.communities(*week_graph(t))
 
 
 @query
 def community_summary(t):
     nodes, edges = week_graph(t)
-    return graph.community_summary(graph.communities(nodes, edges, LABEL_ROUNDS), nodes)
+    return graph.community_summary(graph.communities(nodes, edges), nodes)
 
 
 @query
 def community_members(t):
     """Node rows of the community of the alphabetically first author."""
     nodes, edges = week_graph(t)
-    members = graph.communities(nodes, edges, LABEL_ROUNDS)
+    members = graph.communities(nodes, edges)
     first = members.agg(F.min_by("community_id", "author_id")).scalar()
     return graph.members_of(nodes, members, first)
 
@@ -437,7 +431,7 @@ def community_members(t):
 @query
 def modularity(t):
     nodes, edges = week_graph(t)
-    return graph.modularity(edges, graph.communities(nodes, edges, LABEL_ROUNDS))
+    return graph.modularity(edges, graph.communities(nodes, edges))
 
 
 # --- text ----------------------------------------------------------------------------------
@@ -868,14 +862,16 @@ def topic_coherence(t):
     )
 
 
+def topic_of_language():
+    return F.array_position(F.array(*map(F.lit, TOPIC_LANGUAGES)), F.col("lang")).cast("int") - 1
+
+
 def language_topics(t):
-    """Documents assigned by language; Spanish ones count as outliers."""
-    topic = (
-        F.when(F.col("lang") == "en", 0).when(F.col("lang") == "de", 1).when(F.col("lang") == "fr", 2)
-    )
+    """Documents assigned by language; one in none of TOPIC_LANGUAGES would be an outlier."""
     return t.document_posts().select(
         "post_id",
-        F.coalesce(topic, F.lit(topics.OUTLIER)).alias("topic_id"),
+        # Position 0, for a language not in the list, gives the number of outliers.
+        F.coalesce(topic_of_language(), F.lit(topics.OUTLIER)).alias("topic_id"),
         F.col("text").alias("clean_text"),
         "sentiment_label",
         "sentiment_score",
@@ -900,11 +896,8 @@ def topic_metrics(t):
 def cluster_table(t):
     """Topic rows of two runs; the newer one is the active run."""
     assigned = language_topics(t)
-    ranked = language_terms(t).withColumn(
-        "topic_id",
-        F.when(F.col("lang") == "en", 0).when(F.col("lang") == "de", 1).when(F.col("lang") == "fr", 2),
-    )
-    keywords = topics.keyword_lists(ranked.filter("topic_id is not null"), "topic_id")
+    ranked = language_terms(t).withColumn("topic_id", topic_of_language())
+    keywords = topics.keyword_lists(ranked.filter("topic_id >= 0"), "topic_id")
     old = topics.topic_clusters(assigned.filter("topic_id = 0"), keywords, "2024-01-29")
     return old.unionByName(topics.topic_clusters(assigned, keywords, LAST_DAY))
 
@@ -1011,7 +1004,7 @@ def labelled_documents(t):
 def trained_heads(t):
     split = models.split_curated(labelled_documents(t), "post_id")
     train = split.filter("split = 'train'")
-    return models.train_aspect_heads(train, features=1 << 14, max_iter=10)
+    return models.train_aspect_heads(train)
 
 
 @query

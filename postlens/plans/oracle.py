@@ -1,11 +1,9 @@
 """DuckDB SQL with the same results as the queries of the catalog, by the same names.
 
-The tables events, documents and so on are views there. Iterations are unrolled, one common table
-expression per round.
+The tables events, documents and so on are views there. Iterations are recursive and end by the same
+stop rule, not after a shared number of rounds.
 """
 
-from postlens.functions.emoji import name_of, python_class
-from postlens.functions.spam import SPAM_PHRASES
 from postlens.operators.quality import (
     ASPECT_RULES,
     RAW_POST_RULES,
@@ -17,9 +15,7 @@ from postlens.plans.catalog import (
     CHART,
     CRISIS_DAY,
     KEYWORDS,
-    LABEL_ROUNDS,
     NEW_IDS,
-    RANK_ROUNDS,
     STOP_WORDS,
     WEEK,
 )
@@ -27,6 +23,22 @@ from postlens.schemas import ASPECTS
 from postlens.sources.adapters import AS_OF, LAST_DAY
 
 ORACLE: dict[str, str] = {}
+# Expected names of the emoji in the given tables, and the phrases that mark spam, in their order.
+EMOJI = {"😡": "enraged_face", "🚀": "rocket", "✨": "sparkles"}
+SPAM_PHRASES = [
+    "airdrop",
+    "free crypto",
+    "giveaway alert",
+    "dm to buy",
+    "earn $",
+    "whatsapp me",
+    "telegram channel",
+    "100x gem",
+    "guaranteed profit",
+    "work from home",
+    "passive income",
+    "click here to claim",
+]
 
 
 def r(value: str, digits: int) -> str:
@@ -399,28 +411,6 @@ add("stream_alerts", POSTS, windows_sql(), ALERTS, f"""
 SELECT alerts.* FROM alerts
 WHERE window_end <= (SELECT max(created_at) FROM posts WHERE {CLEAN}) - INTERVAL '10 minutes'""")
 
-HISTORY = """history AS (
-  SELECT row_number() OVER (ORDER BY platform, window_start) - 1 AS ix, m - avg(m) OVER () AS noise
-  FROM (SELECT platform, time_bucket(INTERVAL '6 hours', created_at) AS window_start, avg(sentiment_score) AS m
-    FROM posts WHERE NOT is_spam GROUP BY ALL)),
-draws AS (
-  SELECT run, step, CAST('0x' || left(md5(run || '-' || step), 8) AS BIGINT)
-    % (SELECT count(*) FROM history) AS ix
-  FROM range(200) a(run), range(1, 1501) b(step))"""
-H_GRID = [3.0 + i * 3.0 / 9 for i in range(10)]
-add("calibrate_cusum", POSTS, HISTORY, f"""sums AS (
-  SELECT run, step, sum({MU} - {SLACK} - ({MU} + noise)) OVER (PARTITION BY run ORDER BY step) AS c
-  FROM draws JOIN history USING (ix)),
-statistics AS (
-  SELECT run, step, c - least(0, min(c) OVER (PARTITION BY run ORDER BY step)) AS s FROM sums),
-lengths AS (
-  SELECT run, m, coalesce(min(step) FILTER (WHERE s > m * {CHART.sigma} + 1e-12), 1500) AS steps
-  FROM statistics, (VALUES {", ".join(f"({h}::DOUBLE)" for h in H_GRID)}) AS g(m) GROUP BY run, m),
-curve AS (SELECT {r('m', 2)} AS h_multiplier, {r('avg(steps)', 1)} AS arl FROM lengths GROUP BY m)""", f"""
-SELECT h_multiplier, arl, {r(f'h_multiplier * {CHART.sigma}', 4)} AS h_absolute, {round(SLACK, 4)}::DOUBLE AS k_absolute,
-  row_number() OVER (ORDER BY abs(arl - 500), h_multiplier) = 1 AS recommended
-FROM curve""")
-
 # --- reply graph ---------------------------------------------------------------------------
 
 EDGES = f"""pairs AS (
@@ -447,30 +437,27 @@ DEGREES = """degrees AS (
 GRAPH = [RAW, POSTS, AUTHORS, EDGES, NODES]
 
 
-def rank_rounds(rounds: int) -> str:
-    parts = [
-        "outs AS MATERIALIZED (SELECT author_id AS id, w FROM nodes LEFT JOIN "
-        "(SELECT src, sum(weight) AS w FROM edges GROUP BY src) ON src = author_id)",
-        "rank0 AS MATERIALIZED (SELECT id, w, 1::DOUBLE / (SELECT count(*) FROM nodes) AS p FROM outs)",
-    ]
-    for i in range(rounds):
-        parts.append(
-            f"rank{i + 1} AS MATERIALIZED (SELECT id, w, 0.15::DOUBLE / (SELECT count(*) FROM nodes) + 0.85::DOUBLE * ("
-            f"coalesce(got, 0) + coalesce((SELECT sum(p) FROM rank{i} WHERE w IS NULL), 0) / (SELECT count(*) FROM nodes)) AS p "
-            f"FROM rank{i} LEFT JOIN (SELECT dst, sum(weight * p / w) AS got FROM edges "
-            f"JOIN rank{i} ON src = id GROUP BY dst) ON dst = id)"
-        )
-    return ", ".join(parts)
-
-
-RANKS = rank_rounds(RANK_ROUNDS)
+# Rounds go on until the summed change is under a hundred-thousandth of the number of authors, a hundred at most.
+RANKS = """outs AS MATERIALIZED (
+  SELECT author_id AS id, w FROM nodes LEFT JOIN (SELECT src, sum(weight) AS w FROM edges GROUP BY src) ON src = author_id),
+size AS MATERIALIZED (SELECT count(*)::DOUBLE AS n FROM nodes),
+rank_steps AS (
+  SELECT 0 AS step, id, w, 1 / n AS p, 1::DOUBLE AS change FROM outs, size
+  UNION ALL
+  SELECT step + 1, id, w, q, abs(q - p) FROM (
+    SELECT r.*, 0.15::DOUBLE / n + 0.85::DOUBLE * (coalesce(got, 0) + lost / n) AS q
+    FROM rank_steps r
+    LEFT JOIN (SELECT dst, sum(weight * p / w) AS got FROM edges JOIN rank_steps ON src = id GROUP BY dst) ON dst = id,
+    size, (SELECT coalesce(sum(p) FILTER (WHERE w IS NULL), 0) AS lost, sum(change) AS moved FROM rank_steps)
+    WHERE moved >= n * 0.00001 AND step < 100)),
+ranks AS MATERIALIZED (SELECT * FROM rank_steps WHERE step = (SELECT max(step) FROM rank_steps))"""
 SCORES = f"""scores AS (
   SELECT author_id, author_handle, platform, p AS pagerank_score, coalesce(in_degree, 0)::BIGINT AS in_degree,
     coalesce(out_degree, 0)::BIGINT AS out_degree, total_posts, negative_posts,
     {r('negative_posts::DOUBLE / total_posts', 3)} AS negative_ratio,
     p * (1 + ln(1 + negative_posts::DOUBLE)) * pow(negative_posts::DOUBLE / total_posts, 1.2) * 1000
       AS amplification_risk_score, TIMESTAMP '{AS_OF}' AS calculated_at
-  FROM nodes JOIN rank{RANK_ROUNDS} ON id = author_id LEFT JOIN degrees USING (author_id))"""
+  FROM nodes JOIN ranks ON id = author_id LEFT JOIN degrees USING (author_id))"""
 RANKED = [*GRAPH, DEGREES, RANKS, SCORES]
 BY_RISK = "ORDER BY amplification_risk_score DESC, platform, author_id"
 P8, RISK4 = r("pagerank_score", 8), r("amplification_risk_score", 4)
@@ -487,7 +474,8 @@ WHERE 'u' || user_id <> target_user GROUP BY ALL""")
 add("graph_nodes", *GRAPH, "SELECT * FROM nodes")
 add("degrees", *GRAPH, DEGREES, "SELECT author_id, in_degree::BIGINT AS in_degree, out_degree::BIGINT AS out_degree FROM degrees")
 add("pagerank", *GRAPH, RANKS, f"""
-SELECT id AS author_id, {r('p', 8)} AS rank, {RANK_ROUNDS} AS iterations FROM rank{RANK_ROUNDS}""")
+SELECT id AS author_id, {r('p', 8)} AS rank, sum(change) OVER () < count(*) OVER () * 0.00001 AS converged,
+  step AS iterations FROM ranks""")
 add("influence_scores", *RANKED, f"""
 SELECT * REPLACE ({P8} AS pagerank_score, {RISK4} AS amplification_risk_score) FROM scores""")
 add("recent_amplifiers", *RANKED, f"""
@@ -510,26 +498,23 @@ add("amplifier_count", *RANKED, """
 SELECT count(*) AS amplifier_count FROM scores WHERE amplification_risk_score >= 5""")
 
 
-def label_rounds(rounds: int) -> str:
-    parts = [
-        "links AS MATERIALIZED (SELECT DISTINCT a, b FROM (SELECT src AS a, dst AS b FROM edges "
-        "UNION ALL SELECT dst, src FROM edges) WHERE a <> b)",
-        "labels0 AS MATERIALIZED (SELECT author_id AS id, author_id AS label FROM nodes)",
-    ]
-    for i in range(rounds):
-        parts.append(
-            f"votes{i} AS (SELECT id, label, count(*) AS v FROM (SELECT b AS id, label FROM links "
-            f"JOIN labels{i} ON a = id UNION ALL SELECT id, label FROM labels{i}) GROUP BY id, label)"
-        )
-        parts.append(
-            f"labels{i + 1} AS MATERIALIZED (SELECT id, label FROM (SELECT *, row_number() OVER "
-            f"(PARTITION BY id ORDER BY v DESC, label) AS n FROM votes{i}) WHERE n = 1)"
-        )
-    return ", ".join(parts)
-
-
-MEMBERS = f"members AS (SELECT id AS author_id, label AS community_id FROM labels{LABEL_ROUNDS})"
-GROUPED = [*GRAPH, label_rounds(LABEL_ROUNDS), MEMBERS]
+# Rounds go on until no label changes; the last one, without a change, counts.
+LABELS = """links AS MATERIALIZED (
+  SELECT DISTINCT a, b FROM (SELECT src AS a, dst AS b FROM edges UNION ALL SELECT dst, src FROM edges) WHERE a <> b),
+label_steps AS (
+  SELECT 0 AS step, author_id AS id, author_id AS label, 1 AS changed FROM nodes
+  UNION ALL
+  SELECT step + 1, v.id, v.label, (v.label <> o.label)::INTEGER
+  FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY votes DESC, label) AS place FROM (
+      SELECT id, label, count(*) AS votes FROM (
+        SELECT b AS id, label FROM links JOIN label_steps ON a = id UNION ALL SELECT id, label FROM label_steps)
+      GROUP BY id, label)) v
+  JOIN label_steps o ON o.id = v.id
+  WHERE place = 1 AND (SELECT sum(changed) FROM label_steps) > 0),
+members AS MATERIALIZED (
+  SELECT id AS author_id, label AS community_id, sum(changed) OVER () = 0 AS converged, step AS iterations
+  FROM label_steps WHERE step = (SELECT max(step) FROM label_steps))"""
+GROUPED = [*GRAPH, LABELS]
 add("communities", *GROUPED, "SELECT * FROM members")
 add("community_summary", *GROUPED, f"""
 SELECT community_id, count(*) AS members,
@@ -551,8 +536,8 @@ WORD = r"[\p{L}\p{N}_]"
 
 def emoji_names(text: str) -> str:
     """The three emoji of the fixture posts spelled out."""
-    for char in "😡🚀✨":
-        text = f"replace({text}, '{char}', ' {name_of(char)} ')"
+    for char, name in EMOJI.items():
+        text = f"replace({text}, '{char}', ' {name} ')"
     return text
 
 
@@ -589,8 +574,8 @@ def unescape_sql(text: str) -> str:
 
 add("unescape_pages", f"SELECT page_id, {unescape_sql('html')} AS html FROM pages")
 add("clean_pages", f"""
-SELECT page_id, {clean_sql(emoji_names(f"replace({unescape_sql('html')}, '©', ' copyright_sign ')"))} AS clean_text
-FROM pages""".replace("copyright_sign", name_of("©")))
+SELECT page_id, {clean_sql(emoji_names(f"replace({unescape_sql('html')}, '©', ' copyright ')"))} AS clean_text
+FROM pages""")
 
 PHRASE_CASES = " ".join(
     f"WHEN contains(lower(text), '{p}') THEN 'SPAM_KEYWORD:{p}'" for p in SPAM_PHRASES
@@ -641,15 +626,15 @@ SELECT least(19, floor((words - low) / width))::BIGINT AS bin, count(*) AS texts
   max(words)::BIGINT AS longest, any_value(over_cap_pct) AS over_cap_pct
 FROM lengths, span GROUP BY 1""")
 
-EMOJI_NAME = "CASE emoji " + " ".join(f"WHEN '{c}' THEN '{name_of(c)}'" for c in "😡🚀✨") + " END AS emoji_name"
+EMOJI_NAME = "CASE emoji " + " ".join(f"WHEN '{c}' THEN '{name}'" for c, name in EMOJI.items()) + " END AS emoji_name"
 add("emoji_frequency", RAW, f"""
 SELECT emoji, count(*) AS uses, {EMOJI_NAME}
-FROM (SELECT unnest(regexp_extract_all(raw_text, '{python_class()}')) AS emoji FROM raw_posts)
+FROM (SELECT unnest(regexp_extract_all(raw_text, '[😡🚀✨]')) AS emoji FROM raw_posts)
 GROUP BY emoji ORDER BY uses DESC, emoji LIMIT 10""")
 add("emoji_polarity", POSTS, f"""
 SELECT emoji, count(*) AS uses, {POS} AS positive_uses, {NEU} AS neutral_uses, {NEG} AS negative_uses,
   {mean()} AS mean_score, {EMOJI_NAME}
-FROM (SELECT unnest(regexp_extract_all(clean_text, '{python_class()}')) AS emoji, sentiment_label, sentiment_score
+FROM (SELECT unnest(regexp_extract_all(clean_text, '[😡🚀✨]')) AS emoji, sentiment_label, sentiment_score
   FROM posts) GROUP BY emoji""")
 add("hashtag_cooccurrence", RAW, f"""
 SELECT brand_term, tag, count(*) AS posts FROM (
@@ -791,7 +776,9 @@ top_terms AS (
   SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY w DESC, term) AS rank FROM weighted)
   WHERE rank <= 10)"""
 add("ctfidf_keywords", DOCS, TOKENS, TOP_TERMS, f"SELECT lang, term, {r('w', 6)} AS weight, rank FROM top_terms")
-CAPITAL = "upper(left(term, 1)) || term[2:]"
+CAPITAL = (
+    r"array_to_string(list_transform(regexp_extract_all(term, '\p{L}+|\P{L}+'), lambda x: upper(left(x, 1)) || x[2:]), '')"
+)
 KEYWORD_LISTS = f"""keyword_lists AS (
   SELECT lang, string_agg(term, ', ' ORDER BY rank) FILTER (WHERE rank <= 8) AS keywords,
     string_agg(term, ', ' ORDER BY rank) FILTER (WHERE rank <= 5) AS five,
@@ -812,7 +799,7 @@ SELECT lang, {r('avg(CASE WHEN pj = 0 THEN -1 WHEN pj >= 1 THEN 1 ELSE ln(pj / (
 FROM shares GROUP BY lang""")
 
 TOPICS = f"""topic_docs AS (
-  SELECT *, CASE lang WHEN 'en' THEN 0 WHEN 'de' THEN 1 WHEN 'fr' THEN 2 END AS topic_id,
+  SELECT *, CASE lang WHEN 'en' THEN 0 WHEN 'de' THEN 1 WHEN 'fr' THEN 2 WHEN 'es' THEN 3 END AS topic_id,
     row_number() OVER (PARTITION BY lang ORDER BY post_id) AS nth
   FROM docs),
 topic_rows AS (

@@ -56,12 +56,11 @@ def topic_section(clusters: DataFrame, k: int = 10) -> DataFrame:
     )
 
 
-def alert_section(alerts: DataFrame, first, last=None, k: int = 100) -> DataFrame:
-    """Newest alerts of the period."""
+def alert_section(alerts: DataFrame, first, last=None) -> DataFrame:
+    """All alerts of the period, newest first."""
     return (
         between_days(alerts, first, last or first, "detected_at")
         .orderBy(F.desc("detected_at"), "platform")
-        .limit(k)
         .select(
             "alert_id",
             "detected_at",

@@ -110,13 +110,14 @@ class Tables:
         )
 
     def aspects(self) -> DataFrame:
-        """One row per (post, aspect)."""
+        """One row per (post, aspect), with the post's time."""
         score = (F.col("event_id") + F.col("ix")) % 3 - 1
         return (
             self.source("events")
             .select(
                 "event_id",
                 "user_id",
+                "ts",
                 F.posexplode(F.array(*[F.lit(a) for a in ASPECTS])).alias("ix", "aspect"),
             )
             .select(
@@ -126,6 +127,7 @@ class Tables:
                 label_of(score).alias("sentiment_label"),
                 score.cast("double").alias("sentiment_score"),
                 (0.5 + ((F.col("event_id") + F.col("ix")) % 50) / 100).alias("confidence"),
+                F.col("ts").alias("created_at"),
             )
         )
 

@@ -12,18 +12,23 @@ def read_raw_stream(
     spark: SparkSession,
     servers: str,
     topic: str = "social-raw-stream",
-    max_per_trigger: int = 200,
+    max_per_trigger: int | None = None,
     starting: str = "latest",
 ) -> DataFrame:
-    """Messages of a Kafka topic as (value, received_at). Needs the Kafka connector package."""
-    return (
+    """Messages of a Kafka topic as (value, received_at). Needs the Kafka connector package.
+
+    A batch takes all messages there are, unless max_per_trigger bounds it.
+    """
+    reader = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", topic)
         .option("startingOffsets", starting)
-        .option("maxOffsetsPerTrigger", max_per_trigger)
-        .load()
-        .select(F.col("value").cast("string").alias("value"), F.col("timestamp").alias("received_at"))
+    )
+    if max_per_trigger:
+        reader = reader.option("maxOffsetsPerTrigger", max_per_trigger)
+    return reader.load().select(
+        F.col("value").cast("string").alias("value"), F.col("timestamp").alias("received_at")
     )
 
 

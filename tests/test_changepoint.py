@@ -115,34 +115,6 @@ def test_alert_row(spark):
     assert '"cusum_statistic":1.25' in row.alert_payload
 
 
-def test_run_lengths_equal_loop(spark):
-    runs, cap, grid = 20, 60, [0.4, 0.6]
-    draws = cp.gaussian_draws(spark, runs, cap, 0.35, 0.2, seed=5).persist()
-    found = {r.h: r.arl for r in cp.run_lengths(draws, grid, 0.1, 0.35, cap).collect()}
-    series = {}
-    for r in draws.collect():
-        series.setdefault(r.run, {})[r.step] = r.x
-    for h in grid:
-        lengths = []
-        for run in series.values():
-            s, steps = 0.0, cap
-            for t in range(1, cap + 1):
-                s = max(0.0, s + 0.35 - run[t] - 0.1)
-                if s > h:
-                    steps = t
-                    break
-            lengths.append(steps)
-        assert found[h] == pytest.approx(sum(lengths) / runs)
-
-
-def test_calibration_marks_the_nearest(spark):
-    curve = cp.calibrate(frame(spark, outage()), target_arl=30, runs=20).collect()
-    assert len(curve) == 10 and sum(r.recommended for r in curve) == 1
-    best = min(curve, key=lambda r: (abs(r.arl - 30), r.h_multiplier))
-    assert best.recommended
-    assert [r.arl for r in curve] == sorted(r.arl for r in curve)
-
-
 def test_all_platforms_rows(spark):
     df = spark.createDataFrame([("a", 1), ("b", 2)], "platform string, x int")
     assert cp.for_all_platforms(df).groupBy("platform").count().filter(

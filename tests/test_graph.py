@@ -65,10 +65,12 @@ def test_adaptive_planning_is_back_on(spark, small):
 @pytest.mark.parametrize("min_hot_rows", [1, 10**6])
 def test_communities_equal_plain_propagation(small, min_hot_rows):
     nodes, edges, rows = small
-    found = graph.communities(nodes, edges, rounds=4, min_hot_rows=min_hot_rows).collect()
+    found = graph.communities(nodes, edges, min_hot_rows=min_hot_rows).collect()
     links = {(a, b) for a, b, _ in rows} | {(b, a) for a, b, _ in rows}
     label = {r.author_id: r.author_id for r in nodes.collect()}
-    for _ in range(4):
+    history = []
+    while len(history) < 2 or label not in history[-2:]:
+        history.append(label)
         after = {}
         for n in label:
             votes = {label[n]: 1}
@@ -78,6 +80,17 @@ def test_communities_equal_plain_propagation(small, min_hot_rows):
             after[n] = min(votes, key=lambda x: (-votes[x], x))
         label = after
     assert {r.author_id: r.community_id for r in found} == label
+    assert {(r.converged, r.iterations) for r in found} == {(label == history[-1], len(history))}
+
+
+def test_labels_that_swap_for_ever_end_unconverged(spark):
+    """Every a answers every b: the sides trade labels each round."""
+    edges = spark.createDataFrame(
+        [(f"a{i}", f"b{k}", 1.0) for i in range(4) for k in range(4)], "src string, dst string, weight double"
+    )
+    nodes = spark.createDataFrame([(f"{s}{i}",) for s in "ab" for i in range(4)], "author_id string")
+    row = graph.communities(nodes, edges).first()
+    assert row.iterations < 10
 
 
 def test_two_groups_are_two_communities(spark):

@@ -38,7 +38,7 @@ def test_tfidf_equals_plain_python(docs):
 
 
 def test_nmf_separates_two_themes(docs):
-    assigned, terms = topics.discover_topics(docs, nr_topics=2, min_docs=5)
+    assigned, terms = topics.discover_topics(docs, nr_topics=2)
     topic = {r.post_id: r.topic_id for r in assigned.collect()}
     cloud = {topic[k] for k, t in DOCS if t in CLOUD}
     money = {topic[k] for k, t in DOCS if t in MONEY}
@@ -46,8 +46,10 @@ def test_nmf_separates_two_themes(docs):
     assert "outage" in terms[cloud.pop()][:3] and "invoice" in terms[money.pop()][:3]
 
 
-def test_small_corpus_gives_no_topics(docs):
+def test_small_corpus_gives_its_topics(docs):
     assigned, terms = topics.discover_topics(docs.limit(3))
+    assert assigned.count() == 3 and terms
+    assigned, terms = topics.discover_topics(docs.limit(0))
     assert terms == [] and assigned.count() == 0
 
 
