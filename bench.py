@@ -36,6 +36,13 @@ HEADLINE = [
     "check_deliveries",
     "text_length_stats",
     "stream_windows",
+    "daily_report",
+    "language_detection",
+    "nmf_topics",
+    "embedding_topics",
+    "score_documents",
+    "evaluate_heads",
+    "enrich_stream",
 ]
 RUNS = int(os.environ.get("BENCH_RUNS", "2"))
 

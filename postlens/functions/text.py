@@ -29,6 +29,8 @@ MENTION = r"@[\p{L}\p{N}_.-]+"
 HASHTAG = rf"#({WORD}+)"
 REPEATS = r"([^\n])\1{3,}"
 SYMBOLS = r"""(?U)[^\p{L}\p{N}_\s\x1C-\x1F.,!?'"-]"""
+# Characters that need decoding: any beyond ASCII, and the start of an entity.
+SPECIAL = r"[^\x00-\x7F]|&"
 SPACES = rf"(?U){SPACE}+"
 TOKEN = rf"{WORD}{{2,}}"
 
@@ -64,10 +66,17 @@ def decode_plain(texts: pd.Series) -> pd.Series:
 
 
 @F.pandas_udf(T.StringType())
-def html_unescape(texts: pd.Series) -> pd.Series:
+def unescape_entities(texts: pd.Series) -> pd.Series:
     return texts.map(unescaped, na_action="ignore")
 
 
+def html_unescape(text: Column | str) -> Column:
+    """Entities to characters. Only texts with an ampersand go to Python."""
+    text = F.col(text) if isinstance(text, str) else text
+    has_entity = text.contains("&")
+    return F.when(has_entity, unescape_entities(F.when(has_entity, text))).otherwise(text)
+
+
 def strip_urls(text: Column) -> Column:
     return F.regexp_replace(text, URL, "")
 
@@ -118,7 +127,11 @@ def clean_markup(text: Column) -> Column:
 def clean_text(text: Column, replace_emoji: bool = True) -> Column:
     """All steps. NULL and empty text give the empty string."""
     decode = decode_with_emoji if replace_emoji else decode_plain
-    return clean_markup(decode(text))
+    # Plain ASCII without an ampersand holds nothing to decode, so it is sent to Python as NULL.
+    special = text.rlike(SPECIAL)
+    plain = F.translate(text, "_", " ") if replace_emoji else text
+    decoded = F.when(special, decode(F.when(special, text))).otherwise(F.coalesce(plain, F.lit("")))
+    return clean_markup(decoded)
 
 
 def word_count(clean: Column) -> Column:

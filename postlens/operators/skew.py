@@ -1,19 +1,21 @@
-"""Equi-joins whose big side has a few very frequent keys.
+"""Equi-joins whose big side has very frequent keys.
 
-Keys above a share of all rows are counted first. There can be at most `max_hot` of them, because
-each holds more than 1/max_hot of the rows, so their list is small whatever the data size. The
-rows of such a key are spread over several salts and the other side's row is repeated once per
-salt. The result equals the plain join; without hot keys it is the plain join.
+A key with more rows than one task should hold is hot. Its rows are spread over several salts and
+the other side's row is repeated once per salt. The result equals the plain join; without hot keys
+it is the plain join. The list of hot keys is counted first and is broadcast while it is short.
 """
 
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-MAX_HOT = 1000
+from postlens.session import cut_lineage
+
+# Rows of one key that one task should hold.
 MIN_ROWS = 200_000
+# The list is sent to all tasks up to so many keys and joined by a shuffle beyond.
+BROADCAST_KEYS = 10_000
 
 SALT = "_salt"
 SPLITS = "_splits"
@@ -37,7 +39,7 @@ class HotKeys:
         salt = F.when(
             F.col(SPLITS).isNotNull(), F.pmod(F.xxhash64(*spread_by), F.col(SPLITS)).cast("int")
         ).otherwise(F.lit(0))
-        joined = big.join(F.broadcast(self.splits), self.key, "left")
+        joined = big.join(self.splits, self.key, "left")
         return joined.withColumn(SALT, salt).drop(SPLITS)
 
     def repeat(self, small: DataFrame) -> DataFrame:
@@ -45,34 +47,19 @@ class HotKeys:
         if self.splits is None:
             return small
         salts = F.sequence(F.lit(0), F.coalesce(F.col(SPLITS), F.lit(1)) - 1)
-        joined = small.join(F.broadcast(self.splits), self.key, "left")
+        joined = small.join(self.splits, self.key, "left")
         return joined.withColumn(SALT, F.explode(salts)).drop(SPLITS)
 
 
-def find_hot_keys(
-    df: DataFrame, key: str, min_rows: int = MIN_ROWS, max_hot: int = MAX_HOT
-) -> HotKeys:
-    """Keys with more than min_rows rows and more than 1/max_hot of all rows.
-
-    One aggregation with map-side counts; at most max_hot rows come back.
-    """
+def find_hot_keys(df: DataFrame, key: str, min_rows: int = MIN_ROWS) -> HotKeys:
+    """Keys with more than min_rows rows. One pass with map-side counts; the list stays in storage."""
     counts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-    limit = F.greatest(
-        F.lit(float(min_rows)), df.agg(F.count(F.col(key)) / F.lit(float(max_hot))).scalar()
-    )
-    found = (
-        counts.filter(F.col("_rows") > min_rows)
-        .withColumn("_limit", limit)
-        .filter(F.col("_rows") > F.col("_limit"))
-        .select(key, F.ceil(F.col("_rows") / F.col("_limit")).cast("int"))
-        .collect()
-    )
-    if not found:
+    parts = F.ceil(F.col("_rows") / F.lit(float(max(min_rows, 1)))).cast("int").alias(SPLITS)
+    found = cut_lineage(counts.filter(F.col("_rows") > min_rows).select(key, parts))
+    size = found.count()
+    if not size:
         return HotKeys(key, None)
-    schema = T.StructType(
-        [T.StructField(key, df.schema[key].dataType), T.StructField(SPLITS, T.IntegerType())]
-    )
-    return HotKeys(key, df.sparkSession.createDataFrame([tuple(row) for row in found], schema))
+    return HotKeys(key, F.broadcast(found) if size <= BROADCAST_KEYS else found)
 
 
 def salted_join(
@@ -81,9 +68,8 @@ def salted_join(
     key: str,
     spread_by: list[str],
     min_rows: int = MIN_ROWS,
-    max_hot: int = MAX_HOT,
 ) -> DataFrame:
     """Inner join of big and small on key; spread_by are columns of big that vary within a key."""
-    hot = find_hot_keys(big.select(key), key, min_rows, max_hot)
+    hot = find_hot_keys(big.select(key), key, min_rows)
     joined = hot.spread(big, spread_by).join(hot.repeat(small), hot.join_columns)
     return joined.drop(SALT)

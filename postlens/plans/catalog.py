@@ -1051,15 +1051,20 @@ class StreamTables(Tables):
     texts = source
 
 
+def streamed_windows(t, *widths):
+    """All windows that a stream over the events has stored at its end."""
+    live = StreamTables(t.spark, t.sf_dir).sentiment_posts()
+    table = window_streams.window_table(fresh_path(t.spark, "windows"))
+    window_streams.run_to_end(
+        window_streams.stream_windows(live, *widths), table, fresh_path(t.spark, "state")
+    )
+    return table.read(t.spark).drop(*PARTITIONS)
+
+
 @query
 def stream_windows(t):
     """Tumbling windows written by a stream over the events."""
-    live = StreamTables(t.spark, t.sf_dir).sentiment_posts()
-    path = fresh_path(t.spark, "windows")
-    window_streams.run_available(
-        window_streams.stream_windows(live, "15 minutes"), path, fresh_path(t.spark, "state")
-    )
-    done = t.spark.read.parquet(path)
+    done = streamed_windows(t, "15 minutes")
     return done.withColumn("avg_sentiment", rounded(F.col("avg_sentiment"), 6)).withColumn(
         "stddev_sentiment", rounded(F.col("stddev_sentiment"), 6)
     )
@@ -1067,28 +1072,18 @@ def stream_windows(t):
 
 @query
 def stream_sliding_windows(t):
-    """Windows of 15 minutes every 5 minutes."""
-    live = StreamTables(t.spark, t.sf_dir).sentiment_posts()
-    path = fresh_path(t.spark, "sliding")
-    window_streams.run_available(
-        window_streams.stream_windows(live, "15 minutes", slide="5 minutes"),
-        path,
-        fresh_path(t.spark, "state"),
-    )
-    return t.spark.read.parquet(path).select(
-        "platform", "window_start", "window_end", "post_count"
-    )
+    """Windows of 15 minutes every minute."""
+    found = streamed_windows(t, "15 minutes", "10 minutes", "1 minute")
+    return found.select("platform", "window_start", "window_end", "post_count")
 
 
 @query
 def stream_alerts(t):
     """Alerts of a stateful stream over window means that another stream has written."""
-    live = StreamTables(t.spark, t.sf_dir).sentiment_posts()
     windows = fresh_path(t.spark, "windows")
-    window_streams.run_available(
-        window_streams.stream_windows(live, CHART_WIDTH), windows, fresh_path(t.spark, "state")
-    )
-    schema = t.spark.read.parquet(windows).schema
+    stored = streamed_windows(t, CHART_WIDTH)
+    stored.write.parquet(windows)
+    schema = stored.schema
     table = alert_streams.alert_table(fresh_path(t.spark, "alerts"))
     alert_streams.start_alerts(
         t.spark.readStream.schema(schema).parquet(windows),

@@ -407,9 +407,7 @@ SELECT alert_id, detected_at, platform, {r('cusum_statistic', 3)} AS cusum_val,
 FROM alerts ORDER BY detected_at DESC, platform LIMIT 20""")
 add("incident_count", POSTS, windows_sql(), ALERTS, f"""
 SELECT count(*) AS crisis_count FROM alerts WHERE {in_days('2024-01-15', '2024-01-17', 'detected_at')}""")
-add("stream_alerts", POSTS, windows_sql(), ALERTS, f"""
-SELECT alerts.* FROM alerts
-WHERE window_end <= (SELECT max(created_at) FROM posts WHERE {CLEAN}) - INTERVAL '10 minutes'""")
+add("stream_alerts", POSTS, windows_sql(), ALERTS, "SELECT alerts.* FROM alerts")
 
 # --- reply graph ---------------------------------------------------------------------------
 
@@ -862,17 +860,14 @@ FROM (SELECT (SELECT {r(f'avg({F1})', 6)} FROM ({class_sql('guesses')})) AS cand
 
 # --- streams -------------------------------------------------------------------------------
 
-CLOSED = f"(SELECT max(created_at) FROM posts WHERE {CLEAN}) - INTERVAL '10 minutes'"
 add("stream_windows", POSTS, f"""
 SELECT platform, w AS window_start, w + INTERVAL '15 minutes' AS window_end, count(*) AS post_count,
   {r('avg(sentiment_score)', 6)} AS avg_sentiment, {r('stddev_samp(sentiment_score)', 6)} AS stddev_sentiment
-FROM (SELECT *, time_bucket(INTERVAL '15 minutes', created_at) AS w FROM posts WHERE {CLEAN})
-WHERE w + INTERVAL '15 minutes' <= {CLOSED} GROUP BY platform, w""")
+FROM (SELECT *, time_bucket(INTERVAL '15 minutes', created_at) AS w FROM posts WHERE {CLEAN}) GROUP BY platform, w""")
 add("stream_sliding_windows", POSTS, f"""
 SELECT platform, w AS window_start, w + INTERVAL '15 minutes' AS window_end, count(*) AS post_count
-FROM (SELECT platform, time_bucket(INTERVAL '5 minutes', created_at) - to_minutes(back) AS w
-  FROM posts, (VALUES (0), (5), (10)) AS b(back) WHERE {CLEAN})
-WHERE w + INTERVAL '15 minutes' <= {CLOSED} GROUP BY platform, w""")
+FROM (SELECT platform, time_bucket(INTERVAL '1 minute', created_at) - to_minutes(back::INTEGER) AS w
+  FROM posts, range(15) AS b(back) WHERE {CLEAN}) GROUP BY platform, w""")
 add("enrich_stream", """
 SELECT table_name, platform, (count(*) * times)::BIGINT AS stored_rows
 FROM (SELECT """ + platform_case("doc_id") + """ AS platform FROM documents WHERE doc_id % 10 >= 3),

@@ -21,10 +21,13 @@ TRIGGER = "2 seconds"
 
 @dataclass(frozen=True)
 class EnrichmentTables:
-    """Folders under one root; buckets split each day of the three keyed tables."""
+    """Folders under one root; the three keyed tables are split into buckets of their key.
+
+    A post that comes again with another time is still the same post.
+    """
 
     root: str
-    buckets: int = 1
+    buckets: int = 16
 
     @property
     def bronze(self) -> KeyedTable:

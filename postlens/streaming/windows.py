@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from postlens.operators.filters import not_spam
+from postlens.sources.sinks import KeyedTable, upsert_into
 
 
 def stream_windows(
@@ -35,6 +36,29 @@ def stream_windows(
     )
 
 
+WINDOW_KEY = ["platform", "window_start", "window_end"]
+
+
+def window_table(path: str) -> KeyedTable:
+    return KeyedTable(path, WINDOW_KEY, time="window_start")
+
+
+def run_to_end(stream: DataFrame, table: KeyedTable, checkpoint: str) -> StreamingQuery:
+    """Process all data present now and store every window, those still open at its end as well.
+
+    A window is stored when it changes and replaced when it changes again, so a later run goes on from there.
+    """
+    query = (
+        stream.writeStream.foreachBatch(lambda batch, _: upsert_into(table, batch))
+        .outputMode("update")
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return query
+
+
 def late_rows(query: StreamingQuery) -> int:
     """Rows dropped as later than the watermark, over the progress reports still kept."""
     return sum(

@@ -29,3 +29,11 @@ def test_flagship_query(spark):
     import __spark_entry__
 
     assert __spark_entry__.entry(spark).columns[0] == "hour_bucket"
+
+
+@pytest.mark.parametrize("name", ["aspect_summary", "aspect_pain_points", "aspect_report"])
+def test_time_filter_reaches_both_scans(spark, name):
+    plan = QUERIES[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "PushedFilters" in line]
+    assert len(scans) >= 2
+    assert all("GreaterThanOrEqual(ts" in line for line in scans)

@@ -181,11 +181,11 @@ def test_salted_join_equals_plain_join(spark):
     big = spark.createDataFrame(rows, "i int, k string")
     keys = sorted({k for _, k in rows if k})
     small = spark.createDataFrame([(k, j) for j, k in enumerate(keys + ["extra"])], "k string, j int")
-    hot = find_hot_keys(big, "k", min_rows=100, max_hot=20)
+    hot = find_hot_keys(big, "k", min_rows=100)
     assert [r.k for r in hot.splits.collect()] == ["hot"]
     spread = hot.spread(big, ["i"]).filter("k = 'hot'").select("_salt").distinct().count()
     assert spread > 1
     assert find_hot_keys(big, "k", min_rows=5000).splits is None
     plain = {tuple(r) for r in big.join(small, "k").collect()}
-    salted = salted_join(big, small, "k", ["i"], min_rows=100, max_hot=20).collect()
+    salted = salted_join(big, small, "k", ["i"], min_rows=100).collect()
     assert len(salted) == len(plain) and {tuple(r) for r in salted} == plain

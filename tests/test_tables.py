@@ -12,6 +12,7 @@ from postlens.plans.daily import influence_path, metric_table, run_daily
 from postlens.schemas import ASPECTS, BLUESKY_COMMIT, POST_KEY, RAW_POST, REDDIT_ITEM
 from postlens.sources import posts as sources
 from postlens.sources.adapters import AS_OF, LAST_DAY, Tables
+from postlens.sources import sinks
 from postlens.sources.sinks import KeyedTable, append_snapshot, insert_ignore_into, upsert_into, write_messages
 from postlens.sources.validate import validate_and_dead_letter
 from postlens.streaming.alerts import alert_table, start_alerts
@@ -79,6 +80,37 @@ def test_keyed_table_on_disk(spark, tmp_path, buckets):
     assert table.read(spark).count() == 4
 
 
+def test_redelivery_at_another_time_is_one_row(spark, tmp_path):
+    table = KeyedTable(str(tmp_path / "t"), ["post_id"], buckets=4)
+    schema = "post_id string, created_at timestamp, v int"
+    day = lambda d, v: spark.createDataFrame([("a", dt.datetime(2024, 1, d), v)], schema)
+    insert_ignore_into(table, day(1, 1))
+    insert_ignore_into(table, day(2, 2))
+    assert [r.v for r in table.read(spark).collect()] == [1]
+    upsert_into(table, day(3, 3))
+    assert [(r.created_at.day, r.v) for r in table.read(spark).collect()] == [(3, 3)]
+
+
+@pytest.mark.parametrize("emptied", [False, True])
+def test_broken_off_swap_is_taken_up(spark, tmp_path, monkeypatch, emptied):
+    """The job ends between marking the new partitions ready and having swapped them in."""
+    table = KeyedTable(str(tmp_path / "t"), POST_KEY)
+    insert_ignore_into(table, rows(spark, ("a", 0, 1, 1), ("b", 0, 2, 2)))
+
+    def broken(*_):
+        if emptied:
+            for file in (tmp_path / "t").rglob("*.parquet"):
+                file.unlink()
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(sinks, "_swap", broken)
+        with pytest.raises(RuntimeError):
+            upsert_into(table, rows(spark, ("a", 1, 9, 9)), ["v"])
+    upsert_into(table, rows(spark, ("c", 1, 3, 3)), ["v"])
+    assert content(table.read(spark)) == [("a", 9, 1), ("b", 2, 2), ("c", 3, 3)]
+
+
 def test_snapshots_add_up(spark, tmp_path):
     path = str(tmp_path / "s")
     scores = spark.createDataFrame([("a", 1.0)], "author_id string, x double")
