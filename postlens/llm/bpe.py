@@ -1,6 +1,7 @@
 """Byte-level BPE by backtracking over longest matches, and decoding through an offset table."""
 
 import json
+from functools import cached_property
 
 import ahocorasick
 import numpy as np
@@ -13,20 +14,25 @@ from postlens.llm.tokens import ChunkEncoder, byte_letters, file_text, packed
 
 # Fixed value: the pre-tokenizer pattern of the vocabulary file's ByteLevel step.
 PRE_TOKENS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-KNOWN_PAIRS = 1 << 20
+KNOWN_PAIRS = 1 << 18
 NONE = -1
 
 
+def token_bytes(spec: dict) -> tuple[dict[int, bytes], dict[str, int]]:
+    """Bytes by id, and the special tokens' ids by name."""
+    to_byte = {letter: byte for byte, letter in byte_letters().items()}
+    special = {t["content"]: t["id"] for t in spec["added_tokens"]}
+    vocabulary = spec["model"]["vocab"].items()
+    return {i: bytes(map(to_byte.get, token)) for token, i in vocabulary if token not in special}, special
+
+
 class Vocabulary:
     """What both directions need: bytes of each id, merge ranks, halves, longest proper prefix tokens."""
 
     def __init__(self, spec: str):
         spec = json.loads(spec)
-        to_byte = {letter: byte for byte, letter in byte_letters().items()}
-        raw = lambda token: bytes(to_byte[letter] for letter in token)
         ids = spec["model"]["vocab"]
-        self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.bytes_of = {i: raw(token) for token, i in ids.items() if token not in self.special}
+        self.bytes_of, self.special = token_bytes(spec)
         self.id_of = {token: i for i, token in self.bytes_of.items()}
         size = 1 + max(ids.values(), default=0)
         # A token that no merge makes is a single byte: rank -1 and no halves.
@@ -106,10 +112,10 @@ class BacktrackingEncoder:
             end = place + length_of[candidate]
             if is_open[end]:
                 if ids:
-                    pair = (ids[-1], candidate)
+                    pair = ids[-1] << 32 | candidate
                     fits = known.get(pair)
                     if fits is None:
-                        fits = known[pair] = self.keeps_border(*pair)
+                        fits = known[pair] = self.keeps_border(ids[-1], candidate)
                 else:
                     fits = True
                 if fits:
@@ -154,12 +160,12 @@ class TextEncoder:
 class Decoder:
     """Ids to bytes: all tokens' bytes in one block, and the place at which each id's begin."""
 
-    def __init__(self, vocabulary: Vocabulary):
-        size = 1 + max([*vocabulary.bytes_of, *vocabulary.special.values()], default=0)
-        tokens = [b""] * size
-        for i, token in vocabulary.bytes_of.items():
+    def __init__(self, spec: str):
+        bytes_of, special = token_bytes(json.loads(spec))
+        tokens = [b""] * (1 + max([*bytes_of, *special.values()], default=0))
+        for i, token in bytes_of.items():
             tokens[i] = token
-        for name, i in vocabulary.special.items():
+        for name, i in special.items():
             tokens[i] = name.encode("utf-8")
         self.block = np.frombuffer(b"".join(tokens), dtype=np.uint8)
         self.offsets = np.concatenate([[0], np.cumsum([len(t) for t in tokens])]).astype(np.int64)
@@ -173,12 +179,23 @@ class Decoder:
         return self.block[places].tobytes().decode("utf-8", errors="replace")
 
 
-def coder(spec):
-    def make():
-        vocabulary = Vocabulary(spec)
-        return TextEncoder(vocabulary), Decoder(vocabulary)
+class Coder:
+    """Both directions, each made when first asked for."""
+
+    def __init__(self, spec: str):
+        self.spec = spec
+
+    @cached_property
+    def encode(self) -> TextEncoder:
+        return TextEncoder(Vocabulary(self.spec))
+
+    @cached_property
+    def decode(self) -> Decoder:
+        return Decoder(self.spec)
+
 
-    return per_worker(("bpe", hash(spec)), make)
+def coder(spec: str) -> Coder:
+    return per_worker(("bpe", hash(spec)), lambda: Coder(spec))
 
 
 def encode_documents(docs: DataFrame, path: str = BYTE_BPE, as_bytes: bool = False) -> DataFrame:
@@ -190,7 +207,7 @@ def encode_documents(docs: DataFrame, path: str = BYTE_BPE, as_bytes: bool = Fal
     spec = docs.sparkSession.sparkContext.broadcast(file_text(path))
 
     def encode(batches):
-        encoder, _ = coder(spec.value)
+        encoder = coder(spec.value).encode
         for batch in batches:
             ids = [encoder(t.as_py()) for t in batch.column("text")]
             if as_bytes:
@@ -214,7 +231,7 @@ def decode_documents(encoded: DataFrame, path: str = BYTE_BPE) -> DataFrame:
     as_bytes = kinds["ids"] == "binary"
 
     def decode(batches):
-        _, decoder = coder(spec.value)
+        decoder = coder(spec.value).decode
         for batch in batches:
             rows = (row.as_py() or b"" for row in batch.column("ids"))
             ids = (np.frombuffer(row, dtype="<u4") if as_bytes else np.array([*row], dtype=np.int64) for row in rows)
@@ -222,3 +239,22 @@ def decode_documents(encoded: DataFrame, path: str = BYTE_BPE) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, texts], names=["doc_id", "ids", "text"])
 
     return encoded.select("doc_id", "ids").mapInArrow(decode, f"doc_id {kinds['doc_id']}, ids {kinds['ids']}, text string")
+
+
+def round_trip_documents(docs: DataFrame, path: str = BYTE_BPE) -> DataFrame:
+    """doc_id, ids (little-endian unsigned 32-bit bytes), text as decoded from them, both in one pass.
+
+    What encode_documents and decode_documents give one after the other, with half the workers.
+    """
+    spec = docs.sparkSession.sparkContext.broadcast(file_text(path))
+
+    def both(batches):
+        own = coder(spec.value)
+        for batch in batches:
+            ids = [own.encode(t.as_py()) for t in batch.column("text")]
+            texts = [own.decode(np.frombuffer(row, dtype="<u4").astype(np.int64)) for row in ids]
+            columns = [batch.column("doc_id"), pa.array(ids, pa.binary()), pa.array(texts, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "ids", "text"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", "text").mapInArrow(both, f"doc_id {kind}, ids binary, text string")

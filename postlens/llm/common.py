@@ -28,15 +28,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def per_worker(key, make):
-    """make() once for each Python worker.
+    """make() once for each Python worker and kind of work.
 
     Functions are sent by value, so their globals are new for every task; workers are reused, and a
-    module of the worker outlives the task.
+    module of the worker outlives the task. One thing is kept at a time: what another job left goes.
     """
-    kept = sys.modules.setdefault("_postlens_llm_kept", types.ModuleType("_postlens_llm_kept")).__dict__
-    if key not in kept:
-        kept[key] = make()
-    return kept[key]
+    kept = sys.modules.setdefault("_postlens_llm_kept", types.ModuleType("_postlens_llm_kept"))
+    if getattr(kept, "key", None) != key:
+        kept.key = kept.value = None
+        kept.value = make()
+        kept.key = key
+    return kept.value
 
 
 def held_out(doc_id: Column) -> Column:
@@ -44,6 +46,21 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")), F.lit(0)) % 3 == 1
 
 
+def thinned(df: DataFrame, rows: int, by: str | None = None) -> DataFrame:
+    """Rows whose hashed doc_id is under a bound that leaves half as much again as rows, for each value of by.
+
+    An exact choice of the first `rows` by hash then reads few rows, where it would gather as many from every task. by
+    has few values (labels, languages): their counts come to the driver.
+    """
+    hashed = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 31))
+    bound = lambda n: int(min(1.0, 1.5 * rows / max(n, 1)) * (1 << 31))
+    if by is None:
+        return df.where(hashed < F.lit(bound(df.count())))
+    counts = df.groupBy(by).agg(F.count("*").alias("n")).collect()
+    bounds = F.create_map(*(F.lit(x) for r in counts for x in (r[by], bound(r.n)))) if counts else F.create_map()
+    return df.where(hashed < bounds[F.col(by)]) if counts else df
+
+
 def ranked(df: DataFrame, keys: list[str], order: list[str], rank: str = "rank") -> DataFrame:
     """Add a gapless rank from 0 within keys, in no particular order across groups of rows.
 

@@ -60,8 +60,7 @@ def op5_subword_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op6_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encoded = bpe.encode_documents(table(spark, sf_dir, "documents"), as_bytes=True)
-    return bpe.decode_documents(encoded).select(
+    return bpe.round_trip_documents(table(spark, sf_dir, "documents")).select(
         "doc_id",
         F.expr("octet_length(ids) div 4").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),

@@ -56,7 +56,8 @@ def fuzzed(count, seed=3):
 
 def test_backtracking_equals_the_library():
     texts = fuzzed(5000) + ["a" * n for n in range(1, 120)] + [r[1] or "" for r in ODD]
-    encoder, decoder = bpe.coder(file_text(BYTE_BPE))
+    coder = bpe.coder(file_text(BYTE_BPE))
+    encoder, decoder = coder.encode, coder.decode
     tokenizer = Tokenizer.from_file(BYTE_BPE)
     for text, ids in zip(texts, library_ids(BYTE_BPE, texts)):
         own = np.frombuffer(encoder(text), "<u4").tolist()
@@ -65,7 +66,7 @@ def test_backtracking_equals_the_library():
 
 
 def test_decoding_of_broken_bytes():
-    _, decoder = bpe.coder(file_text(BYTE_BPE))
+    decoder = bpe.coder(file_text(BYTE_BPE)).decode
     tokenizer = Tokenizer.from_file(BYTE_BPE)
     rng = random.Random(5)
     for _ in range(300):
@@ -100,6 +101,8 @@ def test_bpe_odd_rows(spark):
     for as_bytes in (False, True):
         back = bpe.decode_documents(bpe.encode_documents(odd(spark), as_bytes=as_bytes)).collect()
         assert Counter((r.doc_id, r.text) for r in back) == Counter((r[0], r[1] or "") for r in ODD)
+        once = bpe.round_trip_documents(odd(spark)).collect()
+        assert Counter((r.doc_id, r.text) for r in once) == Counter((r[0], r[1] or "") for r in ODD)
     assert bpe.decode_documents(bpe.encode_documents(empty(spark))).collect() == []
 
 
