@@ -1,11 +1,12 @@
-"""Language detection: naive Bayes over hashed character n-grams, trained on labelled texts.
+"""Language detection: naive Bayes over character pairs and triples, trained on labelled texts.
 
-Both training and scoring are row-local Spark ML stages; the model is languages x features.
+Training counts grams, scoring is row-local; the model is languages x grams, and grams are the most
+frequent ones of two or more training texts.
 """
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import NaiveBayes
-from pyspark.ml.feature import HashingTF, IndexToString, StringIndexer
+from pyspark.ml.feature import CountVectorizer, IndexToString, StringIndexer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,13 +23,13 @@ def _with_grams(df: DataFrame, text: str) -> DataFrame:
 
 
 def train_language_model(
-    labelled: DataFrame, text: str = "clean_text", language: str = "language", features: int = 16384
+    labelled: DataFrame, text: str = "clean_text", language: str = "language", features: int = 1 << 18
 ) -> PipelineModel:
     indexer = StringIndexer(inputCol=language, outputCol="_label", stringOrderType="alphabetAsc")
     fitted = indexer.fit(labelled)
     pipeline = Pipeline(
         stages=[
-            HashingTF(numFeatures=features, inputCol="_grams", outputCol="_features"),
+            CountVectorizer(vocabSize=features, minDF=2.0, inputCol="_grams", outputCol="_features"),
             NaiveBayes(featuresCol="_features", labelCol="_label", predictionCol="_language_ix"),
             IndexToString(
                 inputCol="_language_ix", outputCol="_detected", labels=list(fitted.labels)

@@ -20,12 +20,13 @@ from postlens.operators import (
     topics,
 )
 from postlens.plans import report
+from postlens.plans.views import register_views
 from postlens.schemas import BLUESKY_COMMIT, POST_KEY, REDDIT_ITEM
 from postlens.session import cut_lineage, fresh_path
 from postlens.sources import posts as sources
 from postlens.sources import validate
 from postlens.sources.adapters import AS_OF, LAST_DAY, SOURCE_COLUMNS, Tables, platform_of
-from postlens.sources.sinks import PARTITIONS
+from postlens.sources.sinks import PARTITIONS, append_snapshot
 from postlens.streaming import alerts as alert_streams
 from postlens.streaming import windows as window_streams
 from postlens.streaming.enrich import Enricher, EnrichmentTables, start_enrichment
@@ -408,6 +409,50 @@ def amplifier_count(t):
     return report.amplifier_count(influence_table(t), 5.0)
 
 
+@query
+def influence_snapshots(t):
+    """Two runs appended under their times; authors and summed degrees of each, read back."""
+    path = fresh_path(t.spark, "influence")
+    scores = influence_table(t).drop("calculated_at")
+    for taken_at in ("2024-01-29 00:00:00", AS_OF):
+        append_snapshot(path, scores, taken_at)
+    return t.spark.read.parquet(path).groupBy("calculated_at").agg(
+        F.count(F.lit(1)).alias("authors"), F.sum("in_degree").alias("links")
+    )
+
+
+@query
+def exported_edges(t):
+    """The edges of the exported graph, both tables read back and joined."""
+    path = fresh_path(t.spark, "graph")
+    graph.export_graph(*week_graph(t), path)
+    nodes = t.spark.read.parquet(f"{path}/nodes").select(F.col("author_id").alias("src"), "total_posts")
+    return t.spark.read.parquet(f"{path}/edges").join(nodes, "src")
+
+
+def view_rows(t, name):
+    register_views(t.spark, t.sentiment_posts(), t.aspects(), influence_table(t), AS_OF)
+    return t.spark.sql(f"SELECT * FROM {name}")
+
+
+@query
+def view_kpis(t):
+    return view_rows(t, "v_realtime_sentiment_kpis")
+
+
+@query
+def view_aspects(t):
+    return view_rows(t, "v_aspect_summary")
+
+
+@query
+def view_amplifiers(t):
+    rows = view_rows(t, "v_top_negative_amplifiers")
+    return rows.withColumn("pagerank_score", rounded(F.col("pagerank_score"), 8)).withColumn(
+        "amplification_risk_score", rounded(F.col("amplification_risk_score"), 4)
+    )
+
+
 @query
 def communities(t):
     return graph.communities(*week_graph(t))
@@ -521,17 +566,12 @@ def hourly_velocity(t):
 
 @query
 def language_detection(t):
-    """Trained on the training split, counted on the whole table by split."""
+    """Trained on the training split; the language found for every document."""
     cleaned = language.with_clean_text(t.document_posts()).withColumnRenamed("lang", "truth")
-    # Training and counting read the cleaned texts three times.
-    split = cut_lineage(
-        models.split_curated(cleaned, "post_id").select("post_id", "truth", "clean_text", "split")
-    )
+    split = models.split_curated(cleaned, "post_id").select("post_id", "truth", "clean_text", "split")
     model = language.train_language_model(split.filter("split = 'train'"), language="truth")
     found = language.detect_language(split, model)
-    return found.groupBy("split", "truth", F.col("language").alias("detected")).agg(
-        F.count(F.lit(1)).alias("texts")
-    )
+    return found.select("post_id", "split", "truth", F.col("language").alias("detected"))
 
 
 # --- sources -------------------------------------------------------------------------------
@@ -797,6 +837,41 @@ def check_aspects(t):
     return quality.check_constraints(t.aspects(), quality.ASPECT_RULES)
 
 
+@query
+def check_metrics(t):
+    return quality.check_constraints(metrics.rollup(t.sentiment_posts(), "1hour"), quality.METRIC_RULES)
+
+
+@query
+def check_alerts(t):
+    return quality.check_constraints(alert_table(t), quality.ALERT_RULES)
+
+
+@query
+def check_topics(t):
+    return quality.check_constraints(cluster_table(t), quality.TOPIC_RULES)
+
+
+@query
+def check_influence(t):
+    return quality.check_constraints(influence_table(t), quality.INFLUENCE_RULES)
+
+
+@query
+def check_aspect_parents(t):
+    """Aspect rows whose post is missing once spam is taken out."""
+    posts = filters.not_spam(t.sentiment_posts())
+    return quality.check_foreign_key(t.aspects(), posts, POST_KEY, "aspect_has_post")
+
+
+@query
+def quarantine_posts(t):
+    """Broken rules of the events as raw posts, had every tenth of them lost its author."""
+    lost = F.when(F.col("post_id").cast("bigint") % 10 == 0, F.lit(None)).otherwise(F.col("author_id"))
+    _, bad = quality.quarantine(t.raw_posts().withColumn("author_id", lost), quality.RAW_POST_RULES)
+    return bad.groupBy(F.array_join("broken_rules", ",").alias("broken_rules")).agg(F.count(F.lit(1)).alias("posts"))
+
+
 @query
 def check_label_parents(t):
     """Labels whose document is missing, and documents without a label."""

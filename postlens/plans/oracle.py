@@ -5,9 +5,13 @@ stop rule, not after a shared number of rounds.
 """
 
 from postlens.operators.quality import (
+    ALERT_RULES,
     ASPECT_RULES,
+    INFLUENCE_RULES,
+    METRIC_RULES,
     RAW_POST_RULES,
     SENTIMENT_POST_RULES,
+    TOPIC_RULES,
     Rules,
 )
 from postlens.plans.catalog import (
@@ -597,6 +601,36 @@ add("spam_grade", DOCS, GRADED, """
 SELECT post_id, language, spam_reason IS NOT NULL AS is_spam, spam_reason FROM graded""")
 add("spam_reason_breakdown", DOCS, GRADED, """
 SELECT spam_reason, count(*) AS posts FROM graded WHERE spam_reason IS NOT NULL GROUP BY ALL""")
+# Multinomial naive Bayes in closed form: smoothed shares of grams and of texts, added up as logarithms.
+add("language_detection", DOCS, f"""cleaned AS (
+  SELECT post_id, lang AS truth, {clean_sql('text')} AS c FROM docs),
+parted AS (
+  SELECT *, ' ' || lower(c) || ' ' AS p, CASE WHEN b < 80 THEN 'train' WHEN b < 90 THEN 'validation' ELSE 'test' END AS split
+  FROM (SELECT *, CAST('0x' || left(md5(post_id), 8) AS BIGINT) % 100 AS b FROM cleaned)),
+grams AS MATERIALIZED (
+  SELECT post_id, gram, count(*) AS n FROM (
+    SELECT post_id, unnest(list_concat(list_transform(range(1, length(p)), lambda i: p[i:i + 1]),
+      list_transform(range(1, length(p) - 1), lambda i: p[i:i + 2]))) AS gram FROM parted)
+  GROUP BY ALL),
+known AS MATERIALIZED (
+  SELECT gram FROM grams JOIN parted USING (post_id) WHERE split = 'train' GROUP BY gram HAVING count(*) >= 2),
+classes AS (SELECT truth AS lang, count(*) AS texts FROM parted WHERE split = 'train' GROUP BY truth),
+used AS (
+  SELECT truth AS lang, gram, sum(n) AS n FROM grams JOIN known USING (gram) JOIN parted USING (post_id)
+  WHERE split = 'train' GROUP BY ALL),
+sums AS (SELECT lang, sum(n) AS total FROM used GROUP BY lang),
+shares AS MATERIALIZED (
+  SELECT c.lang, k.gram, ln((coalesce(u.n, 0) + 1)::DOUBLE / (s.total + (SELECT count(*) FROM known))) AS w
+  FROM classes c JOIN sums s ON s.lang = c.lang CROSS JOIN known k LEFT JOIN used u ON u.lang = c.lang AND u.gram = k.gram),
+scores AS (
+  SELECT post_id, lang, sum(n * w) AS score FROM grams JOIN shares USING (gram) GROUP BY ALL),
+ranked AS (
+  SELECT parted.post_id, c.lang, row_number() OVER (PARTITION BY parted.post_id ORDER BY coalesce(score, 0)
+    + ln((texts + 1)::DOUBLE / ((SELECT sum(texts) FROM classes) + (SELECT count(*) FROM classes))) DESC, c.lang) AS place
+  FROM parted CROSS JOIN classes c LEFT JOIN scores s ON s.post_id = parted.post_id AND s.lang = c.lang)""", """
+SELECT post_id, split, truth,
+  CASE WHEN c = '' OR len(string_split(c, ' ')) < 3 THEN 'en' ELSE r.lang END AS detected
+FROM parted JOIN ranked r USING (post_id) WHERE place = 1""")
 add("share_of_voice", DOCS, f"""
 SELECT platform, count(*) AS posts, {pct('count(*)', 'sum(count(*)) OVER ()', 1)} AS share_pct
 FROM docs GROUP BY platform""")
@@ -894,3 +928,24 @@ FROM totals""")
 
 add_report("daily_report", CRISIS_DAY, CRISIS_DAY)
 add_report("weekly_report", *WEEK)
+
+# --- constraints, snapshots, export and views -----------------------------------------------
+
+add("check_metrics", POSTS, f"hourly AS ({rollup_sql('1hour', '1 hour')})", rules_sql("hourly", METRIC_RULES))
+add("check_alerts", POSTS, windows_sql(), ALERTS, rules_sql("alerts", ALERT_RULES))
+add("check_topics", DOCS, TOKENS, TOP_TERMS, KEYWORD_LISTS, TOPICS, f"""clusters AS (
+  SELECT run_date, topic_id, topic_label, post_count
+  FROM topic_rows JOIN keyword_lists USING (lang), (VALUES (DATE '2024-01-29'), (DATE '{LAST_DAY}')) AS d(run_date)
+  WHERE run_date = DATE '{LAST_DAY}' OR topic_id = 0)""", rules_sql("clusters", TOPIC_RULES))
+add("check_influence", *RANKED, rules_sql("scores", INFLUENCE_RULES))
+add("check_aspect_parents", POSTS, ASPECT_ROWS, f"""
+SELECT 'aspect_has_post' AS rule, count(*) AS violations
+FROM aspects ANTI JOIN (SELECT * FROM posts WHERE {CLEAN}) USING (platform, post_id)""")
+add("quarantine_posts", RAW, """
+SELECT 'author_id_present' AS broken_rules, count(*) AS posts FROM raw_posts WHERE CAST(post_id AS BIGINT) % 10 = 0""")
+add("influence_snapshots", *RANKED, f"""
+SELECT calculated_at, count(*) AS authors, sum(in_degree)::BIGINT AS links
+FROM (SELECT in_degree FROM scores), (VALUES (TIMESTAMP '2024-01-29'), (TIMESTAMP '{AS_OF}')) AS d(calculated_at) GROUP BY ALL""")
+add("exported_edges", *GRAPH, "SELECT edges.*, total_posts FROM edges JOIN nodes ON author_id = src")
+for view, source in (("view_kpis", "realtime_kpis"), ("view_aspects", "aspect_summary"), ("view_amplifiers", "recent_amplifiers")):
+    ORACLE[view] = ORACLE[source]
