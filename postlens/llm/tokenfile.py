@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from postlens.llm.common import WORD_BPE, per_worker
+from postlens.llm.common import WORD_BPE, per_worker, thinned
 from postlens.llm.tokens import file_text, library_encoder
 
 END_ID = 1
@@ -53,7 +53,7 @@ def id_width(spec: str) -> int:
 
 def fitted_dictionary(docs: DataFrame, spec, width: int, end_id: int) -> bytes:
     """A dictionary of the sample; empty if the sample is too small to fit one."""
-    first = docs.orderBy(F.xxhash64("doc_id")).limit(SAMPLE_DOCUMENTS).select("text")
+    first = thinned(docs, SAMPLE_DOCUMENTS).orderBy(F.xxhash64("doc_id")).limit(SAMPLE_DOCUMENTS).select("text")
     keeps = keep_spaces(spec.value)
 
     def encode(batches):
