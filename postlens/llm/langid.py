@@ -6,7 +6,7 @@ import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from postlens.llm.common import held_out, stored
+from postlens.llm.common import held_out, stored, thinned
 
 UNKNOWN = "und"
 BUCKET_BITS = 16
@@ -138,7 +138,7 @@ def fit_model(docs: DataFrame) -> LanguageModel:
     known = docs.select("doc_id", "lang").where(
         F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("doc_id"))
     )
-    chosen = known.withColumn("place", F.row_number().over(by_hash)).where(F.col("place") <= SAMPLE_DOCUMENTS)
+    chosen = thinned(known, SAMPLE_DOCUMENTS, "lang").withColumn("place", F.row_number().over(by_hash)).where(F.col("place") <= SAMPLE_DOCUMENTS)
     start = F.pmod(hashed, F.greatest(F.length("text") - SAMPLE_CHARS, F.lit(1))).cast("int") + 1
     texts = docs.select("doc_id", F.substring("text", start, F.lit(SAMPLE_CHARS)).alias("text"))
     # SAMPLE_DOCUMENTS rows for each language are sent to all tasks.

@@ -7,7 +7,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from postlens.llm.common import held_out, per_worker, stored
+from postlens.llm.common import held_out, per_worker, stored, thinned
 
 # The classifier is fitted on so many texts of each class, those with the smallest hashed doc_id; half of them
 # make the dictionaries, with so many blocks of each text, and the other half the calibration.
@@ -90,9 +90,11 @@ def fit_classifier(docs: DataFrame, labels: DataFrame) -> Classifier:
     every score is 0.5.
     """
     by_hash = Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id")
+    known = labels.select("doc_id", F.col("quality").cast("int").alias("label")).where(
+        F.col("doc_id").isNotNull() & F.col("label").isin(0, 1) & ~held_out(F.col("doc_id"))
+    )
     chosen = (
-        labels.select("doc_id", F.col("quality").alias("label"))
-        .where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1) & ~held_out(F.col("doc_id")))
+        thinned(known, SAMPLE_TEXTS, "label")
         .dropDuplicates()
         .withColumn("place", F.row_number().over(by_hash))
         .where(F.col("place") <= SAMPLE_TEXTS)
