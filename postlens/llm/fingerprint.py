@@ -64,7 +64,7 @@ def densified(values: Column) -> Column:
         [sorted(range(BINS), key=lambda other: place_in_order(bin, other))[k] for bin in range(BINS)] for k in range(PROBES)
     ]
 
-    def search(v, bin, filled):
+    def search(bin, filled):
         ordered = F.transform(filled, lambda x: F.struct(place_in_order_column(bin, x["bin"]), x["value"].alias("value")))
         return F.array_min(ordered)["value"]
 
@@ -76,7 +76,7 @@ def densified(values: Column) -> Column:
             filled,
             lambda own: F.transform(
                 v,
-                lambda x, bin: F.coalesce(x, *(F.get(v, F.get(t, bin)) for t in tables), search(v, bin, own)),
+                lambda x, bin: F.coalesce(x, *(F.get(v, F.get(t, bin)) for t in tables), search(bin, own)),
             ),
         )
 

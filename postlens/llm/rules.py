@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postlens.llm.common import stored
+from postlens.llm.common import WORD_BREAK, stored
 from postlens.llm.native import SHINGLE_WORDS, let, window_hashes, words
 
 MIN_WORDS = 10
@@ -50,7 +50,7 @@ def text_counts(text: Column) -> Column:
     def counts(found):
         return F.struct(
             F.size(found).cast("bigint").alias("n_words"),
-            F.length(F.regexp_replace(text, WORD_BREAKS, "")).cast("bigint").alias("word_chars"),
+            F.length(F.regexp_replace(text, WORD_BREAK, "")).cast("bigint").alias("word_chars"),
             F.length(F.regexp_replace(text, NOT_SYMBOL, "")).cast("bigint").alias("n_symbols"),
             let(lines, lambda own: F.struct(F.size(own).alias("n"), F.size(F.array_distinct(own)).alias("distinct"))).alias("lines"),
             repeat_words(window_hashes(found)).alias("n_repeat_words"),
@@ -59,9 +59,6 @@ def text_counts(text: Column) -> Column:
     return let(words(text), counts)
 
 
-WORD_BREAKS = "[\\x20\\x09-\\x0D]+"
-
-
 def document_rules(docs: DataFrame, keep: tuple[str, ...] = ("doc_id", "source")) -> DataFrame:
     """The counts and failed rules of every document, beside the columns of keep."""
     rows = docs.select(*keep, text_counts(F.col("text")).alias("c"))
