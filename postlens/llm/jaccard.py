@@ -21,11 +21,11 @@ SHARE, WHOLE = 75, 100
 EXTRA = 16
 # Shingles that come last in the order of prefixes. Any choice gives the same links; common ones make small blocks.
 FREQUENT_SHINGLES = 1 << 17
-FREQUENT_IN_BATCH = 0.002
+FREQUENT_IN_BATCH = 0.0004
 FREQUENT_AT_LEAST = 4
 # Nodes of a block are compared with so many of its members first; the rest of a block only across components.
 PIVOTS = 8
-BLOCK_NODES = 2048
+BLOCK_SHINGLES = 1 << 21
 FANOUT = 8
 PAIRS_AT_ONCE = 1 << 14
 # Bits of the sieve that spares the last reading of texts most of the work.
@@ -104,7 +104,17 @@ def prefix_size(n: int) -> int:
 def count_vector(shingles: np.ndarray) -> np.ndarray:
     """How many shingles fall into each group by their top bits; the number of groups grows with the set."""
     bits = max(4, int(len(shingles) // 4).bit_length())
-    return np.bincount((shingles >> U(64 - bits)).astype(np.int64), minlength=1 << bits).astype(np.uint32)
+    return np.bincount((shingles >> U(64 - bits)).astype(np.int64), minlength=1 << bits)
+
+
+def vector_bytes(vector: np.ndarray) -> bytes:
+    """Counts in one byte each, or in four if one is over 255; the last byte tells which."""
+    wide = int(vector.max(initial=0) > 255)
+    return vector.astype("<u4" if wide else np.uint8).tobytes() + bytes([wide])
+
+
+def vector_of(data: bytes) -> np.ndarray:
+    return np.frombuffer(data[:-1], dtype="<u4" if data[-1] else np.uint8)
 
 
 def folded(vector: np.ndarray, size: int) -> np.ndarray:
@@ -210,7 +220,7 @@ def sets_of(docs: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame:
                 if found is not None and found[bit >> 3] >> (bit & 7) & 1:
                     own = make(text.as_py())
                     if len(own):
-                        out.append((node_of(own), count_vector(own).tobytes(), own.tobytes()))
+                        out.append((node_of(own), vector_bytes(count_vector(own)), own.tobytes()))
             columns = zip(*out) if out else [[]] * 3
             types = [pa.int64(), pa.binary(), pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["node", "vector", "shingles"])
@@ -263,7 +273,7 @@ def bounded(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         for batch in batches:
             mask = []
             for va, vb in zip(batch.column("va"), batch.column("vb")):
-                va, vb = np.frombuffer(va.as_py(), np.uint32), np.frombuffer(vb.as_py(), np.uint32)
+                va, vb = vector_of(va.as_py()), vector_of(vb.as_py())
                 size = min(len(va), len(vb))
                 bound = np.minimum(folded(va, size), folded(vb, size)).sum()
                 mask.append(bool(bound >= least_overlap(int(va.sum()), int(vb.sum()))))
@@ -349,47 +359,70 @@ class CountTree:
 
 
 def across_components(live: DataFrame, parts: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs a, b that share a block, lie in different components, and pass the R-tree's bound.
+    """Links a, b between components, from pairs that share a shingle of their prefixes.
 
-    A block with over BLOCK_NODES nodes is dealt out: its nodes fall into chunks and every two chunks meet in a task.
+    Texts that are alike meet at many shingles. Blocks with the same least node are put together, so such texts
+    are compared once and not at each of them; what comes together without a common shingle costs a bound at most. A
+    block with over BLOCK_SHINGLES shingles is dealt out: its nodes fall into chunks and every two chunks meet in a
+    task. There the R-tree bounds pairs and whole sets verify them, until the block's components are joined: a
+    block gives fewer links than it has nodes.
     """
-    rows = live.select("shingle", "node").join(parts, "node")
-    block = rows.groupBy("shingle").agg(
-        F.count("*").alias("m"), F.min("component").alias("low"), F.max("component").alias("high")
+    rows = live.join(parts, "node")
+    shingles = rows.groupBy("shingle").agg(
+        F.min("node").alias("least"), F.min("component").alias("low"), F.max("component").alias("high")
     )
-    mixed_blocks = block.where("low <> high").select("shingle", F.ceil(F.col("m") / BLOCK_NODES).cast("int").alias("chunks"))
-    rows = rows.join(mixed_blocks, "shingle").withColumn("own", F.pmod(F.xxhash64("node"), "chunks").cast("int"))
+    apart = shingles.where("low <> high").select("shingle", "least")
+    rows = stored(rows.join(apart, "shingle").select("least", "node", "n", "component").distinct(), "mixed-blocks")
+    chunks = rows.groupBy("least").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("int").alias("chunks"))
+    rows = rows.join(chunks, "least").withColumn("own", F.pmod(F.xxhash64("node"), "chunks").cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
     rows = rows.withColumn("other", other).select(
-        F.xxhash64("shingle", F.least("own", "other"), F.greatest("own", "other")).alias("block"), "node", "component"
+        F.xxhash64("least", F.least("own", "other"), F.greatest("own", "other")).alias("block"), "node", "component"
     )
-    rows = rows.distinct().join(sets.select("node", "vector"), "node")
+    rows = rows.distinct().join(sets.select("node", "vector", "shingles"), "node")
     dealt = rows.repartition("block").sortWithinPartitions("block")
 
-    def pairs(batches):
-        block, nodes, components, vectors = None, [], [], []
-
-        def found():
-            if len(nodes) < 2:
-                return
-            tree = CountTree(vectors, components)
-            pairs = {(min(nodes[i], nodes[k]), max(nodes[i], nodes[k])) for i, k in tree.pairs()}
-            if pairs:
-                columns = [pa.array(c, pa.int64()) for c in zip(*pairs)]
-                yield pa.RecordBatch.from_arrays(columns, names=["a", "b"])
-
+    def links(batches):
+        block, members = None, []
         for batch in batches:
-            for row_block, node, component, vector in zip(*(c.to_pylist() for c in batch.columns)):
-                if row_block != block:
-                    yield from found()
-                    block, nodes, components, vectors = row_block, [], [], []
-                nodes.append(node)
-                components.append(component)
-                vectors.append(np.frombuffer(vector, np.uint32))
-        yield from found()
-
-    ordered = dealt.select("block", "node", "component", "vector")
-    return ordered.mapInArrow(pairs, "a bigint, b bigint").distinct()
+            for own, *member in zip(*(c.to_pylist() for c in batch.columns)):
+                if own != block:
+                    yield from rows_of(joining_links(members))
+                    block, members = own, []
+                members.append(member)
+        yield from rows_of(joining_links(members))
+
+    def rows_of(found):
+        if found:
+            columns = [pa.array(c, pa.int64()) for c in zip(*found)]
+            yield pa.RecordBatch.from_arrays(columns, names=["a", "b"])
+
+    ordered = dealt.select("block", "node", "component", "vector", "shingles")
+    return ordered.mapInArrow(links, "a bigint, b bigint").distinct()
+
+
+def joining_links(members: list[list]) -> list[tuple[int, int]]:
+    """Links between the components of one block's (node, component, vector, shingles), none that joins nothing more."""
+    if len(members) < 2:
+        return []
+    nodes, components, vectors, shingles = zip(*members)
+    sets = [np.frombuffer(s, np.uint64) for s in shingles]
+    parent = {c: c for c in components}
+
+    def root(c):
+        while parent[c] != c:
+            parent[c] = c = parent[parent[c]]
+        return c
+
+    links = []
+    for i, k in CountTree([vector_of(v) for v in vectors], components).pairs():
+        one, other = root(components[i]), root(components[k])
+        if one != other:
+            common = len(np.intersect1d(sets[i], sets[k], assume_unique=True))
+            if common >= least_overlap(len(sets[i]), len(sets[k])):
+                links.append((nodes[i], nodes[k]))
+                parent[one] = other
+    return links
 
 
 # --- components ------------------------------------------------------------------------------------
@@ -407,7 +440,7 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
         both = edges.union(edges.select("b", "a"))
         least = both.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m"))
         larger = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        larger = larger.where("a <> b").distinct()
+        larger = larger.where("a <> b")
         least = larger.groupBy("a").agg(F.min("b").alias("m"))
         smaller = larger.join(least, "a")
         smaller = smaller.select(F.col("b").alias("a"), F.col("m").alias("b")).union(smaller.select("a", F.col("m").alias("b")))
@@ -463,8 +496,7 @@ def jaccard_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     # Now all pairs of a block that are in different components.
     parts = stored(all_parts(wanted, components(links)), "parts")
-    last = verified(across_components(live, parts, sets), sets)
-    return nodes, stored(links.union(last), "links")
+    return nodes, stored(links.union(across_components(live, parts, sets)), "links")
 
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
@@ -498,4 +530,4 @@ def one_of_each_component(docs: DataFrame) -> DataFrame:
     verdicts = stored(verdicts, "verdicts")
     single = docs.join(verdicts, "doc_id", "left_anti")
     repeated = docs.join(verdicts.where("NOT goes"), "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    return single.unionByName(repeated)
+    return single.unionByName(repeated).select(*docs.columns)

@@ -88,7 +88,7 @@ def planted(seed, groups=25):
 @pytest.mark.parametrize("seed", [1, 2])
 def test_components_equal_brute_force(spark, seed, monkeypatch):
     if seed == 2:  # blocks of many chunks
-        monkeypatch.setattr(jaccard, "BLOCK_NODES", 3)
+        monkeypatch.setattr(jaccard, "BLOCK_SHINGLES", 200)
     rows = planted(seed)
     assert got_components(frame(spark, rows)) == expected_components(rows)
 
