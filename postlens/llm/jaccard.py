@@ -379,32 +379,50 @@ def across_components(live: DataFrame, parts: DataFrame, sets: DataFrame) -> Dat
     rows = rows.withColumn("other", other).select(
         F.xxhash64("least", F.least("own", "other"), F.greatest("own", "other")).alias("block"), "node", "component"
     )
-    rows = rows.distinct().join(sets.select("node", "vector", "shingles"), "node")
-    dealt = rows.repartition("block").sortWithinPartitions("block")
+    rows = rows.distinct()
+    # Vectors first: whole sets are sent for the nodes only that have a pair left.
+    near = in_blocks(rows.join(sets.select("node", "vector"), "node"), nodes_in_pairs, BLOCK_ROW, ["vector"])
+    near = stored(near, "near-nodes").join(sets, "node")
+    return in_blocks(near, joining_links, "a bigint, b bigint", ["vector", "shingles"]).distinct()
 
-    def links(batches):
+
+BLOCK_ROW = "block bigint, node bigint, component bigint"
+
+
+def in_blocks(rows: DataFrame, function, schema: str, payload: list[str]) -> DataFrame:
+    """Rows of function(block, list of (node, component, *payload)) for every block, one block at a time."""
+    names = [field.split()[0] for field in schema.split(", ")]
+
+    def run(batches):
         block, members = None, []
+
+        def found():
+            out = function(block, members) if len(members) > 1 else []
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=names)
+
         for batch in batches:
             for own, *member in zip(*(c.to_pylist() for c in batch.columns)):
                 if own != block:
-                    yield from rows_of(joining_links(members))
+                    yield from found()
                     block, members = own, []
                 members.append(member)
-        yield from rows_of(joining_links(members))
+        yield from found()
+
+    dealt = rows.select("block", "node", "component", *payload).repartition("block").sortWithinPartitions("block")
+    return dealt.mapInArrow(run, schema)
 
-    def rows_of(found):
-        if found:
-            columns = [pa.array(c, pa.int64()) for c in zip(*found)]
-            yield pa.RecordBatch.from_arrays(columns, names=["a", "b"])
 
-    ordered = dealt.select("block", "node", "component", "vector", "shingles")
-    return ordered.mapInArrow(links, "a bigint, b bigint").distinct()
+def nodes_in_pairs(block: int, members: list[list]) -> list[tuple[int, int, int]]:
+    """(block, node, component) of the (node, component, vector) that are in a pair of the block's R-tree."""
+    nodes, components, vectors = zip(*members)
+    tree = CountTree([vector_of(v) for v in vectors], components)
+    inside = {place for pair in tree.pairs() for place in pair}
+    return [(block, nodes[place], components[place]) for place in sorted(inside)]
 
 
-def joining_links(members: list[list]) -> list[tuple[int, int]]:
+def joining_links(block: int, members: list[list]) -> list[tuple[int, int]]:
     """Links between the components of one block's (node, component, vector, shingles), none that joins nothing more."""
-    if len(members) < 2:
-        return []
     nodes, components, vectors, shingles = zip(*members)
     sets = [np.frombuffer(s, np.uint64) for s in shingles]
     parent = {c: c for c in components}
