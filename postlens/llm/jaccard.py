@@ -28,6 +28,10 @@ PIVOTS = 8
 BLOCK_SHINGLES = 1 << 21
 FANOUT = 8
 PAIRS_AT_ONCE = 1 << 14
+# All pairs of a component are counted: so many nodes at most in a chunk, nodes compared at once, shingles at once.
+COUNTED_NODES = 1 << 13
+TILE_NODES = 1 << 10
+TILE_SHINGLES = 1 << 12
 # Bits of the sieve that spares the last reading of texts most of the work.
 SIEVE_BITS = 1 << 27
 
@@ -443,6 +447,122 @@ def joining_links(block: int, members: list[list]) -> list[tuple[int, int]]:
     return links
 
 
+# --- all links of a component ----------------------------------------------------------------------
+
+
+def overlaps(one: list[np.ndarray], other: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of every set of one with every set of other, as products over the shingles both have."""
+    flat, flat_other = np.concatenate(one), np.concatenate(other)
+    both = np.intersect1d(flat, flat_other)
+    out = np.zeros((len(one), len(other)), dtype=np.int64)
+
+    def places(flat, sets):
+        """(row, place in both) of what is in both, by place."""
+        row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+        place = np.minimum(np.searchsorted(both, flat), len(both) - 1)
+        inside = both[place] == flat
+        row, place = row[inside], place[inside]
+        order = np.argsort(place, kind="stable")
+        return row[order], place[order]
+
+    if not len(both):
+        return out
+    rows, rows_other = places(flat, one), places(flat_other, other)
+    for start in range(0, len(both), TILE_SHINGLES):
+        width = min(TILE_SHINGLES, len(both) - start)
+        tiles = []
+        for sets, (row, place) in ((one, rows), (other, rows_other)):
+            low, high = np.searchsorted(place, [start, start + width])
+            tile = np.zeros((len(sets), width), dtype=np.float32)
+            tile[row[low:high], place[low:high] - start] = 1
+            tiles.append(tile)
+        out += (tiles[0] @ tiles[1].T).astype(np.int64)
+    return out
+
+
+def link_sums(sets: list[np.ndarray], copies: np.ndarray, sides: np.ndarray, across: bool) -> np.ndarray:
+    """For every set the copies of all sets that it is linked with; across: of the other side only.
+
+    Sets come in tiles by size and fullest group, as the R-tree's leaves; a set is compared with those of a tile if the
+    greatest counts of the tile allow a link.
+    """
+    sizes = np.array([len(s) for s in sets], dtype=np.int64)
+    vectors = [count_vector(s) for s in sets]
+    groups = min(map(len, vectors))
+    points = np.stack([folded(v, groups) for v in vectors])
+    order = np.lexsort((points.argmax(axis=1), sizes))
+    tiles = [t for side in ((0, 1) if across else (0,)) for t in in_tiles(order[sides[order] == side] if across else order, side)]
+    sums = np.zeros(len(sets), dtype=np.int64)
+    for k, (side, one) in enumerate(tiles):
+        for same, (other_side, other) in enumerate(tiles[k:]):
+            if across and side == other_side:
+                continue
+
+            def open_(own, tile):
+                least = np.maximum(sizes[tile].min(), -(-SHARE * sizes[own] // WHOLE))
+                bound = np.minimum(points[own], points[tile].max(axis=0)).sum(axis=1)
+                fits = (WHOLE * sizes[own] >= SHARE * sizes[tile].min()) & (SHARE * sizes[own] <= WHOLE * sizes[tile].max())
+                return own[fits & (bound >= least_overlap(sizes[own], least))]
+
+            a = open_(one, other)
+            b = a if not same else open_(other, one)
+            if not len(a) or not len(b):
+                continue
+            common = overlaps([sets[i] for i in a], [sets[i] for i in b])
+            linked = common >= least_overlap(sizes[a][:, None], sizes[b][None, :])
+            if not same:
+                np.fill_diagonal(linked, False)
+                sums[a] += linked @ copies[a]
+            else:
+                sums[a] += linked @ copies[b]
+                sums[b] += linked.T @ copies[a]
+    return sums
+
+
+def in_tiles(order: np.ndarray, side: int) -> list[tuple[int, np.ndarray]]:
+    return [(side, order[k : k + TILE_NODES]) for k in range(0, len(order), TILE_NODES)]
+
+
+def linked_copies(nodes: DataFrame, parts: DataFrame, sets: DataFrame) -> DataFrame:
+    """node, linked: documents of other nodes that a node is linked with, for all nodes of components of two or more.
+
+    Every link lies inside a component, so all pairs of a component are all there are. A large component is dealt out: its
+    nodes fall into chunks and every two chunks meet in a task, which sums links by node; no pair is written.
+    """
+    copies = nodes.where("node IS NOT NULL").groupBy("node").agg(F.count("*").alias("copies"))
+    rows = parts.join(copies, "node").join(sets.select("node", F.expr("octet_length(shingles) div 8").alias("n")), "node")
+    chunks = rows.groupBy("component").agg(
+        F.greatest(F.ceil(F.sum("n") / BLOCK_SHINGLES), F.ceil(F.count("*") / COUNTED_NODES)).cast("int").alias("chunks")
+    )
+    rows = rows.join(chunks, "component").withColumn("own", F.pmod(F.xxhash64("node"), "chunks").cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    block = [F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high")]
+    rows = rows.select("component", *block, "own", "node", "copies").join(sets.select("node", "shingles"), "node")
+
+    def run(batches):
+        block, members = None, []
+
+        def counted():
+            if len(members) > 1:
+                own, nodes, copies, shingles = zip(*members)
+                _, low, high = block
+                sides = (np.array(own) != low).astype(int)
+                sums = link_sums([np.frombuffer(s, np.uint64) for s in shingles], np.array(copies, np.int64), sides, low != high)
+                yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(sums, pa.int64())], names=["node", "linked"])
+
+        for batch in batches:
+            for *key, own, node, copies, shingles in zip(*(c.to_pylist() for c in batch.columns)):
+                if key != block:
+                    yield from counted()
+                    block, members = key, []
+                members.append((own, node, copies, shingles))
+        yield from counted()
+
+    key = ["component", "low", "high"]
+    dealt = rows.select(*key, "own", "node", "copies", "shingles").repartition(*key).sortWithinPartitions(*key)
+    return dealt.mapInArrow(run, "node bigint, linked bigint").groupBy("node").agg(F.sum("linked").alias("linked"))
+
+
 # --- components ------------------------------------------------------------------------------------
 
 
@@ -484,11 +604,11 @@ def all_parts(live_nodes: DataFrame, parts: DataFrame) -> DataFrame:
     return joined.select("node", F.coalesce("component", "node").alias("component"))
 
 
-def jaccard_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, n_shingles, node of every document; links a, b between nodes).
+def joining(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(doc_id, n_shingles, node of every document; links a, b that join nodes to components; sets of all nodes with links).
 
     The links are verified ones and join all nodes that any chain of links joins; links inside a component that is
-    whole already are not looked for, so a group of near copies costs its size and not its square.
+    whole already are not looked for here: linked_copies() counts them.
     """
     docs = docs.select(F.col("doc_id").cast("bigint"), "text")
     nodes = stored(node_rows(docs), "shingle-nodes")
@@ -514,7 +634,7 @@ def jaccard_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     # Now all pairs of a block that are in different components.
     parts = stored(all_parts(wanted, components(links)), "parts")
-    return nodes, stored(links.union(across_components(live, parts, sets)), "links")
+    return nodes, stored(links.union(across_components(live, parts, sets)), "links"), sets
 
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
@@ -525,14 +645,32 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     of their own. A null doc_id takes its component's, and is null if all there are. An empty table gives no rows; other
     columns are left out.
     """
-    nodes, links = jaccard_links(docs)
-    parts = components(links)
+    nodes, links, _ = joining(docs)
+    return with_component(nodes, components(links)).select("doc_id", "n_shingles", "component_id")
+
+
+def jaccard_links(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, n_links (other rows that the row is linked with, equal texts included), component_id for every row.
+
+    All links are counted, also those inside a component. Rows are as in jaccard_components(); those without shingles have none.
+    """
+    nodes, links, sets = joining(docs)
+    parts = stored(components(links), "parts")
+    linked = linked_copies(nodes, parts, sets)
+    copies = nodes.where("node IS NOT NULL").groupBy("node").agg(F.count("*").alias("copies"))
+    counts = copies.join(linked, "node", "left").select("node", (F.col("copies") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links"))
+    named = with_component(nodes, parts).join(counts, "node", "left")
+    return named.select("doc_id", "n_shingles", F.coalesce("n_links", F.lit(0).cast("bigint")).alias("n_links"), "component_id")
+
+
+def with_component(nodes: DataFrame, parts: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, node, component_id (the least doc_id of its component) of every row of nodes."""
     named = nodes.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
     named = stored(named, "named-nodes")
     least = named.where("node IS NOT NULL").groupBy("component").agg(F.min("doc_id").alias("component_id"))
     joined = named.join(least, "component", "left")
     own = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return joined.select("doc_id", "n_shingles", own.alias("component_id"))
+    return joined.select("doc_id", "n_shingles", "node", own.alias("component_id"))
 
 
 def one_of_each_component(docs: DataFrame) -> DataFrame:

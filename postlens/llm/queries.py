@@ -31,6 +31,11 @@ def op2_jaccard_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
 
 
+@query
+def op2_jaccard_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_links(table(spark, sf_dir, "documents"))
+
+
 @query
 def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = fingerprint.fingerprint_documents(table(spark, sf_dir, "documents"))
@@ -118,6 +123,12 @@ SELECT d.doc_id, coalesce(max(n.n), 0) AS n_shingles, min(r.other) AS component_
 FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id JOIN reach r ON r.doc_id = d.doc_id GROUP BY d.doc_id
 """
 
+# The same with the number of documents that each is linked with.
+JOINED = """SELECT d.doc_id, coalesce(max(n.n), 0) AS n_shingles, min(r.other) AS component_id"""
+COUNTED = """SELECT d.doc_id, coalesce(max(n.n), 0) AS n_shingles,
+  (SELECT count(*) FROM links l WHERE l.a = d.doc_id) AS n_links, min(r.other) AS component_id"""
+ORACLE["op2_jaccard_links"] = ORACLE["op2_jaccard_components"].replace(JOINED, COUNTED)
+
 ORACLE["op8_host_rules"] = """
 WITH w AS (
   SELECT doc_id, lower(coalesce(source, '')) AS source, coalesce(text, '') AS text,

@@ -93,6 +93,32 @@ def test_components_equal_brute_force(spark, seed, monkeypatch):
     assert got_components(frame(spark, rows)) == expected_components(rows)
 
 
+def expected_links(rows):
+    sets = [shingle_set(r[1]) for r in rows]
+    linked = lambda one, other: one and other and 100 * len(one & other) >= 75 * len(one | other)
+    return Counter(
+        (r[0], sum(bool(linked(own, other)) for j, other in enumerate(sets) if j != k)) for k, (r, own) in enumerate(zip(rows, sets))
+    )
+
+
+def got_links(df):
+    return Counter((r.doc_id, r.n_links) for r in jaccard.jaccard_links(df).collect())
+
+
+@pytest.mark.parametrize("chunks", [False, True])
+def test_all_links_are_counted(spark, chunks, monkeypatch):
+    """A group of near copies has links between all of them, not only those that join it."""
+    if chunks:
+        for name, value in (("COUNTED_NODES", 7), ("TILE_NODES", 3), ("TILE_SHINGLES", 16)):
+            monkeypatch.setattr(jaccard, name, value)
+    base = [f"g{k}" for k in range(80)]
+    group = [" ".join([*base[:k], f"new{k}", *base[k + 1 :]]) for k in range(30)]
+    rows = planted(5) + [(20000 + k, t, "s") for k, t in enumerate([*group, group[0], group[0]])] + [(None, group[1], "s")]
+    got = got_links(frame(spark, rows))
+    assert got == expected_links(rows)
+    assert max(n for _, n in got) >= 32
+
+
 def test_components_of_odd_rows(spark):
     text = " ".join(f"w{k}" for k in range(40))
     rows = [(5, text, "s"), (5, text, "s"), (None, text + " more", "s"), (None, "alone", "s"), (3, text, None), (9, "", "s"), (9, None, "s")]
