@@ -205,7 +205,8 @@ def sets_of(docs: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame:
     A sieve of SIEVE_BITS bits, whatever the tables' size, tells most of the other documents apart before any work is
     done on them; what it lets through too many goes in the join.
     """
-    place = F.pmod(F.xxhash64("doc_id"), F.lit(SIEVE_BITS))
+    # From 1, as Spark gives place 0 a bucket of its own.
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(SIEVE_BITS)) + 1
     chosen = nodes.join(wanted.select("node"), "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     bits = chosen.select(place.alias("p")).groupBy(F.bitmap_bucket_number("p").alias("b"))
     sieve = {r.b: bytes(r.m) for r in bits.agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("m")).collect()}
@@ -621,6 +622,8 @@ def joining(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     star = stored(with_pivots(live.join(wanted.select("node"), "node", "left_semi")), "blocks")
     live = members(star)
     sets = stored(sets_of(docs, nodes, wanted), "sets")
+    if (found := sets.count()) != (needed := wanted.count()):
+        raise RuntimeError(f"{found} sets for {needed} nodes")
 
     # First every node with the pivot it shares most with, then with its other pivots where they are still apart.
     votes = star.where(alike("n", "pivot_n")).groupBy("node", "pivot").agg(F.count("*").alias("votes"))

@@ -93,6 +93,12 @@ def test_components_equal_brute_force(spark, seed, monkeypatch):
     assert got_components(frame(spark, rows)) == expected_components(rows)
 
 
+def test_sieve_has_its_first_place(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "SIEVE_BITS", 2)
+    rows = planted(3, groups=8)
+    assert got_components(frame(spark, rows)) == expected_components(rows)
+
+
 def expected_links(rows):
     sets = [shingle_set(r[1]) for r in rows]
     linked = lambda one, other: one and other and 100 * len(one & other) >= 75 * len(one | other)
