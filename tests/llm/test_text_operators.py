@@ -317,6 +317,34 @@ def test_constant_places_become_template():
     assert texts == [f"Text of page {k} that is long enough." for k in range(6)]
 
 
+def texts_of_host(pages):
+    constant, slot = wrapper.induced(pages)
+    return [wrapper.main_text(page, frozenset(constant), slot) for page in pages]
+
+
+@pytest.mark.parametrize("tag", ["div class=t", "section", "blockquote", "pre", 'div class="w-1/2"'])
+def test_all_siblings_of_the_slot_are_kept(tag):
+    blocks = [[f"Block {b} of page {k} has its own words {b * k}." for b in range(4)] for k in range(6)]
+    wrapped = [f"<h2>Part {k}</h2>".join(f"<{tag}>{t}</{tag.split()[0]}>" for t in own) for k, own in enumerate(blocks)]
+    texts = texts_of_host([PAGE % f"<div id=top><div class=body><h1>Title {k}</h1>{w}</div></div>" for k, w in enumerate(wrapped)])
+    assert texts == [f"Title {k}\n" + f"\nPart {k}\n".join(own) for k, own in enumerate(blocks)]
+
+
+def test_a_slot_is_never_one_kind_of_block():
+    """Paragraphs around long quotes are kept, those after the last quote too."""
+    quotes = [[f"Quote {b} of page {k} " + "with many more words " * 5 + f"{b * k}." for b in range(3)] for k in range(6)]
+    body = [f"<p>Before {k}.</p>" + "".join(f"<blockquote>{q}</blockquote>" for q in own) + f"<p>After {k}.</p>" for k, own in enumerate(quotes)]
+    assert texts_of_host([PAGE % f"<div class=body>{b}</div>" for b in body]) == [
+        "\n".join([f"Before {k}.", *own, f"After {k}."]) for k, own in enumerate(quotes)
+    ]
+
+
+def test_all_articles_are_kept():
+    body = "<article><p>One</p><article>In it</article></article><div><article>Two</article></div><aside><article>Tease</article></aside>"
+    assert wrapper.main_text(PAGE % body) == "One\nIn it\nTwo"
+    assert wrapper.main_text(PAGE % f"<main><p>Intro</p>{body}</main>") == "Intro\nOne\nIn it\nTwo"
+
+
 def test_few_pages_have_no_template():
     constant, _ = wrapper.induced([PAGE % "<article><p>Same</p></article>"] * 2)
     assert constant == []
