@@ -345,6 +345,28 @@ def test_all_articles_are_kept():
     assert wrapper.main_text(PAGE % f"<main><p>Intro</p>{body}</main>") == "Intro\nOne\nIn it\nTwo"
 
 
+@pytest.mark.parametrize(
+    "part",
+    [
+        "<h2 id=related>%s</h2>",
+        "<h2 id=related-work>%s</h2>",
+        "<section id=social-history>%s</section>",
+        "<p class=notice-period>%s</p>",
+        '<p><a href="/view?id=comments">%s</a></p>',
+        '<p><a data-id="share" class=share>%s</a></p>',
+        '<pre><span class="comment">%s</span></pre>',
+    ],
+)
+def test_words_drop_no_article_text(part):
+    assert wrapper.main_text(f"<article><p>Long text first.</p>{part % 'Kept'}<div class='ad'>Buy</div></article>") == "Long text first.\nKept"
+
+
+@pytest.mark.parametrize("name", ["content with-sidebar", "content sidebar", "page widget"])
+def test_a_word_does_not_drop_most_of_a_page(name):
+    pages = [PAGE % f"<div class='{name}'><p>Text of page {k}, long enough to be most of it.</p><p>More {k}.</p></div>" for k in range(6)]
+    assert texts_of_host(pages) == [f"Text of page {k}, long enough to be most of it.\nMore {k}." for k in range(6)]
+
+
 def test_few_pages_have_no_template():
     constant, _ = wrapper.induced([PAGE % "<article><p>Same</p></article>"] * 2)
     assert constant == []
