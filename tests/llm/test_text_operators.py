@@ -367,6 +367,29 @@ def test_a_word_does_not_drop_most_of_a_page(name):
     assert texts_of_host(pages) == [f"Text of page {k}, long enough to be most of it.\nMore {k}." for k in range(6)]
 
 
+def host_texts(spark, pages):
+    df = spark.createDataFrame([(k, "http://a.org/x", p) for k, p in enumerate(pages)], "page_id bigint, url string, html string")
+    return [r.text for r in sorted(wrapper.extract_text(df).collect(), key=lambda r: r.page_id)]
+
+
+def test_every_layout_has_its_template_and_slot(spark):
+    """A layout with few of a large host's pages has a slot and template texts of its own."""
+    large = [f"<div class=body><p>Text of page {k} that is long enough.</p><p>Read more</p></div>" for k in range(60)]
+    rare = [f"<div class=top>Top {k}</div><div class=story><p>Story {k} that is long enough to be one.</p><p>By the desk</p></div>" for k in range(5)]
+    texts = host_texts(spark, [f"<html>{b}</html>" for b in large + rare])
+    assert texts[:60] == [f"Text of page {k} that is long enough." for k in range(60)]
+    assert texts[60:] == [f"Story {k} that is long enough to be one." for k in range(5)]
+
+
+def test_one_article_under_many_menus_is_no_template(spark):
+    same = "<div class=body><p>The same long text of one article.</p><p>Its second part.</p><p>Read more</p></div>"
+    other = [f"<div class=body><p>Text of page {k} that is long enough.</p><p>Read more</p></div>" for k in range(6)]
+    pages = [f"<html><nav>Menu {k}</nav>{same}</html>" for k in range(60)] + [f"<html><nav>x</nav>{b}</html>" for b in other]
+    texts = host_texts(spark, pages)
+    assert set(texts[:60]) == {"The same long text of one article.\nIts second part."}
+    assert texts[60:] == [f"Text of page {k} that is long enough." for k in range(6)]
+
+
 def test_few_pages_have_no_template():
     constant, _ = wrapper.induced([PAGE % "<article><p>Same</p></article>"] * 2)
     assert constant == []
