@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlens.llm import bpe, fingerprint, jaccard, langid, packing, quality, rules, sharding, tokenfile, wrapper
+from postlens.llm import bpe, fingerprint, jaccard, langid, oracle, packing, quality, repair, rules, sharding, tokenfile, wrapper
 from postlens.llm.common import held_out, table
 from postlens.session import fresh_path
 
@@ -101,6 +101,13 @@ def op10_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(table(spark, sf_dir, "documents"))
 
 
+@query
+def op12_repaired_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repaired_after_damage(table(spark, sf_dir, "conversations"))
+
+
+ORACLE["op12_repaired_conversations"] = oracle.OP12
+
 # Documents linked at 100 * intersection >= 75 * union of their five-word shingles, and the least doc_id of each component.
 ORACLE["op2_jaccard_components"] = """
 WITH RECURSIVE w AS (
