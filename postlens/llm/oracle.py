@@ -84,3 +84,31 @@ SELECT c.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank
 FROM (SELECT DISTINCT conv_id FROM conversations) c
 LEFT JOIN n ON n.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN b ON b.conv_id IS NOT DISTINCT FROM c.conv_id
 """
+
+OP13 = f"""
+WITH RECURSIVE {CRC_TABLE},
+r AS (
+  SELECT doc_id, run, count(*) AS n FROM (
+    SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[a-zÀ-ÿ]+')) AS run FROM documents) WHERE length(run) >= 7 GROUP BY doc_id, run),
+h AS (SELECT run, n, {crc32("coalesce(doc_id::VARCHAR, '') || ':' || run")} AS h FROM r, crc),
+w AS (
+  SELECT word, sum(n)::BIGINT AS n FROM (
+    SELECT CASE WHEN h % 31 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM h)
+  WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+v AS (
+  SELECT word, i, left(word, i) || substr(word, i + 2) AS less FROM (SELECT word, unnest(range(length(word))) AS i FROM w)),
+near AS (
+  SELECT a.word AS a, b.word AS b FROM v a JOIN v b ON a.i = b.i AND a.less = b.less AND a.word <> b.word
+  UNION SELECT v.word, w.word FROM v JOIN w ON v.less = w.word
+  UNION SELECT w.word, v.word FROM v JOIN w ON v.less = w.word),
+best AS (
+  SELECT a AS word, count(*) AS n_near, max(n) AS most, arg_min(b, {{'n': -n, 'b': b}}) AS form
+  FROM near JOIN w ON w.word = near.b GROUP BY a),
+f AS (
+  SELECT w.word, n, coalesce(n_near, 0) AS n_near, CASE WHEN most >= 10 * n THEN form END AS form,
+    CASE WHEN most >= 10 * n THEN most END AS form_n FROM w LEFT JOIN best ON best.word = w.word),
+chain AS (SELECT word, word AS at FROM w UNION SELECT c.word, f.form FROM chain c JOIN f ON f.word = c.at AND f.form IS NOT NULL)
+SELECT f.*, c.at AS root FROM f JOIN chain c ON c.word = f.word
+JOIN f AS last ON last.word = c.at AND last.form IS NULL
+"""

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlens.llm import bpe, fingerprint, jaccard, langid, oracle, packing, quality, repair, rules, sharding, tokenfile, wrapper
+from postlens.llm import bpe, fingerprint, jaccard, langid, oracle, packing, quality, repair, rules, sharding, spelling, tokenfile, wrapper
 from postlens.llm.common import held_out, table
 from postlens.session import fresh_path
 
@@ -106,7 +106,13 @@ def op12_repaired_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.repaired_after_damage(table(spark, sf_dir, "conversations"))
 
 
+@query
+def op13_spelling_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_groups(table(spark, sf_dir, "documents"))
+
+
 ORACLE["op12_repaired_conversations"] = oracle.OP12
+ORACLE["op13_spelling_groups"] = oracle.OP13
 
 # Documents linked at 100 * intersection >= 75 * union of their five-word shingles, and the least doc_id of each component.
 ORACLE["op2_jaccard_components"] = """
