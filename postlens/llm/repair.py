@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from postlens.llm.common import stored
 
-SEGMENT_ROWS = 64
+SEGMENT_ROWS = 16
 SHOWN = "[^\\x20\\x09-\\x0D]"
 FAULTS = ("blank", "duplicate", "truncated")
 # Before any row, after a system, a user and an assistant turn.
@@ -100,8 +100,15 @@ def searcher():
     def search(rows, state, goals, tail):
         n = len(rows)
         ahead = [0] * (n + 1)
+        # No edit leads back to the states before the first user turn.
+        early = all(g in "ES" for g in goals)
+        if early and state not in ("E", max(goals)):
+            return None
         for i in range(n - 1, -1, -1):
-            ahead[i] = ahead[i + 1] + least(rows[i])
+            ahead[i] = ahead[i + 1] + (4 if early else least(rows[i]))
+        if early and goals == ("S",) and state == "E":
+            # One system turn is kept.
+            ahead = [max(0, x - 4) for x in ahead]
 
         def edits(i, now, inserted):
             if i < n:
@@ -126,6 +133,8 @@ def searcher():
                 return None
             for letter, price, j, after, count in edits(i, now, inserted):
                 total = cost + price + ahead[j]
+                if early and after in "UA":
+                    continue
                 if total > bound:
                     beyond = min(beyond, total)
                     continue
