@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlens.llm import bpe, fingerprint, jaccard, langid, oracle, packing, quality, repair, rules, sharding, spelling, tokenfile, wrapper
+from postlens.llm import bpe, fingerprint, jaccard, langid, oracle, packing, quality, repair, rules, sharding, spelling, suffixes, tokenfile, wrapper
 from postlens.llm.common import held_out, table
 from postlens.session import fresh_path
 
@@ -101,6 +101,12 @@ def op10_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = suffixes.without_repeats(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query
 def op12_repaired_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.repaired_after_damage(table(spark, sf_dir, "conversations"))
