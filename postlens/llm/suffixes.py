@@ -14,6 +14,8 @@ Documents are ordered by doc_id, null first, then by the text's crc32 where doc_
 count as later. A null text is empty. Texts shorter than LENGTH bytes keep all. An empty table gives no rows. Other columns are not read.
 """
 
+import hashlib
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -29,6 +31,7 @@ UNITS_HELD = 1 << 19
 UNITS_A_BUCKET = 200_000
 # Different units of one gram that one task sorts; more are dealt out over several.
 UNITS_SORTED = 20_000
+UNITS_A_TASK = 6_000
 UNIT = np.dtype([("fp", "<u8"), ("content", "<u8"), ("doc", "<i8"), ("tie", "<u4"), ("start", "<u4"), ("size", "<u2")])
 NO_ID = -(1 << 63)
 KEY = ["doc", "tie"]
@@ -246,7 +249,8 @@ def sorted_units(pieces: DataFrame) -> DataFrame:
         found["left"] = found["right"] = pd.NA
         if frame["salted"].iloc[0]:
             keep = np.flatnonzero(~later)
-            hashes = np.array([hash_pair(text[s : s + length].tobytes()) for s in starts[keep]]).reshape(-1, 2)
+            digests = b"".join(hashlib.blake2b(text[s : s + length].tobytes(), digest_size=16).digest() for s in starts[keep])
+            hashes = np.frombuffer(digests, "<i8").reshape(-1, 2)
             left = pd.DataFrame(
                 {"doc": doc[row[keep]], "tie": tie[row[keep]], "start": starts[keep] + origin[row[keep]], "size": 1, "left": hashes[:, 0], "right": hashes[:, 1]}  # noqa: E501
             )
@@ -256,13 +260,6 @@ def sorted_units(pieces: DataFrame) -> DataFrame:
     return pieces.groupBy("salted", "bucket").applyInPandas(work, "doc long, tie long, start long, size long, left long, right long")
 
 
-def hash_pair(string):
-    import hashlib
-
-    digest = hashlib.blake2b(string, digest_size=16).digest()
-    return np.frombuffer(digest, "<i8").tolist()
-
-
 def keyed(documents: DataFrame) -> tuple[DataFrame, bool]:
     """Different documents with doc, tie, bytes and how many rows each stands for, and whether doc_ids repeat."""
     ids = documents.groupBy("doc_id").count()
@@ -285,7 +282,7 @@ def repeated_runs(texts: DataFrame) -> DataFrame:
     units = found.where("fp IS NOT NULL")
     counts = units.groupBy("fp").count()
     total_units, most = counts.agg(F.sum("count"), F.max("count")).first()
-    tasks = max(spark.sparkContext.defaultParallelism, (total_units or 0) // UNITS_SORTED + 1)
+    tasks = max(spark.sparkContext.defaultParallelism, (total_units or 0) // UNITS_A_TASK + 1)
     if (most or 0) > UNITS_SORTED:
         # The list of such grams is as long as the units allow: a join, not a broadcast.
         many = counts.where(F.col("count") > UNITS_SORTED).select("fp", F.ceil(F.col("count") / UNITS_SORTED).alias("salts"))
