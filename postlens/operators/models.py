@@ -3,16 +3,12 @@
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import IDF, HashingTF
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from postlens.functions.numeric import percent, rounded
-from postlens.functions.text import tokens
+from postlens.operators.heads import Heads, fit_heads
 from postlens.schemas import ASPECTS, LABELS, SCORE_OF_LABEL
 
 NEUTRAL = LABELS.index("neutral")
@@ -65,57 +61,33 @@ def class_balance(labelled: DataFrame, aspects: list[str] = ASPECTS) -> DataFram
 
 @dataclass
 class AspectModel:
-    """Shared text features and one classifier per aspect."""
+    """The trained heads, callable as a scorer."""
 
-    features: PipelineModel
-    heads: dict[str, LogisticRegressionModel]
+    heads: Heads
 
     def __call__(self, df: DataFrame, text: str = "clean_text") -> DataFrame:
         return score_aspects(df, self, text)
 
 
-def _with_words(df: DataFrame, text: str) -> DataFrame:
-    return df.withColumn("_words", tokens(F.col(text)))
-
-
 def train_aspect_heads(
     labelled: DataFrame,
     text: str = "clean_text",
     aspects: list[str] = ASPECTS,
     features: int = 1 << 16,
-    max_iter: int = 30,
-    regularisation: float = 0.01,
+    max_iter: int = 100,
+    regularisation: float = 5e-3,
+    tolerance: float = 2e-2,
+    balanced: bool = True,
 ) -> AspectModel:
-    """One multinomial head per aspect over the same hashed TF-IDF features.
+    """One softmax head per aspect over the same hashed TF-IDF features, all in one pass a step.
 
-    labelled: text and `labels`, a map from aspect to 0, 1 or 2; absent means neutral.
+    labelled: text and `labels`, a map from aspect to 0, 1 or 2; absent means neutral. A head that meets one class alone is
+    reported as untrained and names that class. The steps end when the largest gradient is tolerance of the first one.
     """
-    words = _with_words(labelled, text)
-    stages = [
-        HashingTF(numFeatures=features, inputCol="_words", outputCol="_tf"),
-        IDF(inputCol="_tf", outputCol="_features"),
-    ]
-    fitted = Pipeline(stages=stages).fit(words)
-    label = {a: F.coalesce(F.col("labels")[a], F.lit(NEUTRAL)).cast("double") for a in aspects}
-    ready = fitted.transform(words).select(
-        "_features", *[column.alias(a) for a, column in label.items()]
+    label = {a: F.coalesce(F.col("labels")[a], F.lit(NEUTRAL)) for a in aspects}
+    return AspectModel(
+        fit_heads(labelled, text, aspects, label, len(LABELS), features, max_iter, regularisation, tolerance, balanced)
     )
-    ready = ready.persist()
-    heads = {}
-    for aspect in aspects:
-        learner = LogisticRegression(
-            featuresCol="_features",
-            labelCol=aspect,
-            family="multinomial",
-            maxIter=max_iter,
-            regParam=regularisation,
-            probabilityCol=f"_p_{aspect}",
-            rawPredictionCol=f"_r_{aspect}",
-            predictionCol=f"_y_{aspect}",
-        )
-        heads[aspect] = learner.fit(ready)
-    ready.unpersist()
-    return AspectModel(fitted, heads)
 
 
 def aspect_result(probabilities: Column) -> Column:
@@ -123,26 +95,29 @@ def aspect_result(probabilities: Column) -> Column:
 
     The first class wins a tie. A class the head has never seen has probability 0.
     """
-    shares = [F.coalesce(F.get(probabilities, F.lit(i)), F.lit(0.0)) for i in range(len(LABELS))]
-    best = F.array_max(F.array(*shares))
-    at = F.array_position(F.array(*shares), best).cast("int")
-    label = F.element_at(F.array(*[F.lit(x) for x in LABELS]), at)
-    score = F.element_at(F.array(*[F.lit(SCORE_OF_LABEL[x]) for x in LABELS]), at)
-    return F.struct(
-        label.alias("label"),
-        score.alias("score"),
-        F.round(best, 4).alias("confidence"),
-        F.struct(*[F.round(p, 4).alias(x) for x, p in zip(LABELS, shares)]).alias("probabilities"),
-    )
+    known = F.transform(F.sequence(F.lit(0), F.lit(len(LABELS) - 1)), lambda i: F.coalesce(F.get(probabilities, i), F.lit(0.0)))
+    scores = F.array(*[F.lit(SCORE_OF_LABEL[x]) for x in LABELS])
+
+    def result(p):
+        at = F.array_position(p, F.array_max(p)).cast("int")
+        return F.struct(
+            F.element_at(F.array(*[F.lit(x) for x in LABELS]), at).alias("label"),
+            F.element_at(scores, at).alias("score"),
+            F.round(F.array_max(p), 4).alias("confidence"),
+            F.struct(*[F.round(F.get(p, F.lit(i)), 4).alias(x) for i, x in enumerate(LABELS)]).alias("probabilities"),
+        )
+
+    # The probabilities get a name, so their expression is not written out at each use.
+    return F.get(F.transform(F.array(known), result), F.lit(0))
 
 
 def score_aspects(df: DataFrame, model: AspectModel, text: str = "clean_text") -> DataFrame:
-    """Add `aspects`: a map from aspect to its result. Row-local, inside the JVM."""
-    scored = model.features.transform(_with_words(df, text))
-    entries = []
-    for aspect, head in model.heads.items():
-        scored = head.transform(scored)
-        entries += [F.lit(aspect), aspect_result(vector_to_array(F.col(f"_p_{aspect}")))]
+    """Add `aspects`: a map from aspect to its result. One Arrow function for all heads, then expressions."""
+    heads, n = model.heads, len(LABELS)
+    scored = df.withColumn("_p", heads.probabilities(df.sparkSession, F.col(text)))
+    entries = [
+        x for i, aspect in enumerate(heads.names) for x in (F.lit(aspect), aspect_result(F.slice("_p", i * n + 1, n)))
+    ]
     return scored.withColumn("aspects", F.create_map(*entries)).select(*df.columns, "aspects")
 
 

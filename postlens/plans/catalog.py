@@ -1094,15 +1094,19 @@ def score_documents(t):
 
 @query
 def evaluate_heads(t):
-    """Macro F1 per aspect on the texts left out of training."""
+    """Macro F1 per aspect on the texts left out of training; none for a head that met one class alone."""
     split = models.split_curated(labelled_documents(t), "post_id").filter("split <> 'train'")
-    scored = trained_heads(t)(split)
+    model = trained_heads(t)
+    scored = model(split)
     pairs = scored.select(F.explode("aspects").alias("aspect", "r"), "labels").select(
         "aspect",
         F.coalesce(F.col("labels")[F.col("aspect")], F.lit(models.NEUTRAL)).alias("label"),
         (F.col("r.score") + 1).cast("int").alias("prediction"),
     )
-    return models.macro_f1(pairs, ["aspect"])
+    trained = F.create_map(*(F.lit(x) for pair in model.heads.trained.items() for x in pair))[F.col("aspect")]
+    return models.macro_f1(pairs, ["aspect"]).select(
+        "aspect", F.when(trained, F.col("macro_f1")).alias("macro_f1"), "texts", trained.alias("trained")
+    )
 
 
 # --- streams -------------------------------------------------------------------------------
