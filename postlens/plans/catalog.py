@@ -17,6 +17,7 @@ from postlens.operators import (
     models,
     quality,
     rankings,
+    sketches,
     topics,
 )
 from postlens.plans import report
@@ -102,6 +103,16 @@ def rollup_1day(t):
     return metrics.rollup(t.sentiment_posts(), "1day")
 
 
+@query
+def sketch_rollup_1day(t):
+    """Days merged from stored sketches of 15 minutes, held against exact counts."""
+    posts = t.sentiment_posts()
+    path = fresh_path(t.spark, "sketches")
+    sketches.sketch_rollup(posts).write.parquet(path)
+    days = sketches.read_out(sketches.merged(t.spark.read.parquet(path), "1day"))
+    return sketches.accuracy(posts, days, "1day")
+
+
 @query
 def daily_rollup(t):
     return metrics.daily_rollup(t.sentiment_posts(), LAST_DAY)

