@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postlens.functions.numeric import rounded
+from postlens.functions.phrases import first_phrase
 from postlens.functions.spam import grade
 from postlens.functions.text import clean_text, html_unescape
 from postlens.operators import (
@@ -235,6 +236,14 @@ def keyword_filter(t):
     return filters.keyword_filter(t.document_posts(), KEYWORDS).select("post_id", "platform")
 
 
+@query
+def first_keyword(t):
+    """The first of the key words that each document holds, found by one automaton."""
+    docs = t.document_posts()
+    found = first_phrase(t.spark, F.col("text"), [*reversed(KEYWORDS)])
+    return docs.select("post_id", found.alias("phrase")).where("phrase IS NOT NULL")
+
+
 @query
 def topic_corpus(t):
     return filters.topic_corpus(t.sentiment_posts(), LAST_DAY).select(

@@ -326,6 +326,11 @@ FROM daily""")
 add("keyword_filter", DOCS, f"""
 SELECT post_id, platform FROM docs
 WHERE {" OR ".join(f"contains(lower(text), '{k}')" for k in KEYWORDS)}""")
+add("first_keyword", DOCS, """
+SELECT * FROM (
+  SELECT post_id, CASE WHEN contains(lower(text), 'ention') THEN 'ention' WHEN contains(lower(text), 'downtime') THEN 'downtime'
+    WHEN contains(lower(text), 'heed') THEN 'heed' WHEN contains(lower(text), 'outage') THEN 'outage' END AS phrase FROM docs)
+WHERE phrase IS NOT NULL""")
 add("topic_corpus", POSTS, f"""
 SELECT post_id, platform, clean_text, sentiment_label, sentiment_score
 FROM posts WHERE {DAY} AND {CLEAN} AND length(clean_text) > 15""")
