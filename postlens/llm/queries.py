@@ -171,11 +171,18 @@ h AS (
   SELECT source, count(*) AS n, unnest([{'rule': 'base', 'f': count(*) FILTER (base_failed)},
     {'rule': 'symbols', 'f': count(*) FILTER (symbols_failed)}, {'rule': 'lines', 'f': count(*) FILTER (lines_failed)}]) AS k
   FROM r GROUP BY source),
-p AS (SELECT k.rule AS rule, avg(k.f / n) AS m, var_pop(k.f / n) AS v FROM h GROUP BY k.rule),
+q AS (
+  SELECT k.rule AS rule, count(*) AS hosts, sum(n) AS docs, sum(n::DOUBLE * n) AS nn, sum(k.f) AS f, sum(k.f::DOUBLE * k.f / n) AS ff
+  FROM h GROUP BY k.rule),
+b AS (
+  SELECT rule, (docs - nn / docs) / (hosts - 1) AS size, (ff - f::DOUBLE * f / docs) / (hosts - 1) AS b, (f - ff) / (docs - hosts) AS w
+  FROM q WHERE hosts > 1 AND docs > hosts),
+a AS (SELECT q.rule, CASE WHEN b > w THEN (b - w) / (b + (size - 1) * w) ELSE 0 END AS a FROM q LEFT JOIN b ON b.rule = q.rule),
+p AS (
+  SELECT a.rule, any_value(a) AS a, sum(k.f / (1 + a * (n - 1))) / sum(n / (1 + a * (n - 1))) AS m
+  FROM h JOIN a ON a.rule = h.k.rule GROUP BY a.rule),
 v AS (
-  SELECT h.source, max((k.f + a * m) / (n + a)) > 0.5 AS bad FROM h JOIN (
-    SELECT *, CASE WHEN v > 0 THEN least(greatest(m * (1 - m) / v - 1, 1), 1000) ELSE 1000 END AS a FROM p) p
-  ON p.rule = h.k.rule GROUP BY h.source)
+  SELECT h.source, max((a * k.f + (1 - a) * m) / (a * n + 1 - a)) > 0.5 AS bad FROM h JOIN p ON p.rule = h.k.rule GROUP BY h.source)
 SELECT doc_id, n_words, word_chars::BIGINT AS word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND NOT bad AS kept
 FROM r JOIN v USING (source)

@@ -12,7 +12,6 @@ MAX_SYMBOL_SHARE = 20  # symbols, per 100 characters of words
 MAX_DUP_LINE_WORDS = 30  # repeated lines, per 100 lines with a word
 # A host is bad if the shrunk share of its documents that fail some rule is over this.
 MAX_HOST_RATE = 0.5
-MOST_PRIOR_DOCUMENTS = 1000.0
 RULES = ("base", "symbols", "lines")
 NOT_SYMBOL = "[^#*$%&|<>]+"
 WORD = "[^\\x20\\x09-\\x0D]"
@@ -87,29 +86,57 @@ def host_of(source: Column) -> Column:
     return F.coalesce(name, F.lit(""))
 
 
-def host_verdicts(rows: DataFrame) -> DataFrame:
-    """host, documents, a shrunk rate for each rule, and bad, from rows with host and `<rule>_failed`.
+def host_counts(rows: DataFrame) -> DataFrame:
+    """host, documents and the number of failures of every rule, from rows with host and `<rule>_failed`."""
+    failed = [F.sum(F.col(f"{rule}_failed").cast("bigint")).alias(f"{rule}_n") for rule in RULES]
+    return rows.groupBy("host").agg(F.count("*").alias("documents"), *failed)
+
+
+def likeness(hosts: DataFrame) -> dict[str, float]:
+    """How alike documents of one host fail each rule: 0 (as by chance) to 1 (all or none), the share 1 / (a + b + 1) of a beta prior.
 
-    The beta prior of a rule is fitted to the hosts' rates by moments: mean m and variance v give
-    m (1 - m) / v - 1 prior documents, kept between 1 and MOST_PRIOR_DOCUMENTS (the latter where v is 0). Two
-    numbers a rule come to the driver.
+    It is the analysis of variance's estimate, (between - within) / (between + (size - 1) within), so the noise of
+    small hosts does not count as a difference. 0 if no host has two documents, there is but one host, or hosts
+    differ no more than by chance. Sums over hosts come to the driver.
     """
-    failed = [F.sum(F.col(f"{rule}_failed").cast("bigint")).alias(f"{rule}_n") for rule in RULES]
-    hosts = rows.groupBy("host").agg(F.count("*").alias("documents"), *failed)
-    rate = {rule: F.col(f"{rule}_n") / F.col("documents") for rule in RULES}
-    moments = hosts.agg(
-        *(F.avg(rate[rule]).alias(f"{rule}_m") for rule in RULES),
-        *(F.var_pop(rate[rule]).alias(f"{rule}_v") for rule in RULES),
+    documents = F.col("documents").cast("double")
+    failures = {rule: F.col(f"{rule}_n").cast("double") for rule in RULES}
+    sums = hosts.agg(
+        F.count("*").alias("hosts"),
+        F.sum(documents).alias("documents"),
+        F.sum(documents * documents).alias("squares"),
+        *(F.sum(failures[rule]).alias(f"{rule}_n") for rule in RULES),
+        *(F.sum(failures[rule] * failures[rule] / documents).alias(f"{rule}_squares") for rule in RULES),
+    ).first()
+    if sums.hosts < 2 or sums.documents <= sums.hosts:
+        return dict.fromkeys(RULES, 0.0)
+    size = (sums.documents - sums.squares / sums.documents) / (sums.hosts - 1)
+    found = {}
+    for rule in RULES:
+        failed, squares = sums[f"{rule}_n"], sums[f"{rule}_squares"]
+        between = (squares - failed * failed / sums.documents) / (sums.hosts - 1)
+        within = (failed - squares) / (sums.documents - sums.hosts)
+        found[rule] = (between - within) / (between + (size - 1) * within) if between > within else 0.0
+    return found
+
+
+def host_verdicts(hosts: DataFrame) -> DataFrame:
+    """host, documents, a shrunk rate for each rule, and bad, from host_counts; hosts is read three times.
+
+    The beta prior of a rule has the hosts' mean rate, each host weighed by what it tells, and 1 / likeness - 1
+    documents. A host's rate is the mean of its posterior, which is the prior mean itself where the likeness is 0.
+    """
+    alike = likeness(hosts)
+    told = {rule: 1 + alike[rule] * (F.col("documents") - 1) for rule in RULES}
+    means = hosts.agg(
+        *((F.sum(F.col(f"{rule}_n") / told[rule]) / F.sum(F.col("documents") / told[rule])).alias(rule) for rule in RULES)
     ).first()
     shrunk = {}
     for rule in RULES:
-        mean, variance = moments[f"{rule}_m"] or 0.0, moments[f"{rule}_v"] or 0.0
-        spread = mean * (1 - mean)
-        strength = min(max(spread / variance - 1, 1.0), MOST_PRIOR_DOCUMENTS) if variance > 0 else MOST_PRIOR_DOCUMENTS
-        shrunk[f"{rule}_rate"] = (F.col(f"{rule}_n") + strength * mean) / (F.col("documents") + strength)
-    hosts = hosts.withColumns(shrunk)
-    bad = F.greatest(*(F.col(name) for name in shrunk)) > MAX_HOST_RATE
-    return hosts.select("host", "documents", *shrunk, bad.alias("bad"))
+        own, prior = alike[rule], (1 - alike[rule]) * (means[rule] or 0.0)
+        shrunk[f"{rule}_rate"] = (own * F.col(f"{rule}_n") + prior) / (own * F.col("documents") + (1 - own))
+    bad = F.greatest(*shrunk.values()) > MAX_HOST_RATE
+    return hosts.select("host", "documents", *(rate.alias(name) for name, rate in shrunk.items()), bad.alias("bad"))
 
 
 def host_rules(docs: DataFrame) -> DataFrame:
@@ -118,8 +145,8 @@ def host_rules(docs: DataFrame) -> DataFrame:
     kept is false if the document fails a base rule or its host is bad. Failures are summed up before the shuffle, so
     a host may hold any share of the rows; verdicts, one row a host, are joined back and adaptive planning splits a
     large host. Null and empty texts have no words and fail; a null source is a host of its own; repeated rows count
-    each; an empty table gives no rows; other columns are left out.
+    each; a null doc_id is like any other; an empty table gives no rows; other columns are left out.
     """
     rows = stored(document_rules(docs).withColumn("host", host_of(F.col("source"))).drop("source"), "document-rules")
-    joined = rows.join(host_verdicts(rows), "host", "left")
+    joined = rows.join(host_verdicts(stored(host_counts(rows), "host-counts")), "host", "left")
     return joined.withColumn("kept", ~F.col("base_failed") & ~F.col("bad"))

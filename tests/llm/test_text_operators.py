@@ -283,6 +283,38 @@ def test_a_bad_host_takes_its_documents_along(spark):
     assert got[2001].kept and not got[2000].kept  # two documents say little about a host
 
 
+def test_one_failure_does_not_condemn_a_host(spark):
+    """Rates of 200 hosts of 50 documents lie between 2 and 30 %; 5,000 hosts have one document; one host fails mostly."""
+    rng = random.Random(5)
+    sizes = [(f"one{k}", 1, rng.uniform(0.02, 0.3)) for k in range(5000)] + [(f"many{k}", 50, rng.uniform(0.02, 0.3)) for k in range(200)]
+    counts = [(host, n, sum(rng.random() < rate for _ in range(n))) for host, n, rate in sizes] + [("bad", 50, 45)]
+    hosts = spark.createDataFrame([(host, n, f, 0, 0) for host, n, f in counts], "host string, documents long, base_n long, symbols_n long, lines_n long")
+    alike = rules.likeness(hosts)
+    assert 0.02 < alike["base"] < 0.12 and alike["symbols"] == alike["lines"] == 0
+    got = {r.host: r for r in rules.host_verdicts(hosts).collect()}
+    assert sum(f for _, n, f in counts if n == 1) > 500
+    assert [host for host, r in got.items() if r.bad] == ["bad"]
+    failed = [got[host].base_rate for host, n, f in counts if n == f == 1]
+    assert max(failed) < 0.3 and min(failed) > got["bad"].symbols_rate == 0
+
+
+def test_hosts_that_tell_nothing_get_the_mean(spark):
+    schema = "host string, documents long, base_n long, symbols_n long, lines_n long"
+    single = spark.createDataFrame([(f"h{k}", 1, int(k < 3), 1, 0) for k in range(10)], schema)
+    assert {(r.base_rate, r.symbols_rate, r.lines_rate, r.bad) for r in rules.host_verdicts(single).collect()} == {(0.3, 1.0, 0.0, True)}
+    alone = spark.createDataFrame([("", 8, 2, 0, 8)], schema)
+    assert [(r.base_rate, r.lines_rate) for r in rules.host_verdicts(alone).collect()] == [(0.25, 1.0)]
+    apart = spark.createDataFrame([("a", 5, 5, 0, 0), ("b", 5, 0, 0, 0)], schema)
+    assert {r.host: r.base_rate for r in rules.host_verdicts(apart).collect()} == {"a": 1.0, "b": 0.0}
+
+
+def test_rules_of_very_long_and_repeated_rows(spark):
+    long = " ".join(f"w{k}" for k in range(300_000))
+    rows = [(1, long, "a"), (None, "too short", "a"), (None, "too short", "a"), (2, long + " " + long, "a")]
+    got = rules.host_rules(frame(spark, rows)).collect()
+    assert sorted((r.doc_id or 0, r.n_words, r.n_repeat_words) for r in got) == [(0, 2, 0), (0, 2, 0), (1, 300_000, 0), (2, 600_000, 600_000)]
+
+
 # --- pages -----------------------------------------------------------------------------------------
 
 PAGE = """<!DOCTYPE html><html><head><title>T &amp; t</title><style>p{}</style><script>var a = "<p>no</p>";</script></head>
