@@ -5,6 +5,9 @@ matrix. Documents stay distributed, and their rows are recomputed from the model
 between rounds.
 """
 
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
+
 import numpy as np
 import pandas as pd
 from pyspark.ml.clustering import KMeans
@@ -109,88 +112,157 @@ def tfidf_rows(vectors: DataFrame, terms: list[str], key: str) -> DataFrame:
 
 # --- NMF -----------------------------------------------------------------------------------
 
-INNER_STEPS = 12
 TINY = 1e-12
+DENSE_ROWS = 1000  # documents held as a dense block at a time
+SPARE_DIRECTIONS = 8
+POWER_PASSES = 2
+EXACT = 1e-4  # weights are found to 1e-5, so a gradient under this is noise
 
 
-def _dense(rows: pd.DataFrame, width: int) -> np.ndarray:
-    matrix = np.zeros((len(rows), width))
-    for i, (indices, values) in enumerate(zip(rows["indices"], rows["values"])):
-        if indices is not None:
-            matrix[i, indices] = values
-    return matrix
+@dataclass(frozen=True)
+class Factors:
+    """Topic-by-term matrix with rows of length 1, half the squared error, and whether the stop rule was met."""
 
+    topics: np.ndarray
+    objective: float
+    iterations: int
+    converged: bool
 
-def _document_weights(v: np.ndarray, h: np.ndarray) -> np.ndarray:
-    """Topic weights of documents for a fixed topic matrix, from a fixed start."""
-    gain = v @ h.T
-    gram = h @ h.T
-    w = np.maximum(gain, TINY)
-    for _ in range(INNER_STEPS):
-        w = w * gain / (w @ gram + TINY)
-    return w
 
+def _blocks(rows: pd.DataFrame, width: int) -> Iterator[np.ndarray]:
+    """The sparse vectors of a batch as dense blocks; a null vector is zero."""
+    for start in range(0, len(rows), DENSE_ROWS):
+        block = rows.iloc[start : start + DENSE_ROWS]
+        sizes = block["indices"].map(lambda x: 0 if x is None else len(x)).to_numpy()
+        dense = np.zeros((len(block), width))
+        if sizes.sum():
+            at = np.concatenate([x for x in block["indices"] if x is not None])
+            dense[np.repeat(np.arange(len(block)), sizes), at] = np.concatenate([x for x in block["values"] if x is not None])
+        yield dense
 
-def _partial_sums(h: np.ndarray):
-    """Per task and topic: sums of w*v, of w*w and of the squared error."""
+
+def _summed(rows: DataFrame, width: int, shape: tuple[int, int], of_block: Callable) -> np.ndarray:
+    """The sum of of_block (of that shape) over all documents: added in each task, then cell by cell in Spark."""
 
     def run(batches):
-        k, width = h.shape
-        wv, ww, loss = np.zeros((k, width)), np.zeros((k, k)), 0.0
-        for rows in batches:
-            v = _dense(rows, width)
-            w = _document_weights(v, h)
-            wv += w.T @ v
-            ww += w.T @ w
-            loss += float(((v - w @ h) ** 2).sum())
-        sums = np.concatenate([wv, ww, np.full((k, 1), loss)], axis=1)
-        yield pd.DataFrame({"topic": np.arange(k), "sums": list(sums)})
+        total = np.zeros(shape)
+        for batch in batches:
+            for block in _blocks(batch, width):
+                total += of_block(block)
+        yield pd.DataFrame({"line": np.arange(shape[0]), "sums": list(total)})
+
+    cells = (
+        rows.mapInPandas(run, "line int, sums array<double>")
+        .select("line", F.posexplode("sums").alias("at", "x"))
+        .groupBy("line", "at")
+        .agg(F.sum("x").alias("x"))
+        .toPandas()
+    )
+    sums = np.zeros(shape)
+    sums[cells["line"], cells["at"]] = cells["x"]
+    return sums
+
+
+def _nonnegative(gain: np.ndarray, gram: np.ndarray, start: np.ndarray | None = None) -> np.ndarray:
+    """Rows x >= 0 of least x gram x / 2 - gain x, by coordinate descent until no step moves a hundred-thousandth."""
+    x = np.zeros_like(gain) if start is None else start.copy()
+    if not x.size:
+        return x
+    curve = np.maximum(gram.diagonal(), TINY)
+    while True:
+        moved = 0.0
+        for j in range(len(gram)):
+            new = np.maximum(x[:, j] + (gain[:, j] - x @ gram[:, j]) / curve[j], 0)
+            moved = max(moved, float(np.abs(new - x[:, j]).max()))
+            x[:, j] = new
+        if moved <= 1e-5 * float(x.max()) + TINY:
+            return x
+
+
+def _document_weights(v: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """The best topic weights of documents for a fixed topic matrix."""
+    return _nonnegative(v @ h.T, h @ h.T)
+
 
-    return run
+def _unit(h: np.ndarray) -> np.ndarray:
+    """Rows of length 1; rows of zeros stay."""
+    return h / np.maximum(np.linalg.norm(h, axis=1, keepdims=True), TINY)
 
 
-def nmf(
-    vectors: DataFrame, width: int, topics: int, rounds: int = 30, tol: float = 1e-3, seed: int = 42
-) -> np.ndarray:
-    """Topic-by-term matrix (topics x width) of a non-negative factorisation of the TF-IDF rows.
+def _svd_start(rows: DataFrame, width: int, topics: int, seed: int) -> np.ndarray:
+    """Non-negative halves of the leading right singular vectors.
 
-    Each round is one pass: tasks rebuild their documents' weights from the current matrix and
-    send topic-sized sums. It stops when the error falls by less than tol of itself.
+    The vectors come from a randomised subspace iteration, whose passes sum width x (topics + 8) numbers. Of a
+    direction's positive and negative half the one that explains more is taken, by the lengths of both its sides.
+    """
+    found = min(width, topics + SPARE_DIRECTIONS)
+    q = np.linalg.qr(np.random.default_rng(seed).standard_normal((width, found)))[0]
+    for _ in range(POWER_PASSES):
+        q = np.linalg.qr(_summed(rows, width, (width, found), lambda v: v.T @ (v @ q)))[0]
+    small = _summed(rows, width, (found, found), lambda v: (v @ q).T @ (v @ q))
+    right = (q @ np.linalg.eigh(small)[1][:, ::-1][:, :topics]).T
+
+    def halves(v):
+        left = v @ right.T
+        return np.stack([(np.maximum(left, 0) ** 2).sum(axis=0), (np.minimum(left, 0) ** 2).sum(axis=0)])
+
+    sides = _summed(rows, width, (2, topics), halves)
+    plus, minus = np.maximum(right, 0), np.maximum(-right, 0)
+    better = sides[0] * (plus**2).sum(axis=1) >= sides[1] * (minus**2).sum(axis=1)
+    return _unit(np.where(better[:, None], plus, minus))
+
+
+def nmf(vectors: DataFrame, width: int, topics: int, rounds: int = 200, tol: float = 5e-3, seed: int = 42) -> Factors:
+    """A non-negative factorisation of the TF-IDF rows.
+
+    A round is one pass: tasks find the best weights of their documents for the current matrix and send topic-sized
+    sums, from which the driver finds the best matrix for those weights. The next matrix lies further in the direction
+    of that step, and the more so the longer the error falls. It has converged when the projected gradient is at most
+    tol of that of the start, or EXACT of the sums it is the difference of; after so many rounds it ends unconverged
+    and says so.
     """
     rows = vectors.select(*sparse_parts()).persist()
-    rng = np.random.default_rng(seed)
-    h = rng.uniform(0.1, 1.0, (topics, width)) / width**0.5
-    before = None
-    for _ in range(rounds):
-        parts = rows.mapInPandas(_partial_sums(h), "topic int, sums array<double>")
-        # Added up in Spark, cell by cell; topics * (width + topics + 1) numbers come back.
-        cells = (
-            parts.select("topic", F.posexplode("sums").alias("at", "x"))
-            .groupBy("topic", "at")
-            .agg(F.sum("x").alias("x"))
-            .toPandas()
-        )
-        sums = np.zeros((topics, width + topics + 1))
-        sums[cells["topic"], cells["at"]] = cells["x"]
-        wv, ww, loss = sums[:, :width], sums[:, width:-1], sums[0, -1]
-        for _ in range(INNER_STEPS):
-            h = h * wv / (ww @ h + TINY)
-        if before is not None and before - loss <= tol * before:
-            break
-        before = loss
+    kept = plain = tried = _svd_start(rows, width, topics, seed)
+    objective, first, reach, done, converged = np.inf, None, 0.5, 0, False
+    while done < rounds and not converged:
+
+        def sums(v, h=tried):
+            w = _document_weights(v, h)
+            return np.concatenate([w.T @ v, w.T @ w, np.full((topics, 1), (v**2).sum())], axis=1)
+
+        total = _summed(rows, width, (topics, width + topics + 1), sums)
+        wv, ww, length = total[:, :width], total[:, width:-1], total[0, -1]
+        done += 1
+        error = float(length - 2 * (wv * tried).sum() + (ww * (tried @ tried.T)).sum()) / 2
+        if error > objective and tried is not plain:
+            tried, reach = plain, reach / 2
+            continue
+        kept, objective = tried, error
+        slope = ww @ tried - wv
+        steep = float(np.linalg.norm(np.where(tried > 0, slope, np.minimum(slope, 0))))
+        first = steep if first is None else first
+        converged = steep <= max(tol * first, EXACT * float(np.linalg.norm(wv)))
+        before, plain = plain, _unit(_nonnegative(wv.T, ww, tried.T).T)
+        tried, reach = _unit(np.maximum(plain + reach * (plain - before), 0)), min(1.0, 1.1 * reach)
     rows.unpersist()
-    return h
+    return Factors(kept, objective, done, converged)
 
 
-def assign_topics(vectors: DataFrame, key: str, h: np.ndarray) -> DataFrame:
-    """key, topic_id: the topic with the largest weight."""
+def document_weights(vectors: DataFrame, key: str, h: np.ndarray) -> DataFrame:
+    """key, weights: the best weight of every topic for each document."""
 
     def run(batches):
         for rows in batches:
-            w = _document_weights(_dense(rows, h.shape[1]), h)
-            yield pd.DataFrame({key: rows[key], "topic_id": w.argmax(axis=1)})
+            found = [_document_weights(block, h) for block in _blocks(rows, h.shape[1])]
+            yield pd.DataFrame({key: rows[key], "weights": [w for block in found for w in block]})
 
-    return vectors.select(key, *sparse_parts()).mapInPandas(run, f"{key} string, topic_id int")
+    return vectors.select(key, *sparse_parts()).mapInPandas(run, f"{key} string, weights array<double>")
+
+
+def assign_topics(vectors: DataFrame, key: str, h: np.ndarray) -> DataFrame:
+    """key, topic_id: the topic with the largest weight, the first of equal ones."""
+    largest = F.array_position("weights", F.array_max("weights")).cast("int") - 1
+    return document_weights(vectors, key, h).select(key, largest.alias("topic_id"))
 
 
 def topic_terms(h: np.ndarray, terms: list[str], k: int = 10) -> list[list[str]]:
@@ -198,24 +270,49 @@ def topic_terms(h: np.ndarray, terms: list[str], k: int = 10) -> list[list[str]]
     return [[terms[i] for i in np.argsort(-row, kind="stable")[:k]] for row in h]
 
 
-def discover_topics(
+def topic_rows(spark, h: np.ndarray, terms: list[str]) -> DataFrame:
+    """topic_id, term, weight: the topic matrix, zeros left out."""
+    rows = [(int(i), terms[j], float(h[i, j])) for i, j in zip(*h.nonzero())]
+    return spark.createDataFrame(rows, "topic_id int, term string, weight double")
+
+
+@dataclass(frozen=True)
+class Discovered:
+    """Documents with their topic, their vectors, the vocabulary, the heaviest terms per topic, and the factors."""
+
+    assigned: DataFrame
+    vectors: DataFrame
+    vocabulary: list[str]
+    terms: list[list[str]]
+    factors: Factors
+
+
+def factor_topics(
     docs: DataFrame,
     key: str = "post_id",
     text: str = "clean_text",
     nr_topics: int = 10,
+    stop_words: list[str] | None = None,
+    max_features: int = 1000,
     **options,
-) -> tuple[DataFrame, list[list[str]]]:
-    """(key, topic_id per document; heaviest terms per topic). Without a term there are no topics."""
-    stop_words = options.pop("stop_words", None)
-    max_features = options.pop("max_features", 1000)
-    vectors, terms = tfidf(docs.select(key, text), text, stop_words, max_features=max_features)
+) -> Discovered:
+    """Topics of docs by a factorisation of their TF-IDF rows. Without a term there are no topics."""
+    vectors, vocabulary = tfidf(docs.select(key, text), text, stop_words, max_features=max_features)
     vectors = cut_lineage(vectors)
     count = vectors.count()
-    if not count or not terms:
-        return vectors.limit(0).select(key, F.lit(0).alias("topic_id")), []
-    topics = min(nr_topics, max(2, count // 10))
-    h = nmf(vectors, len(terms), topics, **options)
-    return assign_topics(vectors, key, h), topic_terms(h, terms)
+    if not count or not vocabulary:
+        none = Factors(np.zeros((0, len(vocabulary))), 0.0, 0, True)
+        return Discovered(vectors.limit(0).select(key, F.lit(0).alias("topic_id")), vectors, vocabulary, [], none)
+    topics = min(nr_topics, max(2, count // 10), len(vocabulary))
+    factors = nmf(vectors, len(vocabulary), topics, **options)
+    assigned = assign_topics(vectors, key, factors.topics)
+    return Discovered(assigned, vectors, vocabulary, topic_terms(factors.topics, vocabulary), factors)
+
+
+def discover_topics(docs: DataFrame, **options) -> tuple[DataFrame, list[list[str]]]:
+    """(key, topic_id per document; heaviest terms per topic) of factor_topics."""
+    found = factor_topics(docs, **options)
+    return found.assigned, found.terms
 
 
 def embedding_topics(
@@ -331,22 +428,26 @@ def topic_metrics(assigned: DataFrame, samples: int = 2) -> DataFrame:
     return metrics.join(sampled, "topic_id").orderBy(F.desc("post_count"), "topic_id")
 
 
-def topic_clusters(assigned: DataFrame, keywords: DataFrame, run_date) -> DataFrame:
-    """Rows of the topic table for one run."""
-    return (
-        topic_metrics(assigned)
-        .join(F.broadcast(keywords), "topic_id", "left")
-        .select(
-            F.lit(str(run_date)).cast("date").alias("run_date"),
-            "topic_id",
-            F.coalesce("topic_label", F.concat(F.lit("Topic "), "topic_id")).alias("topic_label"),
-            F.coalesce("top_keywords", F.array().cast("array<string>")).alias("top_keywords"),
-            "post_count",
-            "positive_ratio",
-            "negative_ratio",
-            "mean_sentiment",
-            "representative_samples",
-        )
+def topic_clusters(
+    assigned: DataFrame, keywords: DataFrame, run_date, coherence: DataFrame | None = None
+) -> DataFrame:
+    """Rows of the topic table for one run; coherence_score is null without coherence (topic_id, coherence)."""
+    rows = topic_metrics(assigned).join(F.broadcast(keywords), "topic_id", "left")
+    if coherence is None:
+        rows = rows.withColumn("coherence", F.lit(None).cast("double"))
+    else:
+        rows = rows.join(coherence, "topic_id", "left")
+    return rows.select(
+        F.lit(str(run_date)).cast("date").alias("run_date"),
+        "topic_id",
+        F.coalesce("topic_label", F.concat(F.lit("Topic "), "topic_id")).alias("topic_label"),
+        F.coalesce("top_keywords", F.array().cast("array<string>")).alias("top_keywords"),
+        F.col("coherence").alias("coherence_score"),
+        "post_count",
+        "positive_ratio",
+        "negative_ratio",
+        "mean_sentiment",
+        "representative_samples",
     )
 
 
@@ -354,8 +455,10 @@ def topic_coherence(docs: DataFrame, text: str, terms: list[list[str]]) -> DataF
     """topic_id, coherence: mean NPMI over pairs of a topic's top terms, counted over documents.
 
     A document is compared with the few listed terms only, so it yields at most one row per
-    listed pair and the counts are combined before the shuffle.
+    listed pair and the counts are combined before the shuffle. No topics give no rows.
     """
+    if not terms:
+        return docs.sparkSession.createDataFrame([], "topic_id int, coherence double")
     words = F.array_distinct(tokens(F.col(text)))
     listed = docs.select(words.alias("words"))
     found = F.concat(

@@ -1017,11 +1017,15 @@ def upsert_topic_clusters(t):
 
 @query
 def nmf_topics(t):
-    """Documents and label shares per discovered topic, with its keywords."""
-    docs = language.with_clean_text(t.document_posts())
-    assigned, terms = topics.discover_topics(docs, stop_words=STOP_WORDS)
-    keywords = topics.keyword_frame(t.spark, terms)
-    return topics.topic_clusters(docs.join(assigned, "post_id"), keywords, LAST_DAY)
+    """Documents, label shares, keywords and coherence of each discovered topic, and how the factorisation ended."""
+    docs = cut_lineage(language.with_clean_text(t.document_posts()))
+    found = topics.factor_topics(docs)
+    keywords = topics.keyword_frame(t.spark, found.terms)
+    coherence = topics.topic_coherence(docs, "clean_text", found.terms)
+    rows = topics.topic_clusters(docs.join(found.assigned, "post_id"), keywords, LAST_DAY, coherence)
+    return rows.withColumns(
+        {"iterations": F.lit(found.factors.iterations), "converged": F.lit(found.factors.converged)}
+    )
 
 
 @query

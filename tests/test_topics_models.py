@@ -4,12 +4,15 @@ import math
 import re
 from collections import Counter
 
+import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from postlens.operators import language, models, topics
 from postlens.operators.filters import topic_corpus
 from postlens.schemas import ASPECTS
+from postlens.sources.adapters import Tables
 
 CLOUD = ["server outage again today", "outage of the server cluster", "cluster server down outage"]
 MONEY = ["invoice price too high", "high price on the invoice", "billing invoice price high"]
@@ -46,6 +49,58 @@ def test_nmf_separates_two_themes(docs):
     assert "outage" in terms[cloud.pop()][:3] and "invoice" in terms[money.pop()][:3]
 
 
+def alternating(v, topics, seed, rounds=200):
+    """Half the squared error of plain alternating projected least squares from a random start."""
+    rng = np.random.default_rng(seed)
+    w, h = rng.random((len(v), topics)), rng.random((topics, v.shape[1]))
+    for _ in range(rounds):
+        w *= (v @ h.T) / (w @ h @ h.T + 1e-12)
+        h *= (w.T @ v) / (w.T @ w @ h + 1e-12)
+    return ((v - w @ h) ** 2).sum() / 2
+
+
+def test_factors_reach_the_error_of_a_plain_factorisation(spark):
+    """The objective equals SQL over the exported factors and is within 1 % of the best of three plain runs."""
+    texts = Tables(spark, "/root/testdata/sf0.001").document_posts().select("post_id", F.col("text").alias("clean_text"))
+    found = topics.factor_topics(texts, nr_topics=6, max_features=200)
+    factors = found.factors
+    assert factors.converged and 0 < factors.iterations < 200
+    values = topics.tfidf_rows(found.vectors, found.vocabulary, "post_id").toPandas()  # noqa: F841
+    topic = topics.topic_rows(spark, factors.topics, found.vocabulary).toPandas()  # noqa: F841
+    weight = topics.document_weights(found.vectors, "post_id", factors.topics).toPandas()  # noqa: F841
+    # |v - wh|^2 = |v|^2 - 2 v.wh + |wh|^2, so that no zero of v is needed.
+    ((by_sql,),) = duckdb.sql("""
+      WITH w AS (SELECT post_id, unnest(weights) AS x, unnest(range(len(weights))) AS topic_id FROM weight),
+      wh AS (SELECT post_id, term, sum(x * weight) AS x FROM w JOIN topic USING (topic_id) GROUP BY ALL)
+      SELECT ((SELECT sum(weight * weight) FROM values) + (SELECT sum(x * x) FROM wh)
+        - 2 * (SELECT sum(weight * x) FROM values JOIN wh USING (post_id, term))) / 2""").fetchall()
+    assert factors.objective == pytest.approx(by_sql, rel=1e-4)
+    place = {term: j for j, term in enumerate(found.vocabulary)}
+    keys = {key: i for i, key in enumerate(sorted(weight.post_id))}
+    v = np.zeros((len(keys), len(place)))
+    v[values.post_id.map(keys), values.term.map(place)] = values.weight
+    assert factors.objective <= 1.01 * min(alternating(v, len(factors.topics), seed) for seed in range(3))
+    again = topics.factor_topics(texts, nr_topics=6, max_features=200)
+    assert again.factors.topics == pytest.approx(factors.topics, abs=1e-6)
+
+
+def test_factorisation_that_is_cut_short_says_so(spark):
+    texts = Tables(spark, "/root/testdata/sf0.001").document_posts().select("post_id", F.col("text").alias("clean_text"))
+    found = topics.factor_topics(texts, nr_topics=6, max_features=200, rounds=1)
+    assert (found.factors.iterations, found.factors.converged) == (1, False)
+    assert found.assigned.count() == texts.count()
+
+
+def test_topic_rows_carry_their_coherence(docs):
+    found = topics.factor_topics(docs, nr_topics=2)
+    scored = topics.topic_coherence(docs, "clean_text", found.terms)
+    posts = docs.join(found.assigned, "post_id").withColumns({"sentiment_label": F.lit("neutral"), "sentiment_score": F.lit(0.0)})
+    rows = topics.topic_clusters(posts, topics.keyword_frame(docs.sparkSession, found.terms), "2024-01-31", scored).collect()
+    assert {r.topic_id: r.coherence_score for r in rows} == {r.topic_id: r.coherence for r in scored.collect()}
+    assert len(rows) == 2 and all(-1 <= r.coherence_score <= 1 for r in rows)
+    assert topics.topic_coherence(docs, "clean_text", []).collect() == []
+
+
 def test_small_corpus_gives_its_topics(docs):
     assigned, terms = topics.discover_topics(docs.limit(3))
     assert assigned.count() == 3 and terms
