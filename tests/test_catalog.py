@@ -7,7 +7,7 @@ from postlens.plans.oracle import ORACLE
 from tests.compare import connect, difference
 
 SF_DIR = "/root/testdata/sf0.001"
-NO_SQL = {"nmf_topics", "embedding_topics", "score_documents", "evaluate_heads"}
+NO_SQL = {"network_clusters", "nmf_topics", "embedding_topics", "score_documents", "evaluate_heads"}
 
 
 @pytest.fixture(scope="module")
