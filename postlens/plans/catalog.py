@@ -9,7 +9,6 @@ from postlens.functions.spam import grade
 from postlens.functions.text import clean_text, html_unescape
 from postlens.operators import (
     changepoint,
-    clusters,
     explore,
     filters,
     graph,
@@ -479,12 +478,6 @@ def communities(t):
     return graph.communities(*week_graph(t))
 
 
-@query
-def network_clusters(t):
-    """The cluster number of every author of the week's reply graph."""
-    return clusters.network_clusters(*week_graph(t))
-
-
 @query
 def community_summary(t):
     nodes, edges = week_graph(t)
