@@ -3,7 +3,8 @@
 A level moves nodes between groups until modularity rises no more; its groups are the nodes of the next level. Half of
 the nodes, chosen by hash, may move in a round, so that two neighbours seldom swap; a round that lowers modularity is
 taken back. Sums are combined in tasks, hub nodes and large groups are split over salts, and each round ends in a
-checkpoint of node-sized data.
+written table of node-sized data. It is not a checkpoint: that keeps what the planner knows of order and constraints, which
+doubles with every round of joins on renamed columns until planning takes longer than the work.
 """
 
 from pyspark.sql import DataFrame
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 
 from postlens.operators.graph import split_by_source, undirected
 from postlens.operators.skew import MIN_ROWS, salted_join
-from postlens.session import cut_lineage, fixed_partitioning
+from postlens.session import fixed_partitioning, rewritten
 
 LEAST_RISE = 1e-6
 STILL_ROUNDS = 2  # rounds without a rise, one for each half, that end a level
@@ -25,7 +26,7 @@ def network_clusters(nodes: DataFrame, edges: DataFrame, min_hot_rows: int = MIN
     The graph is undirected and unweighted, as in `graph.modularity`. Authors without a link are clusters of their own.
     An empty graph gives no rows. Equal rises go to the group of the least name, so a rerun gives the same clusters.
     """
-    links = cut_lineage(undirected(edges).withColumn("weight", F.lit(1.0)))
+    links = rewritten(undirected(edges).withColumn("weight", F.lit(1.0)))
     total = links.count()
     members = nodes.select("author_id", F.col("author_id").alias("node"))
     reached, levels = -1.0, 0
@@ -36,8 +37,8 @@ def network_clusters(nodes: DataFrame, edges: DataFrame, min_hot_rows: int = MIN
             break
         reached, levels = height, levels + 1
         joined = members.join(found.withColumnRenamed("src", "node"), "node", "left")
-        members = cut_lineage(joined.select("author_id", F.coalesce("label", "node").alias("node")))
-        links = cut_lineage(_contracted(links, found, min_hot_rows))
+        members = rewritten(joined.select("author_id", F.coalesce("label", "node").alias("node")))
+        links = rewritten(_contracted(links, found, min_hot_rows))
     return _numbered(members).select(
         "author_id",
         "network_cluster_id",
@@ -46,20 +47,25 @@ def network_clusters(nodes: DataFrame, edges: DataFrame, min_hot_rows: int = MIN
     )
 
 
+def with_clusters(scores: DataFrame, found: DataFrame) -> DataFrame:
+    """Influence rows with network_cluster_id; null for an author that is not in found."""
+    return scores.join(found.select("author_id", "network_cluster_id"), "author_id", "left")
+
+
 def _level(links: DataFrame, total: float, min_hot_rows: int, partitions: int) -> tuple[DataFrame, float]:
     """(src, label of every node; their modularity) of one level, from every node alone."""
     split, hot = split_by_source(links, partitions, min_hot_rows)
     own_link = F.when(F.col("src") == F.col("dst"), F.col("weight")).otherwise(F.lit(0.0))
     ends = split.groupBy("src").agg(F.sum("weight").alias("ends"), F.sum(own_link).alias("inner"))
     # group_ends: the sum of ends over the node's group.
-    state = cut_lineage(
+    state = rewritten(
         ends.withColumns({"label": F.col("src"), "group_ends": F.col("ends")}).repartition(partitions, "src")
     )
     # No group can be hot where all nodes together are not.
     may_be_hot = state.count() > min_hot_rows
     best, height, turn, still = state, None, 0, 0
     while True:
-        step = cut_lineage(_proposed(split, hot, state, total, turn))
+        step = rewritten(_proposed(split, hot, state, total, turn))
         reached, moving = step.agg(
             F.sum(F.col("inside") + F.col("inner")) / total - F.sum(F.col("ends") * F.col("group_ends")) / total / total,
             F.count_if(F.col("chosen") != F.col("label")),
@@ -111,7 +117,7 @@ def _moved(step, may_be_hot, min_hot_rows):
     rows = step.select("src", "ends", "inner", F.col("chosen").alias("label"))
     sums = rows.groupBy("label").agg(F.sum("ends").alias("group_ends"))
     joined = salted_join(rows, sums, "label", ["src"], min_hot_rows) if may_be_hot else rows.join(sums, "label")
-    return cut_lineage(joined)
+    return rewritten(joined)
 
 
 def _contracted(links, found, min_hot_rows):
@@ -123,7 +129,7 @@ def _contracted(links, found, min_hot_rows):
 
 def _numbered(members):
     """network_cluster_id from 0 by groups of names: only the counts of the groups meet in one task."""
-    names = cut_lineage(members.select("node").distinct())
+    names = rewritten(members.select("node").distinct())
     spread = F.pmod(F.xxhash64("node"), F.lit(8 + names.count() // NUMBERED_ROWS))
     salted = names.withColumn("_part", spread)
     earlier = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)

@@ -9,6 +9,7 @@ from postlens.functions.spam import grade
 from postlens.functions.text import clean_text, html_unescape
 from postlens.operators import (
     changepoint,
+    clusters,
     explore,
     filters,
     graph,
@@ -478,6 +479,20 @@ def communities(t):
     return graph.communities(*week_graph(t))
 
 
+@query
+def network_clusters(t):
+    """Influence rows of the week's authors with their cluster number."""
+    found = clusters.network_clusters(*week_graph(t))
+    return clusters.with_clusters(influence_table(t), found).select(
+        "author_id",
+        "author_handle",
+        "platform",
+        rounded(F.col("amplification_risk_score"), 4).alias("amplification_risk_score"),
+        "network_cluster_id",
+        "calculated_at",
+    )
+
+
 @query
 def community_summary(t):
     nodes, edges = week_graph(t)

@@ -4,7 +4,9 @@ from collections import defaultdict
 
 import pytest
 
-from postlens.operators import clusters
+from postlens.operators import clusters, graph
+from postlens.plans.catalog import week_graph
+from postlens.sources.adapters import Tables
 
 
 def frames(spark, names, pairs):
@@ -39,3 +41,21 @@ def test_no_links_and_no_authors(spark):
     nodes, edges = frames(spark, ["x", "y"], [])
     assert sorted(r.network_cluster_id for r in clusters.network_clusters(nodes, edges).collect()) == [0, 1]
     assert clusters.network_clusters(nodes.limit(0), edges).collect() == []
+
+
+def test_influence_rows_keep_authors_without_a_cluster(spark):
+    scores = spark.createDataFrame([("a", 1.0), ("z", 2.0), (None, 3.0)], "author_id string, pagerank_score double")
+    found = spark.createDataFrame([("a", 4, 0.5)], "author_id string, network_cluster_id int, modularity double")
+    rows = {r.author_id: r.network_cluster_id for r in clusters.with_clusters(scores, found).collect()}
+    assert rows == {"a": 4, "z": None, None: None}
+
+
+def test_modularity_of_the_reply_graph_is_not_under_label_propagation(spark):
+    nodes, edges = week_graph(Tables(spark, "/root/testdata/sf0.01"))
+    rows = clusters.network_clusters(nodes, edges).collect()
+    group = {r.author_id: r.network_cluster_id for r in rows}
+    pairs = [(r.src, r.dst) for r in edges.collect()]
+    assert len(rows) == nodes.count()
+    assert rows[0].modularity == pytest.approx(modularity(group, pairs))
+    (spread,) = graph.modularity(edges, graph.communities(nodes, edges)).first()
+    assert rows[0].modularity >= spread
