@@ -12,7 +12,8 @@ RUN_WITH_SPACE = re.compile(r"\s | \s")
 LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 SEGMENT_CHARS = 1 << 20
 CACHED_CHARS = 1 << 22
-MARKS = ".,;:!?"
+MARKS = ".,;:!?#*$%&|<>"
+KEPT_MARKS = 10_000
 
 
 class Known(dict):
@@ -51,7 +52,10 @@ class ChunkEncoder:
         self.known = Known(encode_tail)
 
     def chunks(self, text):
-        if not self.keep_spaces or not RUN_WITH_SPACE.search(text):
+        if not self.keep_spaces:
+            # White space is only a border here, so a line feed parts chunks as a space does.
+            return text.replace("\n", " ").split(" ")
+        if not RUN_WITH_SPACE.search(text):
             return text.split(" ")
         return LONE_SPACE.split(text)
 
@@ -94,7 +98,7 @@ def packed(ids):
 class LibraryChunks:
     """Ids of chunks by the library.
 
-    Latin-1 letters, with full stops, commas and the like after them, are one or two pre-tokens in any of the
+    Latin-1 letters, with marks like full stops and commas after them, are one or two pre-tokens in any of the
     pre-tokenizers used here, so the letters go to the library's model at once. Other chunks take the whole way.
     """
 
@@ -119,7 +123,7 @@ class LibraryChunks:
 
     def tail(self, chunk):
         body = chunk.rstrip(MARKS)
-        if not body.isalpha() or max(body) > "\xff":
+        if not body.isalpha() or not (body.isascii() or max(body) <= "\xff"):
             return self.whole(self.space + chunk)
         marks = chunk[len(body) :]
         text = body.lower() if self.lowers else body
@@ -128,6 +132,8 @@ class LibraryChunks:
         ids = packed([token.id for token in self.tokenize(self.space_letter + text)])
         if marks:
             if marks not in self.marks:
+                if len(self.marks) > KEPT_MARKS:
+                    self.marks.clear()
                 self.marks[marks] = self.whole(marks)
             ids += self.marks[marks]
         return ids

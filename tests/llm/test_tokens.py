@@ -292,3 +292,20 @@ def test_ranks_are_gapless(spark):
         ranks[r.k].append(r["rank"])
     assert all(sorted(own) == list(range(len(own))) for own in ranks.values())
     assert len(got) == 5000
+
+
+@pytest.mark.parametrize("path", [WORD_BPE, BYTE_BPE])
+def test_line_feeds_and_marks_equal_whole_text_calls(path):
+    library = Tokenizer.from_file(path)
+    spec = file_text(path)
+    encoder = library_encoder(spec, tokenfile.keep_spaces(spec))
+    texts = [
+        "One.\nTwo\n\n three \n four\n",
+        "\nab$$$ cd|<>%&*# ef<| <|endoftext|>\ngh",
+        "can't\n's it's\ńe é\nñ >\n̸",
+        "ªºµß\nİIÉ!?;: \x85\x1c\n\t x",
+        "\n".join(["", " ", "a", " b", "c "]),
+    ]
+    for text in texts:
+        ids = np.frombuffer(encoder(text), dtype="<u4").tolist()
+        assert ids == library.encode(text, add_special_tokens=False).ids
