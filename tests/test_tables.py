@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from postlens.operators import changepoint, keyed, metrics, quality
 from postlens.operators.models import aspect_result
+from postlens.plans.catalog import stream_of
 from postlens.plans.daily import influence_path, metric_table, run_daily
 from postlens.schemas import ASPECTS, BLUESKY_COMMIT, POST_KEY, RAW_POST, REDDIT_ITEM
 from postlens.sources import posts as sources
@@ -343,3 +344,19 @@ def test_rounding_like_decimals(spark, value, digits, expected):
     from postlens.functions.numeric import rounded
 
     assert spark.range(1).select(rounded(F.lit(value), digits)).first()[0] == expected
+
+
+def test_a_table_in_a_folder_of_files_is_streamed(spark, tmp_path):
+    """Its files have names of their own; a table that is one file is streamed as well, and no other table with it."""
+    rows = spark.createDataFrame([(i, i % 2, 0) for i in range(6)], "doc_id bigint, quality int, toxic int")
+    one, many = tmp_path / "one", tmp_path / "many"
+    rows.repartition(3).write.parquet(str(many / "labels.parquet"))
+    rows.coalesce(1).write.parquet(str(tmp_path / "written"))
+    one.mkdir()
+    (one / "labels.parquet").write_bytes(next((tmp_path / "written").glob("part-*.parquet")).read_bytes())
+    (one / "other.parquet").write_bytes((one / "labels.parquet").read_bytes())
+    for folder in (one, many):
+        out, state = str(tmp_path / f"{folder.name}-out"), str(tmp_path / f"{folder.name}-state")
+        stream = stream_of(Tables(spark, str(folder)), "labels").writeStream.option("checkpointLocation", state)
+        stream.trigger(availableNow=True).start(out, format="parquet").awaitTermination()
+        assert sorted(r.doc_id for r in spark.read.schema(rows.schema).parquet(out).collect()) == list(range(6))
