@@ -7,6 +7,8 @@ import pandas as pd
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+from postlens.session import small_batches
+
 
 def first_phrase(spark: SparkSession, text: Column, phrases: list[str]) -> Column:
     """The first phrase, by its place in the list, that the text holds whatever the case; null if none or no text.
@@ -14,6 +16,7 @@ def first_phrase(spark: SparkSession, text: Column, phrases: list[str]) -> Colum
     What `filters.has_keyword` tests phrase by phrase: the time hangs on the text, not on the number of phrases. The list is the
     caller's and goes to every task, which builds the automaton once.
     """
+    small_batches(spark)
     sent = spark.sparkContext.broadcast(list(phrases))
 
     @F.pandas_udf("string")

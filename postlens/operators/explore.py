@@ -72,7 +72,9 @@ def sequence_length_stats(
 
 
 def spam_reason_breakdown(graded: DataFrame) -> DataFrame:
-    return graded.filter("is_spam").groupBy("spam_reason").agg(row_count().alias("posts"))
+    """Spam posts per reason. Filtered after the counts: a filter below them would find the reasons a second time."""
+    spam = graded.groupBy("spam_reason").agg(F.count_if("is_spam").alias("posts"))
+    return spam.filter("posts > 0")
 
 
 def emoji_rows(posts: DataFrame, text: str, *keep: str) -> DataFrame:

@@ -1,11 +1,15 @@
 """Cleaning and spam rules against literal outcomes."""
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from postlens.functions import emoji
 from postlens.functions.spam import SpamLimits, grade
 from postlens.functions.text import clean_text, raw_word_count, tokens, word_count
+from postlens.operators.explore import spam_reason_breakdown
+from postlens.plans.catalog import QUERIES
+from postlens.session import BATCH, small_batches
 
 # Text, cleaned text and spam reason, worked out by hand from the rules.
 CASES = [
@@ -161,3 +165,34 @@ def test_words_and_tokens(spark):
     assert [r.raw for r in rows] == [0, 5, 3]
     assert rows[0].clean == 0
     assert rows[1].tokens == ["ab", "d_e", "é1"]
+
+
+@pytest.mark.parametrize("name", ["clean_pages", "spam_reason_breakdown", "first_keyword"])
+def test_python_gets_long_texts_in_small_batches(spark, name):
+    for setting in BATCH:
+        spark.conf.unset(setting)
+    QUERIES[name](spark, "/root/testdata/sf0.001")
+
+    @F.pandas_udf("long")
+    def rows(batch: pd.Series) -> pd.Series:
+        return pd.Series(len(batch), batch.index)
+
+    assert spark.range(0, 3000, 1, 1).select(rows("id").alias("n")).agg(F.max("n")).first()[0] <= 256
+
+
+def test_smaller_batches_of_the_caller_stay(spark):
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    spark.conf.set(setting, "7")
+    small_batches(spark)
+    assert spark.conf.get(setting) == "7"
+    spark.conf.set(setting, "0")
+    small_batches(spark)
+    assert spark.conf.get(setting) == BATCH[setting]
+
+
+def test_spam_reasons_are_found_once(spark):
+    plan = QUERIES["spam_reason_breakdown"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SHOUTING_RATIO") == 1
+    rows = [("A", True), ("A", True), ("A", False), ("B", False), (None, True), (None, None)]
+    graded = spark.createDataFrame(rows, "spam_reason string, is_spam boolean")
+    assert sorted(spam_reason_breakdown(graded).collect(), key=str) == [("A", 2), (None, 1)]
