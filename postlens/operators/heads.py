@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from postlens.functions.text import tokens
-from postlens.session import spread
+from postlens.session import small_batches, spread
 
 BLOCK_ROWS = 2048
 SLICES = 16
@@ -75,6 +75,7 @@ class Heads:
 
     def probabilities(self, spark: SparkSession, text: Column) -> Column:
         """Probabilities of all heads side by side, in one Arrow function."""
+        small_batches(spark)
         model = spark.sparkContext.broadcast((self.idf, self.weights, self.bias))
         classes = self.classes
 
@@ -158,6 +159,8 @@ def fit_heads(
 ) -> Heads:
     """All heads over the rows of labelled; label: column of the class of each head. balanced: classes of a head weigh the same."""
     spark = labelled.sparkSession
+    # Blocks and what a step reads at a time then have so many rows and bytes, whatever the rows of a task.
+    small_batches(spark)
     ready = spread(labelled).select(buckets(F.col(text), features).alias("_b"), *(label[n].cast("int").alias(n) for n in names)).persist()
     k = len(names)
     seen = ready.agg(

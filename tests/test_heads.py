@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from postlens.operators import heads, models
 from postlens.schemas import ASPECTS, LABELS
+from postlens.session import BATCH
 
 WORDS = ["slow", "fast", "broken", "great", "price", "help", "crash", "fine", "menu", "late"]
 
@@ -95,3 +96,12 @@ def test_odd_texts_and_no_rows(spark):
     nothing = models.train_aspect_heads(labelled(spark).limit(0), features=64)
     assert not any(nothing.heads.trained.values())
     assert all(math.isclose(x, 1 / 3, abs_tol=1e-4) for x in nothing(texts).first().aspects["general"].probabilities)
+
+
+def test_training_asks_for_small_batches(spark):
+    """Blocks of a task do not reach a worker all at once."""
+    for setting in BATCH:
+        spark.conf.unset(setting)
+    rows = spark.createDataFrame([("good thing", {"general": 2}), ("bad thing", {"general": 0})], "clean_text string, labels map<string, int>")
+    models.train_aspect_heads(rows, max_iter=1)
+    assert {setting: spark.conf.get(setting) for setting in BATCH} == BATCH
