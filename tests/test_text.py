@@ -196,3 +196,10 @@ def test_spam_reasons_are_found_once(spark):
     rows = [("A", True), ("A", True), ("A", False), ("B", False), (None, True), (None, None)]
     graded = spark.createDataFrame(rows, "spam_reason string, is_spam boolean")
     assert sorted(spam_reason_breakdown(graded).collect(), key=str) == [("A", 2), (None, 1)]
+
+
+def test_texts_are_cleaned_once_for_language_detection(spark):
+    """Training and detection read written texts: nothing of the cleaning is left in the query's own plan."""
+    plan = QUERIES["language_detection"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan" in plan
+    assert "ArrowEvalPython" not in plan
