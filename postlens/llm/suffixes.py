@@ -22,12 +22,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postlens.llm.common import stored
+from postlens.session import small_batches
 
 LENGTH = 100
 GRAM = 40
-# Windows hashed at a time, units sorted out in one task's memory at a time.
-WINDOWS_HELD = 1 << 21
-UNITS_HELD = 1 << 19
+# Windows hashed at a time (about 80 bytes of memory each), units sorted out in one task's memory at a time.
+WINDOWS_HELD = 1 << 18
+UNITS_HELD = 1 << 18
 UNITS_A_BUCKET = 200_000
 # Different units of one gram that one task sorts; more are dealt out over several.
 UNITS_SORTED = 20_000
@@ -276,6 +277,7 @@ def keyed(documents: DataFrame) -> tuple[DataFrame, bool]:
 def repeated_runs(texts: DataFrame) -> DataFrame:
     """(doc, tie, start, size): runs of covered strings, by first and number of strings."""
     spark = texts.sparkSession
+    small_batches(spark)
     total = texts.agg(F.sum(F.length("bytes"))).first()[0] or 0
     buckets = max(8, int(total / ((LENGTH - GRAM) / 2) / UNITS_A_BUCKET))
     found = stored(sorted_out(units_of(texts.select("doc", "tie", "bytes"), buckets)), "suffix-units")

@@ -2,10 +2,12 @@
 
 import hashlib
 import random
+import tracemalloc
 
 import numpy as np
 
 from postlens.llm import queries, suffixes
+from postlens.session import BATCH
 
 SCHEMA = "doc_id bigint, text string, bytes string, n_bytes int, runs int"
 LENGTH = 100
@@ -103,3 +105,26 @@ def test_query_on_given_documents(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()]
     ours = queries.QUERIES["op11_repeated_bytes"](spark, sf_dir).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect()
     assert sorted(map(tuple, ours), key=key) == sorted(plain(rows), key=key)
+
+
+def test_hashing_holds_little_memory(spark):
+    anchors = suffixes.hasher()
+    text = np.random.default_rng(1).integers(0, 256, suffixes.WINDOWS_HELD + LENGTH - 1).astype(np.uint8)
+    tracemalloc.start()
+    first, windows, _, _ = anchors(text, np.ones(suffixes.WINDOWS_HELD, bool))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert windows.sum() == suffixes.WINDOWS_HELD and first[0] == 0
+    assert peak < 64 << 20
+
+
+def test_texts_come_in_small_batches(spark):
+    before = {name: spark.conf.get(name) for name in BATCH}
+    try:
+        for name in BATCH:
+            spark.conf.unset(name)
+        suffixes.without_repeats(spark.createDataFrame([(1, "x" * 200)], "doc_id long, text string")).collect()
+        assert {name: spark.conf.get(name) for name in BATCH} == BATCH
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
