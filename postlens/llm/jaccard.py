@@ -5,6 +5,7 @@ there an R-tree over count vectors bounds the overlap of pairs and the survivors
 """
 
 import hashlib
+import math
 import re
 
 import numpy as np
@@ -13,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from postlens.llm.common import per_worker, stored
+from postlens.session import small_batches
 
 SHINGLE_WORDS = 5
 # Linked: 100 * intersection >= 75 * union. Every bound below follows from these two numbers.
@@ -23,6 +25,7 @@ EXTRA = 16
 FREQUENT_SHINGLES = 1 << 17
 FREQUENT_IN_BATCH = 0.0004
 FREQUENT_AT_LEAST = 4
+FREQUENT_ROWS = 10_000
 # Nodes of a block are compared with so many of its members first; the rest of a block only across components.
 PIVOTS = 8
 BLOCK_SHINGLES = 1 << 21
@@ -129,27 +132,48 @@ def folded(vector: np.ndarray, size: int) -> np.ndarray:
 # --- passes over the texts -------------------------------------------------------------------
 
 
+def common_among(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that FREQUENT_AT_LEAST and FREQUENT_IN_BATCH of the sets have, and in how many; one sorted copy is held."""
+    least = math.ceil(max(FREQUENT_AT_LEAST, FREQUENT_IN_BATCH * len(sets)))
+    flat = np.concatenate([*sets, np.empty(0, np.uint64)])
+    flat.sort()
+    common = np.unique(flat[least - 1 :][flat[least - 1 :] == flat[: max(0, len(flat) - least + 1)]])
+    return common, np.searchsorted(flat, common, "right") - np.searchsorted(flat, common, "left")
+
+
 def node_rows(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, node (null for an empty set), and on some rows shingles common among their batch with counts."""
+    """doc_id, n_shingles, node (null for an empty set), and on some rows shingles common among FREQUENT_ROWS with counts."""
 
     def rows(batches):
         make = shingler()
-        for batch in batches:
-            sets = [make(t.as_py()) for t in batch.column("text")]
-            nodes = [node_of(s) if len(s) else None for s in sets]
-            different = [*{n: s for n, s in zip(nodes, sets) if n is not None}.values()]
-            common, counts = np.unique(np.concatenate([*different, np.empty(0, np.uint64)]), return_counts=True)
-            often = counts >= max(FREQUENT_AT_LEAST, FREQUENT_IN_BATCH * len(different))
-            on_last = lambda values: pa.array([*[None] * (len(sets) - 1), values], pa.list_(pa.int64()))
+        ids, sizes, nodes, different = [], [], [], {}
+
+        def found():
+            common, counts = common_among([*different.values()])
+            on_last = lambda values: pa.array([*[None] * (len(sizes) - 1), values], pa.list_(pa.int64()))
             columns = [
-                batch.column("doc_id"),
-                pa.array([len(s) for s in sets], pa.int64()),
+                pa.array(ids, pa.int64()),
+                pa.array(sizes, pa.int64()),
                 pa.array(nodes, pa.int64()),
-                on_last(common[often].view(np.int64)),
-                on_last(counts[often]),
+                on_last(common.view(np.int64)),
+                on_last(counts),
             ]
-            if len(sets):
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_shingles", "node", "common", "counts"])
+            return pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_shingles", "node", "common", "counts"])
+
+        for batch in batches:
+            for doc_id, text in zip(batch.column("doc_id"), batch.column("text")):
+                own = make(text.as_py())
+                node = node_of(own) if len(own) else None
+                ids.append(doc_id.as_py())
+                sizes.append(len(own))
+                nodes.append(node)
+                if node is not None:
+                    different[node] = own
+                if len(sizes) >= FREQUENT_ROWS:
+                    yield found()
+                    ids, sizes, nodes, different = [], [], [], {}
+        if sizes:
+            yield found()
 
     schema = "doc_id bigint, n_shingles bigint, node bigint, common array<bigint>, counts array<bigint>"
     return docs.mapInArrow(rows, schema)
@@ -611,6 +635,7 @@ def joining(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     The links are verified ones and join all nodes that any chain of links joins; links inside a component that is
     whole already are not looked for here: linked_copies() counts them.
     """
+    small_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("bigint"), "text")
     nodes = stored(node_rows(docs), "shingle-nodes")
     frequent = frequent_shingles(nodes)

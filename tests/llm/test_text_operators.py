@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from postlens.llm import fingerprint, jaccard, queries, rules, wrapper
+from postlens.session import BATCH
 from tests.compare import connect, difference
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -473,3 +474,41 @@ def test_pages_of_odd_rows(spark):
     got = Counter(map(tuple, wrapper.extract_text(df).collect()))
     assert got == Counter((i, u, "x" if h else "") for i, u, h in rows)
     assert wrapper.extract_text(df.limit(0)).collect() == []
+
+
+# --- memory of the near copies -------------------------------------------------------------------
+
+
+def test_common_shingles_do_not_hang_on_arrow_batches(spark):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "2")
+    try:
+        texts = [f"one two three four five {' '.join(f'w{i}x{k}' for k in range(8))}" for i in range(6)]
+        docs = frame(spark, [(i, t, "s") for i, t in enumerate(texts)]).select("doc_id", "text").coalesce(1)
+        rows = jaccard.node_rows(docs).collect()
+    finally:
+        spark.conf.set(name, before)
+    common = [x for r in rows for x in zip(r.common or [], r.counts or [])]
+    assert [r.doc_id for r in rows] == list(range(6)) and len(common) == 1 and common[0][1] == 6
+
+
+def test_common_shingles_are_counted_in_one_copy():
+    rng = np.random.default_rng(5)
+    sets = [np.unique(rng.integers(0, 60, 30).astype(np.uint64)) for _ in range(9)]
+    values, counts = np.unique(np.concatenate(sets), return_counts=True)
+    common, found = jaccard.common_among(sets)
+    assert common.tolist() == values[counts >= 4].tolist() and found.tolist() == counts[counts >= 4].tolist()
+    assert not len(jaccard.common_among([])[0]) and not len(jaccard.common_among(sets[:1])[0])
+
+
+def test_near_copies_take_texts_in_small_batches(spark):
+    before = {name: spark.conf.get(name) for name in BATCH}
+    try:
+        for name in BATCH:
+            spark.conf.unset(name)
+        jaccard.jaccard_components(frame(spark, [(1, "a b c d e f", "s")])).collect()
+        assert {name: spark.conf.get(name) for name in BATCH} == BATCH
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
