@@ -3,6 +3,7 @@
 import json
 import os
 import re
+import weakref
 from array import array
 
 from postlens.llm.common import per_worker
@@ -38,6 +39,10 @@ class Known(dict):
         self.chars += len(chunk)
         return ids
 
+    def find(self, chunk):
+        """The ids of a chunk that is known, None for others."""
+        return self.get(chunk) or self.old.get(chunk)
+
 
 class ChunkEncoder:
     """Whole texts to ids, as little-endian unsigned 32-bit bytes.
@@ -99,7 +104,8 @@ class LibraryChunks:
     """Ids of chunks by the library.
 
     Latin-1 letters, with marks like full stops and commas after them, are one or two pre-tokens in any of the
-    pre-tokenizers used here, so the letters go to the library's model at once. Other chunks take the whole way.
+    pre-tokenizers used here, so the letters go to the library's model at once, unless they are a chunk that is known.
+    Other chunks take the whole way.
     """
 
     def __init__(self, spec, keep_spaces):
@@ -117,6 +123,7 @@ class LibraryChunks:
         self.space_letter = letters[32] if keep_spaces else ""
         self.letters = {byte: letter for byte, letter in letters.items()}
         self.marks = {"": b""}
+        self.known = None
 
     def whole(self, text):
         return packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
@@ -127,9 +134,11 @@ class LibraryChunks:
             return self.whole(self.space + chunk)
         marks = chunk[len(body) :]
         text = body.lower() if self.lowers else body
-        if not text.isascii():
-            text = text.encode("utf-8").decode("latin-1").translate(self.letters)
-        ids = packed([token.id for token in self.tokenize(self.space_letter + text)])
+        ids = None if self.known is None else self.known.find(text)
+        if ids is None:
+            if not text.isascii():
+                text = text.encode("utf-8").decode("latin-1").translate(self.letters)
+            ids = packed([token.id for token in self.tokenize(self.space_letter + text)])
         if marks:
             if marks not in self.marks:
                 if len(self.marks) > KEPT_MARKS:
@@ -144,7 +153,10 @@ def library_encoder(spec: str, keep_spaces: bool) -> ChunkEncoder:
 
     def make():
         library = LibraryChunks(spec, keep_spaces)
-        return ChunkEncoder(library.whole, library.tail, keep_spaces)
+        encoder = ChunkEncoder(library.whole, library.tail, keep_spaces)
+        # No cycle, so that per_worker can let go of it at once.
+        library.known = weakref.proxy(encoder.known)
+        return encoder
 
     return per_worker(("library", hash(spec), keep_spaces), make)
 

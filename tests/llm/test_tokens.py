@@ -309,3 +309,18 @@ def test_line_feeds_and_marks_equal_whole_text_calls(path):
     for text in texts:
         ids = np.frombuffer(encoder(text), dtype="<u4").tolist()
         assert ids == library.encode(text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("path, keeps", [(WORD_BPE, False), (BYTE_BPE, True)])
+def test_letters_of_a_known_chunk_are_not_encoded_again(path, keeps):
+    encoder = library_encoder(file_text(path), keeps)
+    library = encoder.known.encode.__self__
+    encoder("x zebrafishes \u00e9tudiantes")
+    calls, tokenize = [], library.tokenize
+    library.tokenize = lambda text: calls.append(text) or tokenize(text)
+    text = "x zebrafishes, zebrafishes. Zebrafishes! \u00e9tudiantes; \u00c9tudiantes,"
+    ids = np.frombuffer(encoder(text), "<u4").tolist()
+    library.tokenize = tokenize
+    assert ids == library_ids(path, [text])[0]
+    # The vocabulary of words lower-cases; the one of bytes knows capital letters as other words.
+    assert len(calls) == (2 if keeps else 0)
