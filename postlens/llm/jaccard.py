@@ -262,21 +262,20 @@ def sets_of(docs: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def with_pivots(rows: DataFrame) -> DataFrame:
-    """shingle, node, n, pivot, pivot_n of every node that is not its block's pivot.
+    """shingle, node, n, pivot, pivot_n of every node, once, in blocks of two or more; a pivot is its own.
 
     The pivot is the first node of the block in one of PIVOTS orders, so a node of a large group of near copies meets as
-    many different ones. Rows pass by their pivot in a sorted stream; no block is held.
+    many different ones. Rows pass by their pivot in a sorted stream, copies of a row beside each other.
     """
     order = F.xxhash64("node", F.col("shingle").bitwiseAND(PIVOTS - 1))
-    block = Window.partitionBy("shingle").orderBy(order, "node").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = rows.withColumns({"pivot": F.first("node").over(block), "pivot_n": F.first("n").over(block)})
-    return rows.where("node <> pivot")
-
-
-def members(star: DataFrame) -> DataFrame:
-    """shingle, node, n of all nodes in blocks with two or more."""
-    pivots = star.select("shingle", F.col("pivot").alias("node"), F.col("pivot_n").alias("n"))
-    return star.select("shingle", "node", "n").union(pivots).distinct()
+    ordered = Window.partitionBy("shingle").orderBy(order, "node")
+    block = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = rows.withColumns(
+        {"pivot": F.first("node").over(block), "pivot_n": F.first("n").over(block), "next": F.lead("node").over(ordered)}
+    )
+    # The last copy of a row stays. A pivot with nothing behind it is alone.
+    alone = (F.col("node") == F.col("pivot")) & F.col("next").isNull()
+    return rows.where(~F.col("next").eqNullSafe(F.col("node")) & ~alone).drop("next")
 
 
 def possible(live: DataFrame) -> DataFrame:
@@ -340,6 +339,7 @@ class CountTree:
         groups = min(map(len, vectors))
         points = np.stack([folded(v, groups) for v in vectors])
         # Neighbours in size and then in their fullest group come under one entry.
+        self.vectors = vectors
         order = np.lexsort((points.argmax(axis=1), self.sizes))
         self.order, self.points, self.components = order, points, np.asarray(components)
         level = points[order], self.sizes[order], self.components[order], self.components[order]
@@ -354,6 +354,13 @@ class CountTree:
             )
             self.levels.append(level)
 
+    def fits(self, one, other):
+        """Whether a pair's own vectors allow a link; the tree's have the groups of the block's smallest set only."""
+        a, b = self.vectors[one], self.vectors[other]
+        size = min(len(a), len(b))
+        bound = np.minimum(folded(a, size), folded(b, size)).sum()
+        return bool(bound >= least_overlap(self.sizes[one], self.sizes[other]))
+
     def pairs(self):
         """Pairs of places in the block, of different components, that the bound allows."""
         for start in range(0, len(self.points), max(1, PAIRS_AT_ONCE // FANOUT)):
@@ -396,12 +403,10 @@ def across_components(live: DataFrame, parts: DataFrame, sets: DataFrame) -> Dat
     task. There the R-tree bounds pairs and whole sets verify them, until the block's components are joined: a
     block gives fewer links than it has nodes.
     """
-    rows = live.join(parts, "node")
-    shingles = rows.groupBy("shingle").agg(
-        F.min("node").alias("least"), F.min("component").alias("low"), F.max("component").alias("high")
-    )
-    apart = shingles.where("low <> high").select("shingle", "least")
-    rows = stored(rows.join(apart, "shingle").select("least", "node", "n", "component").distinct(), "mixed-blocks")
+    block = Window.partitionBy("shingle")
+    ends = {"least": F.min("node"), "low": F.min("component"), "high": F.max("component")}
+    rows = live.join(parts, "node").withColumns({name: end.over(block) for name, end in ends.items()})
+    rows = stored(rows.where("low <> high").select("least", "node", "n", "component").distinct(), "mixed-blocks")
     chunks = rows.groupBy("least").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("int").alias("chunks"))
     rows = rows.join(chunks, "least").withColumn("own", F.pmod(F.xxhash64("node"), "chunks").cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
@@ -443,10 +448,12 @@ def in_blocks(rows: DataFrame, function, schema: str, payload: list[str]) -> Dat
 
 
 def nodes_in_pairs(block: int, members: list[list]) -> list[tuple[int, int, int]]:
-    """(block, node, component) of the (node, component, vector) that are in a pair of the block's R-tree."""
+    """(block, node, component) of the (node, component, vector) in a pair of the R-tree whose own vectors allow a link."""
     nodes, components, vectors = zip(*members)
-    tree = CountTree([vector_of(v) for v in vectors], components)
-    inside = {place for pair in tree.pairs() for place in pair}
+    tree, inside = CountTree([vector_of(v) for v in vectors], components), set()
+    for pair in tree.pairs():
+        if not inside.issuperset(pair) and tree.fits(*pair):
+            inside.update(pair)
     return [(block, nodes[place], components[place]) for place in sorted(inside)]
 
 
@@ -461,10 +468,10 @@ def joining_links(block: int, members: list[list]) -> list[tuple[int, int]]:
             parent[c] = c = parent[parent[c]]
         return c
 
-    links = []
-    for i, k in CountTree([vector_of(v) for v in vectors], components).pairs():
+    links, tree = [], CountTree([vector_of(v) for v in vectors], components)
+    for i, k in tree.pairs():
         one, other = root(components[i]), root(components[k])
-        if one != other:
+        if one != other and tree.fits(i, k):
             common = len(np.intersect1d(sets[i], sets[k], assume_unique=True))
             if common >= least_overlap(len(sets[i]), len(sets[k])):
                 links.append((nodes[i], nodes[k]))
@@ -641,11 +648,11 @@ def joining(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     frequent = frequent_shingles(nodes)
     nodes = nodes.select("doc_id", "n_shingles", "node")
 
-    star = stored(with_pivots(prefix_rows(docs, frequent)), "prefix-blocks")
-    live = members(star)
+    # A block's nodes are written once each, so no later reading has to tell copies apart.
+    live = stored(with_pivots(prefix_rows(docs, frequent)).select("shingle", "node", "n"), "prefix-blocks")
     wanted = stored(possible(live), "possible-nodes")
-    star = stored(with_pivots(live.join(wanted.select("node"), "node", "left_semi")), "blocks")
-    live = members(star)
+    live = stored(with_pivots(live.join(wanted.select("node"), "node", "left_semi")), "blocks")
+    star = live.where("node <> pivot")
     sets = stored(sets_of(docs, nodes, wanted), "sets")
     if (found := sets.count()) != (needed := wanted.count()):
         raise RuntimeError(f"{found} sets for {needed} nodes")
@@ -662,7 +669,7 @@ def joining(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
 
     # Now all pairs of a block that are in different components.
     parts = stored(all_parts(wanted, components(links)), "parts")
-    return nodes, stored(links.union(across_components(live, parts, sets)), "links"), sets
+    return nodes, stored(links.union(across_components(live.select("shingle", "node", "n"), parts, sets)), "links"), sets
 
 
 def jaccard_components(docs: DataFrame) -> DataFrame:

@@ -512,3 +512,22 @@ def test_near_copies_take_texts_in_small_batches(spark):
     finally:
         for name, value in before.items():
             spark.conf.set(name, value)
+
+
+def test_blocks_hold_each_node_once(spark):
+    """Copies of a row are one, a node alone is none, and the pivot stands in its block."""
+    rows = [(1, 5, 9), (1, 5, 9), (1, 6, 9), (1, 7, 8), (1, 7, 8), (2, 5, 9), (2, 5, 9), (3, 6, 9)]
+    found = jaccard.with_pivots(spark.createDataFrame(rows, "shingle bigint, node bigint, n bigint")).collect()
+    assert sorted((r.shingle, r.node, r.n) for r in found) == [(1, 5, 9), (1, 6, 9), (1, 7, 8)]
+    assert len({(r.pivot, r.pivot_n) for r in found}) == 1
+    assert [r.node for r in found if r.node == r.pivot] == [found[0].pivot]
+
+
+def test_a_small_set_does_not_make_the_bound_of_large_ones_weak():
+    """Unlike large sets leave a block even where its smallest set makes the tree's vectors short."""
+    rng = np.random.default_rng(7)
+    one, other, small = (np.unique(rng.integers(0, 2**63, n, dtype=np.uint64) * np.uint64(2)) for n in (2000, 2000, 10))
+    near = np.unique(np.concatenate([one[50:], rng.integers(0, 2**63, 50, dtype=np.uint64)]))
+    members = [[i, i, jaccard.vector_bytes(jaccard.count_vector(s))] for i, s in enumerate((one, other, small, near))]
+    assert (0, 1) in {tuple(sorted(p)) for p in jaccard.CountTree([jaccard.vector_of(m[2]) for m in members], range(4)).pairs()}
+    assert jaccard.nodes_in_pairs(1, members) == [(1, 0, 0), (1, 3, 3)]
