@@ -33,6 +33,8 @@ class Known(dict):
         if ids is None:
             ids = self.encode(chunk)
         if self.chars > CACHED_CHARS:
+            # The old generation goes before the young one is copied, so no third one is held.
+            self.old = None
             self.old, self.chars = dict(self), 0
             self.clear()
         self[chunk] = ids

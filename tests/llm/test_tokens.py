@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from postlens.llm import bpe, packing, queries, sharding, tokenfile
+from postlens.llm import bpe, common, packing, queries, sharding, tokenfile, tokens
 from postlens.llm.common import BYTE_BPE, WORD_BPE, ranked, stored
 from postlens.llm.tokens import file_text, library_encoder
 
@@ -324,3 +324,25 @@ def test_letters_of_a_known_chunk_are_not_encoded_again(path, keeps):
     assert ids == library_ids(path, [text])[0]
     # The vocabulary of words lower-cases; the one of bytes knows capital letters as other words.
     assert len(calls) == (2 if keeps else 0)
+
+
+def test_a_worker_gives_back_what_another_job_left(monkeypatch):
+    given_back = []
+
+    class Pool:
+        def release_unused(self):
+            given_back.append(common.sys.modules["_postlens_llm_kept"].value)
+
+    monkeypatch.setattr(common.pa, "default_memory_pool", Pool)
+    assert [common.per_worker(key, lambda: key) for key in ("one job", "one job", "another job")] == ["one job", "one job", "another job"]
+    assert given_back == [None, None]
+
+
+def test_known_chunks_are_never_held_three_times(monkeypatch):
+    """The old generation has gone when the young one is copied."""
+    monkeypatch.setattr(tokens, "CACHED_CHARS", 3)
+    held = []
+    known = tokens.Known(lambda chunk: chunk.encode())
+    monkeypatch.setattr(tokens, "dict", lambda young: held.append(known.old) or dict(young.items()), raising=False)
+    assert [known[c] for c in ("ab", "cd", "ef", "ab", "gh", "ij")] == [b"ab", b"cd", b"ef", b"ab", b"gh", b"ij"]
+    assert held and held == [None] * len(held) and known.find("ij") == b"ij"
