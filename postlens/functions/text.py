@@ -6,6 +6,7 @@ Arrow-batched pandas UDF; all other steps are regular expressions inside the JVM
 
 import html
 import unicodedata
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column
@@ -77,20 +78,29 @@ def html_unescape(text: Column | str) -> Column:
     return F.when(has_entity, unescape_entities(F.when(has_entity, text))).otherwise(text)
 
 
+def replaced_where(text: Column, may_match: Callable[[Column], Column], pattern: str, by: str) -> Column:
+    """The pattern replaced in texts that may match; others skip the search.
+
+    The text gets a name, so its expression is not written out at each use.
+    """
+    step = lambda t: F.when(may_match(t), F.regexp_replace(t, pattern, by)).otherwise(t)
+    return F.get(F.transform(F.array(text), step), F.lit(0))
+
+
 def strip_urls(text: Column) -> Column:
-    return F.regexp_replace(text, URL, "")
+    return replaced_where(text, lambda t: t.contains("://") | t.rlike(r"[wW][wW][wW]\."), URL, "")
 
 
 def strip_emails(text: Column) -> Column:
-    return F.regexp_replace(text, EMAIL, "")
+    return replaced_where(text, lambda t: t.contains("@"), EMAIL, "")
 
 
 def name_mentions(text: Column) -> Column:
-    return F.regexp_replace(text, MENTION, "@user")
+    return replaced_where(text, lambda t: t.contains("@"), MENTION, "@user")
 
 
 def unpack_hashtags(text: Column) -> Column:
-    return F.regexp_replace(text, HASHTAG, "$1")
+    return replaced_where(text, lambda t: t.contains("#"), HASHTAG, "$1")
 
 
 def squeeze_repeats(text: Column) -> Column:

@@ -74,7 +74,11 @@ class Heads:
     loss: float
 
     def probabilities(self, spark: SparkSession, text: Column) -> Column:
-        """Probabilities of all heads side by side, in one Arrow function."""
+        """Probabilities of all heads side by side, in one Arrow function.
+
+        It is marked as not deterministic, so that the planner never copies it, with the cleaning of the text below it, into a
+        filter that it makes from an explode or a condition on the results: each text is cleaned and scored once.
+        """
         small_batches(spark)
         model = spark.sparkContext.broadcast((self.idf, self.weights, self.bias))
         classes = self.classes
@@ -85,7 +89,7 @@ class Heads:
             found = softmax(margins(len(lists), *vectors(lists, idf), weights, bias), classes)
             return pd.Series(list(found.reshape(len(lists), -1)), index=lists.index)
 
-        return score(buckets(text, len(self.idf)))
+        return score.asNondeterministic()(buckets(text, len(self.idf)))
 
     def term_weights(self, terms: DataFrame) -> DataFrame:
         """Weights of each term of `terms` (column term): term, bucket, idf, head, class, weight; what scores it in SQL."""

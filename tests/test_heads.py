@@ -105,3 +105,15 @@ def test_training_asks_for_small_batches(spark):
     rows = spark.createDataFrame([("good thing", {"general": 2}), ("bad thing", {"general": 0})], "clean_text string, labels map<string, int>")
     models.train_aspect_heads(rows, max_iter=1)
     assert {setting: spark.conf.get(setting) for setting in BATCH} == BATCH
+
+
+def test_texts_are_scored_once_whatever_is_asked_of_the_results(spark):
+    """An explode, or a condition on a result, must not bring a second scoring under a filter."""
+    df = labelled(spark)
+    scored = models.document_sentiment(models.train_aspect_heads(df, features=64)(df.select("id", "clean_text")))
+    rows = scored.select("id", "confidence", F.explode("aspects").alias("aspect", "r"))
+    confident = models.confident(scored, 0.5).select("id")
+    for asked in (rows, confident):
+        plan = asked._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("ArrowEvalPython [score(") == 1
+    assert rows.count() == 120 * len(ASPECTS)

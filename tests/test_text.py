@@ -4,7 +4,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from postlens.functions import emoji
+from postlens.functions import emoji, text as rules
 from postlens.functions.spam import SpamLimits, grade
 from postlens.functions.text import clean_text, raw_word_count, tokens, word_count
 from postlens.operators.explore import spam_reason_breakdown
@@ -203,3 +203,27 @@ def test_texts_are_cleaned_once_for_language_detection(spark):
     plan = QUERIES["language_detection"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert "FileScan" in plan
     assert "ArrowEvalPython" not in plan
+
+
+def test_steps_skip_texts_without_their_sign_and_change_nothing_else(spark):
+    texts = [None, "", "@", "a@b.co", "x@", "#", "#t a#b", "Www.x y", "://", "httpſ://a b", "wWw.", "www", "p.q@r.st @u", "plain words"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").repartition(1)
+    t = F.col("t")
+    pairs = [
+        (rules.strip_urls(t), F.regexp_replace(t, rules.URL, "")),
+        (rules.strip_emails(t), F.regexp_replace(t, rules.EMAIL, "")),
+        (rules.name_mentions(t), F.regexp_replace(t, rules.MENTION, "@user")),
+        (rules.unpack_hashtags(t), F.regexp_replace(t, rules.HASHTAG, "$1")),
+    ]
+    for step, plain in pairs:
+        # The search stands behind a condition, which it did not before.
+        assert "CASE WHEN" in df.select(step)._jdf.queryExecution().optimizedPlan().toString()
+        assert df.where(step.eqNullSafe(plain)).count() == len(texts)
+
+
+def test_emoji_search_is_spared_only_where_nothing_can_match():
+    found = [*(chr(c) for a, b in emoji._spans() for c in (a, b)), "🇺🇸", "1️⃣", "#⃣", "👨\u200d💻"]
+    for sign in found:
+        assert emoji.may_hold_emoji("x" * emoji.PIECE_CHARS + sign)
+        assert emoji.demojize(f"é{sign}") != f"é{sign}"
+    assert not any(map(emoji.may_hold_emoji, ["", "é", "中文", "\U0010ffff", "\ud800", "a" * emoji.PIECE_CHARS]))
