@@ -38,15 +38,10 @@ def content_tokens(text: Column, stop_words: list[str]) -> Column:
 
 def term_statistics(docs: DataFrame, words: str) -> DataFrame:
     """term, tf (all uses), df (documents): one pass, combined before the shuffle."""
-    uses = F.transform(words, lambda t: F.struct(t.alias("term"), F.lit(1).alias("a"), F.lit(0).alias("b")))
-    first = F.transform(
-        F.array_distinct(words), lambda t: F.struct(t.alias("term"), F.lit(0).alias("a"), F.lit(1).alias("b"))
-    )
-    return (
-        docs.select(F.explode(F.concat(uses, first)).alias("u"))
-        .groupBy(F.col("u.term").alias("term"))
-        .agg(F.sum("u.a").alias("tf"), F.sum("u.b").alias("df"))
-    )
+    # All uses of a document, then each of its terms once.
+    listed = docs.select(F.size(words).alias("uses"), F.posexplode(F.concat(words, F.array_distinct(words))).alias("at", "term"))
+    is_use = F.col("at") < F.col("uses")
+    return listed.groupBy("term").agg(F.count_if(is_use).alias("tf"), F.count_if(~is_use).alias("df"))
 
 
 def vocabulary(
@@ -459,7 +454,9 @@ def topic_coherence(docs: DataFrame, text: str, terms: list[list[str]]) -> DataF
     """
     if not terms:
         return docs.sparkSession.createDataFrame([], "topic_id int, coherence double")
-    words = F.array_distinct(tokens(F.col(text)))
+    # Few words of a document are listed, so they are picked out before anything is compared.
+    all_terms = sorted({t for topic in terms for t in topic})
+    words = F.array_distinct(F.filter(tokens(F.col(text)), lambda t: t.isin(all_terms)))
     listed = docs.select(words.alias("words"))
     found = F.concat(
         *[
@@ -484,7 +481,8 @@ def topic_coherence(docs: DataFrame, text: str, terms: list[list[str]]) -> DataF
             ),
         )
     )
-    counts = (
+    # Topics * terms^2 rows, needed three times; the texts are read once.
+    counts = cut_lineage(
         per_topic.select("topic_id", F.explode(events).alias("e"))
         .groupBy("topic_id", "e.a", "e.b")
         .agg(F.count(F.lit(1)).alias("n"))

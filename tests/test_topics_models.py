@@ -197,3 +197,15 @@ def test_language_model(spark):
     assert right > 0.9
     short = spark.createDataFrame([("der die",), ("",)], "clean_text string")
     assert {r.language for r in language.detect_language(short, model).collect()} == {"en"}
+
+
+def test_coherence_reads_the_texts_once(docs):
+    scored = topics.topic_coherence(docs, "clean_text", [["outage", "server"], ["outage", "invoice"]])
+    assert "regexp_extract_all" not in scored._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_term_statistics_count_uses_and_documents(spark):
+    rows = spark.createDataFrame([(["a", "b", "a"],), (["a"],), ([],), (None,)], "w array<string>")
+    found = topics.term_statistics(rows, "w")
+    assert "lambda" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(map(tuple, found.collect())) == [("a", 3, 2), ("b", 1, 1)]
