@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from postlens.llm.common import per_worker, stored
-from postlens.session import small_batches
+from postlens.session import cut_lineage, fixed_partitioning, shuffle_partitions, small_batches
 
 SHINGLE_WORDS = 5
 # Linked: 100 * intersection >= 75 * union. Every bound below follows from these two numbers.
@@ -224,8 +224,9 @@ def prefix_rows(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
 
 
 def sets_of(docs: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame:
-    """node, vector, shingles (both binary) of the wanted nodes, from one document of each.
+    """node, vector, shingles (both binary) of the wanted nodes, from one document of each; partitioned by node.
 
+    The number of partitions is fixed here, so the written rows stay where they are in every join by node.
     A sieve of SIEVE_BITS bits, whatever the tables' size, tells most of the other documents apart before any work is
     done on them; what it lets through too many goes in the join.
     """
@@ -255,6 +256,7 @@ def sets_of(docs: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["node", "vector", "shingles"])
 
     found = docs.select(place.alias("p"), "text").mapInArrow(rows, "node bigint, vector binary, shingles binary")
+    found = found.repartition(shuffle_partitions(docs.sparkSession), "node")
     return found.join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"])
 
 
@@ -653,7 +655,8 @@ def joining(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     wanted = stored(possible(live), "possible-nodes")
     live = stored(with_pivots(live.join(wanted.select("node"), "node", "left_semi")), "blocks")
     star = live.where("node <> pivot")
-    sets = stored(sets_of(docs, nodes, wanted), "sets")
+    with fixed_partitioning(docs.sparkSession, 0, shuffle_partitions(docs.sparkSession)):
+        sets = cut_lineage(sets_of(docs, nodes, wanted))
     if (found := sets.count()) != (needed := wanted.count()):
         raise RuntimeError(f"{found} sets for {needed} nodes")
 
@@ -661,7 +664,8 @@ def joining(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     votes = star.where(alike("n", "pivot_n")).groupBy("node", "pivot").agg(F.count("*").alias("votes"))
     votes = stored(votes, "votes")
     best = votes.groupBy("node").agg(F.max(F.struct("votes", "pivot")).alias("best"))
-    links = stored(verified(best.select(F.col("node").alias("a"), F.col("best.pivot").alias("b")), sets), "links")
+    best = best.select(F.col("node").alias("a"), F.col("best.pivot").alias("b"))
+    links = stored(verified(bounded(best, sets), sets), "links")
     parts = components(links)
     ordered = votes.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
     more = verified(bounded(split_pairs(ordered, parts), sets), sets)

@@ -531,3 +531,18 @@ def test_a_small_set_does_not_make_the_bound_of_large_ones_weak():
     members = [[i, i, jaccard.vector_bytes(jaccard.count_vector(s))] for i, s in enumerate((one, other, small, near))]
     assert (0, 1) in {tuple(sorted(p)) for p in jaccard.CountTree([jaccard.vector_of(m[2]) for m in members], range(4)).pairs()}
     assert jaccard.nodes_in_pairs(1, members) == [(1, 0, 0), (1, 3, 3)]
+
+
+def test_sets_stay_where_they_are_in_joins_by_node(spark):
+    """Only pairs are shuffled when sets verify them."""
+    words = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join(words[i : i + 40]), "s") for i in range(12)]
+    _, links, sets = jaccard.joining(frame(spark, rows))
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = jaccard.verified(links, sets)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert plan.count("Exchange hashpartitioning") == 2
+    assert sets.count() == 12
