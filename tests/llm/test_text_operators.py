@@ -423,6 +423,45 @@ def test_one_article_under_many_menus_is_no_template(spark):
     assert texts[60:] == [f"Text of page {k} that is long enough." for k in range(6)]
 
 
+def test_the_slot_comes_from_all_pages(spark):
+    """A text on four fifths of a large host's pages is template; eight pages of it may show otherwise."""
+
+    def page(host, k):
+        own = f"<div class=a><p>Page {k} of host {host} {f'has a first part {k} of its own ' * 4}</p><p>And a second part {k}.</p></div>"
+        other = k % 5 == 0
+        terms = f"Other terms, which only page {k} of this host has, not others" if other else "Terms of this host, which most of its pages have, not all"
+        lines = "<hr>" * (1 + other * (-1) ** (k % 2))
+        return f"<html>{own}<div class=b>{terms}</div><div class=c>Seen by {k} people</div>{lines}</html>"
+
+    rows = [(100 * host + k, f"http://h{host}.org/{k}", page(host, k)) for host in range(8) for k in range(40)]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    for r in wrapper.extract_text(df).collect():
+        host, k = divmod(r.page_id, 100)
+        assert r.text == f"Page {k} of host {host} {' '.join([f'has a first part {k} of its own'] * 4)}\nAnd a second part {k}."
+
+
+def test_slots_equal_one_alignment_of_all_pages(spark):
+    """Every page has a longest text of its own here, in a link, and a size of its own."""
+    rng = random.Random(7)
+    rows, expected = [], {}
+    for host in range(6):
+        for layout in range(2):
+            scope = 10 * host + layout
+            words = [[f"text {b} " + "word " * rng.randint(1, 9) for b in range(8)] for _ in range(12 + layout)]
+            for k, own in enumerate(words):
+                own = [t if rng.random() < 0.25 else f"text {b} of host {host}" for b, t in enumerate(own)]
+                blocks = "".join(f"<div class=b{b // 4}><div class=c{b}>{t}</div></div>" for b, t in enumerate(own))
+                html = f"<a>Link {scope} {k} {'which is the longest of the texts ' * 3}</a>{blocks}" + "<hr>" * (2 * k + layout)
+                rows += [(k, html, scope, -1 - host)] * rng.randint(1, 2)
+                expected.setdefault(scope, set()).add(html)
+                expected.setdefault(-1 - host, set()).add(html)
+    rows += [(None, None, 0, -1), (1, "", 0, -1), (2, "<p>one</p>", 5, -100), (None, "<p>two</p>", 5, -100)]
+    df = spark.createDataFrame(rows, "page_id bigint, html string, layout_scope bigint, host_scope bigint")
+    got = {r.scope: r.slot for r in wrapper.slots(df).collect()}
+    assert got == {scope: wrapper.induced(sorted(pages))[1] for scope, pages in expected.items()}
+    assert len(set(got.values())) > 2
+
+
 def test_few_pages_have_no_template():
     constant, _ = wrapper.induced([PAGE % "<article><p>Same</p></article>"] * 2)
     assert constant == []
@@ -453,6 +492,18 @@ def test_alignment_is_the_largest():
         assert len(wrapper.aligned(one, other)) == tree_size_brute(one, other)
 
 
+def test_deep_and_long_pages_are_aligned_whole(monkeypatch):
+    deep = "<div>" * 300 + "x" + "</div>" * 300
+    assert len(wrapper.aligned(wrapper.parsed(deep), wrapper.parsed(deep))) == 301
+    rng = random.Random(5)
+    pages = [wrapper.parsed("".join(rng.choice(["<p>a<b>b</b></p>", "<hr>", "<div><ul><li>c</ul></div>"]) for _ in range(90))) for _ in range(6)]
+    whole = [tree_size_brute(one, other) for one, other in zip(pages, pages[1:])]
+    for short, cells in ((64, 1 << 20), (1000, 1 << 20), (0, 50), (1000, 50)):
+        monkeypatch.setattr(wrapper, "SHORT_ROW", short)
+        monkeypatch.setattr(wrapper, "KEPT_CELLS", cells)
+        assert [len(wrapper.aligned(one, other)) for one, other in zip(pages, pages[1:])] == whole
+
+
 def test_page_query(spark):
     """The given pages have one article each: its blocks, tags taken out, references decoded."""
     rows = queries.QUERIES["op4_wrapper_text"](spark, SF_DIR).collect()
